@@ -1,0 +1,176 @@
+"""Readings, tariffs and exclusions derived from the driver's tables.
+
+One site comes from ``events`` (hours of a month).  Many sites come from
+``lineitem``: a supplier is a site, its tariffs come from ``supplier`` and its
+outages from ``orders``, so all three grow with the scale factor.  Values are added
+as decimals and handed on as text, the way the raw files hold them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from helioledger.functions.parsing import tolerant_float
+from helioledger.plans import models
+from helioledger.schemas import RAW_EXCLUSIONS, RAW_TARIFFS, READING_VALUES
+
+SITE = ("site_id",)
+
+TARIFF_ROWS = [
+    ("2024-01-01", "2024-01-15", "00:00", "04:00", "0.279", "0.079", "0.151"),
+    ("2024-01-16", "2024-01-28", "00:00", "04:00", "0.2539", "0.0439", "0.151"),
+]
+EXCLUSION_ROWS = [("2024-01-07", "02:00:00", "2024-01-07", "10:00:00", "outage")]
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _money(column) -> F.Column:
+    return F.col(column).cast("decimal(18,2)")
+
+
+def _as_text(hours: DataFrame, keys=()) -> DataFrame:
+    """Hourly decimals to the text columns of the raw table."""
+    moment = F.col("reading_datetime")
+    return hours.withColumn("grid", F.col("home") + F.col("battery") - F.col("solar")).select(
+        *keys,
+        F.date_format(moment, "yyyy-MM-dd").alias("date"),
+        F.date_format(moment, "HH:mm").alias("hour"),
+        *[F.col(name).cast("string").alias(name) for name in READING_VALUES],
+    )
+
+
+def site_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One site, hourly, from ``events``: no purchase in an hour means no solar value."""
+    kind, zero = F.col("event_type"), F.lit(0).cast("decimal(18,2)")
+
+    def of(name: str):
+        return F.coalesce(F.sum(F.when(kind == name, _money("value"))), zero)
+
+    solar = F.when(F.count_if(kind == "purchase") > 0, of("view"))
+    hours = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("reading_datetime"))
+        .agg(solar.alias("solar"), of("click").alias("home"), (of("signup") - of("error")).alias("battery"))
+    )
+    return _as_text(hours)
+
+
+def one_tariff(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(TARIFF_ROWS, RAW_TARIFFS)
+
+
+def one_exclusion(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(EXCLUSION_ROWS, RAW_EXCLUSIONS)
+
+
+def fleet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many sites, hourly, from ``lineitem``; an hour made of seventh lines only is a failed reading."""
+    hours = F.pmod(F.col("l_orderkey"), F.lit(24)).cast("int")
+    moment = F.to_timestamp_ntz(F.col("l_shipdate")) + F.make_dt_interval(F.lit(0), hours)
+    zero = F.lit(0).cast("decimal(18,2)")
+
+    def units(flag: str):
+        return F.coalesce(F.sum(F.when(F.col("l_returnflag") == flag, _money("l_quantity"))), zero)
+
+    percent = F.lit(100).cast("decimal(3,0)")
+    charge = F.when(F.col("l_linestatus") == "O", _money("l_discount") * percent).otherwise(-_money("l_tax") * percent)
+    read = F.bool_or(F.col("l_linenumber") != 7)
+    hourly = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_suppkey").alias("site_id"), moment.alias("reading_datetime"))
+        .agg(
+            F.when(read, units("A")).alias("solar"),
+            F.when(read, units("N")).alias("home"),
+            F.when(read, F.sum(charge).cast("decimal(18,2)")).alias("battery"),
+        )
+    )
+    return _as_text(hourly, SITE)
+
+
+def fleet_tariffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tariffs per site: some start late, overlap, have no end or span midnight off-peak."""
+    nation = F.col("s_nationkey")
+
+    def day(first: str, shift) -> F.Column:
+        return F.date_format(F.date_add(F.lit(first).cast("date"), shift.cast("int")), "yyyy-MM-dd")
+
+    def rate(base: str, step: str):
+        return (F.lit(base).cast("decimal(6,4)") + (nation % 10) * F.lit(step).cast("decimal(6,4)")).cast("decimal(8,4)")
+
+    wraps = nation % 5 == 0
+    early = F.struct(
+        day("1995-01-01", F.col("s_suppkey") % 300).alias("start_date"),
+        day("1998-06-30", nation % 7).alias("end_date"),
+        F.lit("00:00").alias("off_peak_start_hour"),
+        F.lit("04:00").alias("off_peak_end_hour"),
+        rate("0.2700", "0.0011").cast("string").alias("peak_rate"),
+        rate("0.0700", "0.0009").cast("string").alias("off_peak_rate"),
+        F.lit("0.1510").alias("export_rate"),
+    )
+    late = F.struct(
+        day("1998-07-01", nation * 0).alias("start_date"),
+        F.when(nation % 11 != 0, day("2001-06-30", F.col("s_suppkey") % 90)).alias("end_date"),
+        F.when(wraps, F.lit("23:00")).otherwise(F.lit("01:00")).alias("off_peak_start_hour"),
+        F.when(wraps, F.lit("05:00")).otherwise(F.lit("06:00")).alias("off_peak_end_hour"),
+        rate("0.2500", "0.0013").cast("string").alias("peak_rate"),
+        rate("0.0400", "0.0007").cast("string").alias("off_peak_rate"),
+        F.lit("0.1500").alias("export_rate"),
+    )
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("site_id"), F.inline(F.array(early, late)))
+
+
+def fleet_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outages from ``orders``: a customer number names a site; the price sets the length in hours."""
+    start = F.to_timestamp_ntz(F.col("o_orderdate")) + F.make_dt_interval(F.lit(0), F.pmod("o_orderkey", F.lit(24)).cast("int"))
+    end = start + F.make_dt_interval(F.lit(0), F.pmod(F.floor("o_totalprice"), F.lit(1000)).cast("int"))
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("site_id"),
+        F.date_format(start, "yyyy-MM-dd").alias("start_date"),
+        F.date_format(start, "HH:mm:ss").alias("start_time"),
+        F.date_format(end, "yyyy-MM-dd").alias("end_date"),
+        F.date_format(end, "HH:mm:ss").alias("end_time"),
+        F.col("o_orderpriority").alias("exclusion_reason"),
+    )
+
+
+def parsed(raw: DataFrame, keys=()) -> DataFrame:
+    """Raw text as the tolerant load would type it."""
+    return raw.select(
+        *keys,
+        F.col("date").cast("date").alias("date"),
+        "hour",
+        *[tolerant_float(F.col(name)).alias(name) for name in READING_VALUES],
+    )
+
+
+class OneSite:
+    """The models over one site."""
+
+    keys = ()
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.raw = site_readings(spark, sf_dir)
+        self.raw_tariffs = one_tariff(spark)
+        self.raw_exclusions = one_exclusion(spark)
+        self._type()
+
+    def _type(self) -> None:
+        self.readings = models.typed_readings(self.raw, self.keys)
+        self.tariffs = models.int_tariffs(models.stg_tariffs(self.raw_tariffs, self.keys), self.keys)
+        self.exclusions = models.int_exclusions(models.stg_exclusions(self.raw_exclusions, self.keys), self.keys)
+
+
+class Fleet(OneSite):
+    """The models over every supplier as a site."""
+
+    keys = SITE
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.raw = fleet_readings(spark, sf_dir)
+        self.raw_tariffs = fleet_tariffs(spark, sf_dir)
+        self.raw_exclusions = fleet_exclusions(spark, sf_dir)
+        self._type()

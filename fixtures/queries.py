@@ -1,0 +1,347 @@
+"""The registered queries: name to a function of session and data folder."""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fixtures import adapters
+from fixtures.adapters import SITE, Fleet, OneSite, parsed, table
+from helioledger.functions import labels, parsing
+from helioledger.operators import cleaning, coverage, finance, payback, quality, rollups
+from helioledger.plans import models, warehouse
+from helioledger.schemas import PARSED_READINGS, READING_VALUES
+from helioledger.session import scratch_path
+from helioledger.sinks import readings as sinks
+from helioledger.sources import daily_json, marts, seeds
+from helioledger.streaming import ingest, rollup as stream_rollup
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _cleaned(site: OneSite, **how) -> DataFrame:
+    return cleaning.solar_cleaned(site.readings, site.tariffs, site.exclusions, site.keys, **how)
+
+
+def _costs(site: OneSite, **how) -> DataFrame:
+    return finance.cost_savings(_cleaned(site, **how), site.keys)
+
+
+def _rollup(site: OneSite) -> DataFrame:
+    return rollups.daily_rollup(_costs(site), site.keys, exact=True)
+
+
+def _epoch_day(forecast: DataFrame) -> DataFrame:
+    """The forecast date as days since 1970: a tiny saving puts it past the years Python can hold."""
+    day = F.unix_date(F.to_date("forecast_payback_date")).cast("long")
+    return forecast.withColumn("forecast_payback_date", day).withColumnRenamed("forecast_payback_date", "forecast_epoch_day")
+
+
+def _models(kind: type[OneSite], suffix: str = "") -> dict[str, Query]:
+    """Intermediate models and marts over one site or the fleet."""
+
+    def on(build: Callable[[OneSite], DataFrame]) -> Query:
+        return lambda spark, sf_dir: build(kind(spark, sf_dir))
+
+    k = kind.keys
+    plain = _epoch_day if k else (lambda frame: frame)
+    found = {
+        "solar_cleaned": _cleaned,
+        "cost_savings": _costs,
+        "daily_savings": lambda s: rollups.daily_savings(_rollup(s), k),
+        "monthly_savings": lambda s: rollups.monthly_savings(_costs(s), k, exact=True),
+        "total_savings": lambda s: rollups.total_savings(_costs(s), k, exact=True),
+        "payback_forecast_development": lambda s: plain(payback.payback_forecast_development(_rollup(s), k, exact=True)),
+        "payback_forecast_current": lambda s: payback.payback_forecast_current(_rollup(s), k, exact=True),
+        "payback_current_join": lambda s: payback.payback_on_data_date(
+            payback.payback_forecast_development(_rollup(s), k, exact=True, ordered=False),
+            rollups.data_date(_cleaned(s), k),
+            k,
+        ),
+        "total_solar_generation": lambda s: rollups.total_solar_generation(_cleaned(s), k, exact=True),
+        "data_date": lambda s: rollups.data_date(_cleaned(s), k),
+        "hourly_generation_by_day": lambda s: rollups.hourly_generation_by_day(_cleaned(s), k, exact=True),
+        "hourly_generation_by_month": lambda s: rollups.hourly_generation_by_month(_cleaned(s), k, exact=True),
+        "hourly_generation_by_month_avg": lambda s: rollups.hourly_generation_by_month(_cleaned(s), k, True, "avg"),
+        "excluded_readings_removed": lambda s: cleaning.drop_excluded(s.readings, s.exclusions, k),
+        "tariff_range_join": lambda s: cleaning.attach_tariff(s.readings, s.tariffs, k),
+        "tariff_day_join": lambda s: cleaning.attach_tariff(s.readings, s.tariffs, k, grain="day"),
+    }
+    return {name + suffix: on(build) for name, build in found.items()}
+
+
+# ------------------------------------------------------------------ files and tables
+
+
+def _parsed_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed(adapters.site_readings(spark, sf_dir))
+
+
+def _saved_json(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "daily-json")
+    sinks.save_daily_json(_parsed_site(spark, sf_dir), path)
+    return path
+
+
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_json.read_daily_json(spark, _saved_json(spark, sf_dir), glob="part-*", layout="lines")
+
+
+def strict_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed(daily_json.read_raw_json(spark, _saved_json(spark, sf_dir), glob="part-*"))
+
+
+def files_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_json.present_dates(spark, _saved_json(spark, sf_dir), "part-*")
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "readings-csv")
+    sinks.write_csv(_parsed_site(spark, sf_dir), path)
+    return spark.read.schema(PARSED_READINGS).option("header", True).csv(path)
+
+
+def csv_text_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "fleet-csv")
+    sinks.write_csv(parsed(adapters.fleet_readings(spark, sf_dir), SITE), path, SITE)
+    return spark.read.schema("site_id long, date date, hour string, grid double, solar double, battery double, home double").option("header", True).csv(path)
+
+
+def parquet_roundtrip_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "readings-parquet")
+    sinks.write_parquet(parsed(adapters.fleet_readings(spark, sf_dir), SITE), path, SITE)
+    return spark.read.parquet(path)
+
+
+def _raw_table(spark: SparkSession) -> tuple[str, str]:
+    path = scratch_path(spark, "raw")
+    return f"raw_{path.rsplit('-', 1)[1]}", path
+
+
+def raw_table_loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, path = _raw_table(spark)
+    for _ in range(2):
+        sinks.create_raw_table(_parsed_site(spark, sf_dir), name, path)
+    return spark.table(name)
+
+
+def raw_table_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the days first, then all of them: the second load adds the other half."""
+    name, path = _raw_table(spark)
+    site = _parsed_site(spark, sf_dir)
+    sinks.create_raw_table(site.filter(F.day("date") <= 15), name, path)
+    sinks.append_new_readings(site, name)
+    return spark.table(name)
+
+
+def seed_tariffs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tariffs")
+    raw = adapters.fleet_tariffs(spark, sf_dir)
+    raw.write.option("header", True).csv(path)
+    return seeds.read_tariffs(spark, path, raw.select(*SITE).schema)
+
+
+def seed_exclusions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "exclusions")
+    raw = adapters.fleet_exclusions(spark, sf_dir)
+    raw.write.option("header", True).csv(path)
+    return seeds.read_exclusions(spark, path, raw.select(*SITE).schema)
+
+
+def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = ingest.stream_daily_json(spark, _saved_json(spark, sf_dir), glob="part-*", layout="lines")
+    target = scratch_path(spark, "streamed")
+    ingest.append_readings(stream, target, scratch_path(spark, "stream-state")).awaitTermination()
+    return spark.read.schema(PARSED_READINGS).parquet(target)
+
+
+def streamed_daily_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tariffs, exclusions = adapters.one_tariff(spark), adapters.one_exclusion(spark)
+    stream = ingest.stream_daily_json(spark, _saved_json(spark, sf_dir), glob="part-*", layout="lines")
+    target = scratch_path(spark, "partial-sums")
+    stream_rollup.write_partial_sums(
+        stream,
+        lambda batch: models.cost_savings(batch, tariffs, exclusions),
+        target,
+        scratch_path(spark, "stream-state"),
+        exact=True,
+    ).awaitTermination()
+    return rollups.daily_savings(stream_rollup.rollup_from_partials(spark, target, exact=True))
+
+
+# ------------------------------------------------------------------ stored marts
+
+_BUILT: dict[tuple[str, str], str] = {}
+
+
+def built_warehouse(spark: SparkSession, sf_dir: str) -> str:
+    """Marts of the fleet, built once per session and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _BUILT:
+        location = scratch_path(spark, "marts")
+        fleet = Fleet(spark, sf_dir)
+        warehouse.build(fleet.raw, fleet.raw_tariffs, fleet.raw_exclusions, location, SITE, exact=True)
+        _BUILT[key] = location
+    return _BUILT[key]
+
+
+def _served(read) -> Query:
+    return lambda spark, sf_dir: read(spark, built_warehouse(spark, sf_dir), SITE)
+
+
+# ------------------------------------------------------------------ calendars, checks, parsers
+
+
+def missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    present = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
+    return coverage.missing_dates(present, dt.date(1994, 12, 25), dt.date(2001, 12, 31))
+
+
+def missing_dates_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    present = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("site_id"), F.to_date("l_shipdate").alias("date"))
+    return coverage.missing_dates(present, dt.date(1995, 1, 1), dt.date(2001, 12, 31), SITE)
+
+
+def hour_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.hour_skeleton(_parsed_site(spark, sf_dir))
+
+
+def hour_skeleton_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return coverage.hour_skeleton(parsed(adapters.fleet_readings(spark, sf_dir), SITE), SITE)
+
+
+def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fleet = Fleet(spark, sf_dir)
+    relations = {
+        "raw_solar_data": fleet.raw,
+        "raw_tariffs": fleet.raw_tariffs,
+        "raw_exclusions": fleet.raw_exclusions,
+        "int_admin_tariffs": fleet.tariffs,
+        "int_admin_exclusions": fleet.exclusions,
+        "int_finance_cost_savings": _costs(fleet),
+    }
+    return quality.check_all(relations).filter("test = 'not_null'").drop("passed")
+
+
+def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.unique(adapters.fleet_tariffs(spark, sf_dir), "raw_tariffs", ["start_date"])
+
+
+def dq_unique_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.unique(adapters.fleet_tariffs(spark, sf_dir), "raw_tariffs", ["start_date"], SITE)
+
+
+def _spelled(choice, spellings) -> F.Column:
+    """The spelling whose place equals ``choice``; NULL past the last."""
+    text = F.lit(None).cast("string")
+    for place, spelling in spellings.items():
+        text = F.when(choice == place, spelling).otherwise(text)
+    return text
+
+
+def tolerant_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number, key = F.col("l_linenumber"), F.col("l_orderkey")
+    quantity, tax = (F.col(name).cast("decimal(18,2)").cast("string") for name in ("l_quantity", "l_tax"))
+    text = _spelled(number, {
+        1: quantity, 2: F.concat(F.lit(" "), tax, F.lit(" ")), 3: F.when(key % 2 == 0, "").otherwise("  "),
+        4: F.concat(F.lit("x"), tax), 5: F.concat(quantity, F.lit("d")), 6: F.concat(F.lit("1_"), quantity, F.lit("e1")),
+    })
+    rows = table(spark, sf_dir, "lineitem").select(key, number, text.alias("text"))
+    return rows.withColumn("value", parsing.tolerant_float(F.col("text")))
+
+
+def tolerant_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("o_orderkey")
+    hour = (key % 24).cast("string")
+    text = _spelled(key % 6, {
+        0: F.concat(F.lpad(hour, 2, "0"), F.lit(":00")), 1: F.concat(hour, F.lit(":5")),
+        2: F.concat((key % 9 + 24).cast("string"), F.lit(":00")), 3: F.col("o_orderpriority"),
+        4: F.concat(F.lit("07:"), (key % 90).cast("string")),
+    })
+    rows = table(spark, sf_dir, "orders").select(key, text.alias("text"))
+    return rows.withColumn("hour", parsing.clock_text(F.col("text")))
+
+
+def _order_dates(spark: SparkSession, sf_dir: str, spellings) -> DataFrame:
+    choice = F.col("o_orderkey") % (6 if len(spellings) < 6 else 8)
+    return table(spark, sf_dir, "orders").select("o_orderkey", _spelled(choice, spellings).alias("text"))
+
+
+def _dated(*pattern: str) -> F.Column:
+    return F.date_format("o_orderdate", *pattern)
+
+
+def iso_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.to_date("o_orderdate")
+    # The Thursday of the same week lies in the year the week is counted in.
+    week_year = F.year(F.date_add(day, F.lit(3) - F.weekday(day)))
+    week = F.concat_ws("-", week_year, F.concat(F.lit("W"), F.lpad(F.weekofyear(day).cast("string"), 2, "0")), F.weekday(day) + 1)
+    texts = _order_dates(spark, sf_dir, {
+        0: _dated("yyyy-MM-dd"), 1: _dated("yyyyMMdd"), 2: week,
+        3: F.concat(_dated("yyyy-MM"), F.lit("-31")), 4: _dated("dd/MM/yyyy"),
+    })
+    return texts.withColumn("date", parsing.iso_date(F.col("text")))
+
+
+def multi_format_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = _order_dates(spark, sf_dir, {
+        0: _dated("dd | MM yyyy"), 1: _dated("dd| MM yyyy"), 2: _dated("dd|MM yyyy"), 3: _dated("dd |MM yyyy"),
+        4: _dated("dd/MM yyyy"), 5: _dated("dd MM yyyy"), 6: F.concat(F.lit("31 | "), _dated("MM yyyy")), 7: _dated("yyyy-MM-dd"),
+    })
+    return texts.withColumn("date", parsing.spaced_date(F.col("text")))
+
+
+def label_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    variant = F.col("site_id") % 4
+
+    def pair(label: str, value) -> F.Column:
+        return F.array(F.lit(label), value)
+
+    none = F.array().cast("array<string>")
+    tokens = F.array_compact(F.concat(
+        F.array("hour"), pair("Grd : ", F.col("grid")), pair("Sol : ", F.col("solar")),
+        F.when(variant == 1, pair("Wnd : ", F.lit("7.70"))).otherwise(none),
+        F.when(variant == 3, pair("BATTERY : ", F.col("battery"))).otherwise(pair("Bat : ", F.col("battery"))),
+        pair("Hom : ", F.col("home")),
+        F.when(variant == 2, pair("Grd : ", F.lit("9.99"))).otherwise(none),
+    ))
+    rows = adapters.fleet_readings(spark, sf_dir).select(*SITE, "date", labels.tooltip_fields(tokens).alias("fields"))
+    return rows.select(*SITE, "date", "fields.*")
+
+
+def queries() -> dict[str, Query]:
+    found = {**_models(OneSite), **_models(Fleet, "_by_site")}
+    found |= {
+        "stg_readings": lambda s, d: models.stg_readings(OneSite(s, d).raw).drop("ingested_at"),
+        "typed_readings": lambda s, d: OneSite(s, d).readings,
+        "off_peak_flag": lambda s, d: _cleaned(OneSite(s, d)).select("reading_datetime", "is_off_peak"),
+        "stg_readings_by_site": lambda s, d: models.stg_readings(Fleet(s, d).raw, SITE).drop("ingested_at"),
+        "stg_tariffs_by_site": lambda s, d: models.stg_tariffs(Fleet(s, d).raw_tariffs, SITE),
+        "stg_exclusions_by_site": lambda s, d: models.stg_exclusions(Fleet(s, d).raw_exclusions, SITE),
+        "int_tariffs_by_site": lambda s, d: Fleet(s, d).tariffs,
+        "int_exclusions_by_site": lambda s, d: Fleet(s, d).exclusions,
+        # A broadcast limit of zero forces the plan used when the reference tables are large.
+        "solar_cleaned_by_site_shuffled": lambda s, d: _cleaned(Fleet(s, d), broadcast_bytes=0, split_above=None),
+        "solar_cleaned_by_site_split": lambda s, d: _cleaned(Fleet(s, d), broadcast_bytes=0, split_above=5),
+        "monthly_from_daily_by_site": lambda s, d: rollups.monthly_from_daily(_rollup(Fleet(s, d)), SITE, exact=True),
+        "total_from_daily_by_site": lambda s, d: rollups.total_from_daily(_rollup(Fleet(s, d)), SITE, exact=True),
+        "generation_from_daily_by_site": lambda s, d: rollups.generation_from_daily(_rollup(Fleet(s, d)), SITE, exact=True),
+        "newest_missing_date_by_site": lambda s, d: coverage.newest_missing_date(missing_dates_by_site(s, d), SITE),
+        "served_data_date": _served(marts.data_date),
+        "served_daily_savings": _served(marts.daily_savings),
+        "served_monthly_savings": _served(marts.monthly_savings),
+        "served_total_savings": _served(marts.total_savings),
+        "served_payback_forecast": _served(marts.payback_forecast),
+        "served_payback_forecast_development": _served(lambda *at: _epoch_day(marts.payback_forecast_development(*at))),
+    }
+    for query in (
+        json_roundtrip, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
+        raw_table_loaded_twice, raw_table_appended, seed_tariffs_csv, seed_exclusions_csv, streamed_readings,
+        streamed_daily_savings, missing_dates, missing_dates_by_site, hour_skeleton, hour_skeleton_by_site,
+        dq_not_null, dq_unique, dq_unique_by_site, tolerant_float, tolerant_hour, iso_date, multi_format_date, label_tokens,
+    ):
+        found[query.__name__] = query
+    return found
