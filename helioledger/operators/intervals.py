@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,10 @@ from helioledger.operators.hot_groups import SLICE, find_hot_groups, repeat_for_
 SLOT = "_slot"
 BROADCAST_BYTES = 32 * 1024 * 1024
 SPLIT_ABOVE = 10_000_000
+# Stands for the slot of a missing moment: no interval has it.  A slot that cannot be
+# NULL also spares the optimizer from pushing a null check, and with it the parsing
+# of the timestamp, a second time below the join.
+NO_SLOT = -(2**31)
 # An interval over more slots than this is first clipped to the span of the facts.
 LONG_SPAN = 2_400
 
@@ -49,37 +54,29 @@ class Intervals:
     size: int = 0
     longest: int = 0
 
-    def measured(self) -> Intervals:
-        """Row, byte and slot counts after spreading, from one aggregate over this side."""
-        span = self._last() - self._first() + 1
-        text = [F.octet_length(f.name) for f in self._kept().schema if f.dataType.typeName() == "string"]
-        width = sum(text, F.lit(16 + 8 * (len(self.keys) + len(self.payload) + 3)))
-        found = (
-            self._kept()
-            .agg(
-                F.coalesce(F.sum(span.cast("long")), F.lit(0)).alias("rows"),
-                F.coalesce(F.sum(span.cast("long") * F.coalesce(width, F.lit(1024))), F.lit(0)).alias("size"),
-                F.coalesce(F.max(span), F.lit(0)).alias("longest"),
-            )
-            .first()
+    def measure(self, place: int) -> DataFrame:
+        """Rows, bytes and longest span in slots after spreading, as one row from one aggregate."""
+        used = self.frame.select(*self.keys, self.start, self.end, *self.payload)
+        span = F.when(self._valid(), self._last() - self._first() + 1).otherwise(F.lit(0))
+        text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in used.schema if f.dataType.typeName() == "string"]
+        width = sum(text, F.lit(24 + 8 * (len(used.columns) + 1)))
+        return used.agg(
+            F.lit(place).alias("place"),
+            F.coalesce(F.sum(span.cast("long")), F.lit(0)).alias("rows"),
+            F.coalesce(F.sum(span.cast("long") * width), F.lit(0)).alias("size"),
+            F.coalesce(F.max(span), F.lit(0)).alias("longest"),
         )
-        return replace(self, rows=found["rows"], size=found["size"], longest=found["longest"])
 
     def spread(self, first: int | None = None, last: int | None = None) -> DataFrame:
         """One row per interval and slot, within the given slots if any."""
-        low, high = self._first(), self._last()
+        valid, low, high = self._valid(), self._first(), self._last()
         if first is not None:
             low, high = F.greatest(low, F.lit(first)), F.least(high, F.lit(last))
+            valid = valid & (low <= high)
         columns = [F.col(key).alias(f"_key_{key}") for key in self.keys]
         columns += [F.col(self.start).alias("_from"), F.col(self.end).alias("_to")]
         columns += [F.col(name).alias(name) for name in self.payload]
-        return (
-            self._kept()
-            .select(*columns, low.alias("_low"), high.alias("_high"))
-            .filter("_low <= _high")
-            .withColumn(f"{SLOT}_side", F.explode(F.sequence("_low", "_high")))
-            .drop("_low", "_high")
-        )
+        return self.frame.select(*columns, F.explode(F.when(valid, F.sequence(low, high))).alias(f"{SLOT}_side"))
 
     def _first(self) -> Column:
         return slot_of(F.col(self.start), self.grain)
@@ -87,9 +84,9 @@ class Intervals:
     def _last(self) -> Column:
         return slot_of(F.col(self.end), self.grain)
 
-    def _kept(self) -> DataFrame:
+    def _valid(self) -> Column:
         # A missing or reversed bound can match no fact.
-        return self.frame.filter(F.col(self.start) <= F.col(self.end))
+        return F.col(self.start) <= F.col(self.end)
 
 
 @dataclass(frozen=True)
@@ -104,7 +101,8 @@ class SlottedFacts:
 
     @classmethod
     def tag(cls, facts: DataFrame, moment: str, keys: Sequence[str] = (), grain: str = "month") -> SlottedFacts:
-        return cls(facts.withColumn(SLOT, slot_of(F.col(moment), grain)), moment, tuple(keys), grain)
+        slot = F.coalesce(slot_of(F.col(moment), grain), F.lit(NO_SLOT))
+        return cls(facts.withColumn(SLOT, slot), moment, tuple(keys), grain)
 
     def split_hot(self, split_above: int | None) -> SlottedFacts:
         """Cut groups of more than ``split_above`` facts of one key and slot into slices."""
@@ -117,15 +115,17 @@ class SlottedFacts:
         moment = F.col(self.moment)
         if dict(side.frame.dtypes)[side.start] == "date":
             moment = F.to_date(moment)
-        match = (F.col(SLOT) == F.col(f"{SLOT}_side")) & (moment >= F.col("_from")) & (moment <= F.col("_to"))
+        # Written so that no null check on the moment follows from it (see NO_SLOT).
+        within = F.coalesce(moment.between(F.col("_from"), F.col("_to")), F.lit(False))
+        match = (F.col(SLOT) == F.col(f"{SLOT}_side")) & within
         for key in self.keys:
             match = match & (F.col(key) == F.col(f"_key_{key}"))
         if self.hot is not None and not broadcast:
             group = {SLOT: f"{SLOT}_side", **{key: f"_key_{key}" for key in self.keys}}
             spread = repeat_for_slices(spread, group, self.hot, f"{SLICE}_side")
             match = match & (F.col(SLICE) == F.col(f"{SLICE}_side"))
-        if broadcast:
-            spread = F.broadcast(spread)
+        # The optimizer does not see that spreading multiplies rows, so neither way is left to it.
+        spread = F.broadcast(spread) if broadcast else spread.hint("merge")
         joined = self.frame.join(spread, match, how)
         if how != "left_anti":
             joined = joined.select(*self.frame.columns, *side.payload)
@@ -146,26 +146,27 @@ def join_intervals(
 ) -> DataFrame:
     """Apply interval joins (``"inner"`` or ``"left_anti"``) to the facts, in order."""
     keys = tuple(keys)
-    sides = [(how, replace(side, grain=grain, keys=keys).measured()) for how, side in steps]
+    sides = [replace(side, grain=grain, keys=keys) for _, side in steps]
+    found = reduce(DataFrame.union, [side.measure(place) for place, side in enumerate(sides)]).collect()
+    sides = [replace(sides[m["place"]], rows=m["rows"], size=m["size"], longest=m["longest"]) for m in found]
     slotted = SlottedFacts.tag(facts, moment, keys, grain)
 
     low = high = None
-    if any(side.longest > LONG_SPAN for _, side in sides):
-        low, high = slotted.frame.agg(F.min(SLOT), F.max(SLOT)).first()
-        if low is None:
-            low, high = 1, 0
-        # What clipping leaves of each side is measured again by its slots.
-        sides = [(how, _clipped_size(side, low, high)) for how, side in sides]
-
-    small = [side.size <= broadcast_bytes for _, side in sides]
+    if any(side.longest > LONG_SPAN for side in sides):
+        dated = slotted.frame.filter(F.col(SLOT) != NO_SLOT)
+        low, high = dated.agg(F.coalesce(F.min(SLOT), F.lit(1)), F.coalesce(F.max(SLOT), F.lit(0))).first()
+        # What clipping leaves of each side is counted again.
+        sides = [_clipped(side, low, high) for side in sides]
+
+    small = [side.size <= broadcast_bytes for side in sides]
     if not all(small):
         slotted = slotted.split_hot(split_above)
-    for (how, side), fits in zip(sides, small):
+    for (how, _), side, fits in zip(steps, sides, small):
         slotted = slotted.join(side, how, low, high, fits)
     return slotted.untagged()
 
 
-def _clipped_size(side: Intervals, low: int, high: int) -> Intervals:
+def _clipped(side: Intervals, low: int, high: int) -> Intervals:
     per_row = side.size / side.rows if side.rows else 0
     rows = side.spread(low, high).count()
     return replace(side, rows=rows, size=int(rows * per_row))

@@ -46,7 +46,12 @@ def monthly_from_daily(rollup: DataFrame, keys: Sequence[str] = (), exact: bool
 
 
 def total_savings(costs: DataFrame, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
-    """The nine sums overall; one row of NULLs for no input and no keys."""
+    """The nine sums overall; one row of NULLs for no input and no keys.
+
+    Exact sums go by way of the days, because millionths of a whole fleet may not fit a long.
+    """
+    if exact:
+        return total_from_daily(daily_rollup(costs, keys, exact), keys, exact)
     return costs.groupBy(*keys).agg(*_sums(exact))
 
 
@@ -56,20 +61,22 @@ def total_from_daily(rollup: DataFrame, keys: Sequence[str] = (), exact: bool =
 
 def total_solar_generation(cleaned: DataFrame, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
     """Energy generated, and the same per reading: the average counts hours, also those without a value."""
-    return _generation(cleaned.groupBy(*keys).agg(
-        total(F.col("solar"), exact).alias("total_solar_generation"), F.count(F.lit(1)).alias("readings")
-    ), keys)
+    solar, readings = total(F.col("solar"), exact).alias("solar"), F.count(F.lit(1)).alias("readings")
+    if exact:
+        by_day = cleaned.groupBy(*keys, day_of(F.col("reading_datetime")).alias("reading_date")).agg(solar, readings)
+        return generation_from_daily(by_day, keys, exact)
+    return _generation(cleaned.groupBy(*keys).agg(solar, readings), keys)
 
 
 def generation_from_daily(rollup: DataFrame, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
-    return _generation(rollup.groupBy(*keys).agg(
-        total_of_totals(F.col("solar"), exact).alias("total_solar_generation"), F.sum("readings").alias("readings")
-    ), keys)
+    solar = total_of_totals(F.col("solar"), exact).alias("solar")
+    readings = F.coalesce(F.sum("readings"), F.lit(0)).alias("readings")
+    return _generation(rollup.groupBy(*keys).agg(solar, readings), keys)
 
 
 def _generation(summed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    average = ratio(F.col("total_solar_generation"), F.col("readings"))
-    return summed.select(*keys, "total_solar_generation", average.alias("average_daily_solar_generation"))
+    average = ratio(F.col("solar"), F.col("readings")).alias("average_daily_solar_generation")
+    return summed.select(*keys, F.col("solar").alias("total_solar_generation"), average)
 
 
 def data_date(cleaned: DataFrame, keys: Sequence[str] = (), day: str = "reading_datetime") -> DataFrame:

@@ -56,19 +56,34 @@ def _stored_dates(readings: DataFrame, path: str) -> DataFrame | None:
 def day_arrays(readings: DataFrame, keys: Sequence[str] = (), array_entries: int = ARRAY_ENTRIES) -> DataFrame:
     """JSON text of each key's day, hours in order and missing values kept as null.
 
-    Days are counted first, so that one of very many rows is cut into several arrays
-    before any of it is collected.  Normal days (24 rows) make one array.
+    Days are counted first.  Normal days (24 rows) make one array; one of more than
+    ``array_entries`` rows is cut into several before any of it is collected.
     """
     group = [*keys, "date"]
-    hot = find_hot_groups(readings, group, array_entries // 2)
-    parts = readings.withColumn(SLICE, F.lit(0)) if hot is None else slice_rows(readings, group, hot)
     entry = F.struct("hour", *keys, F.date_format("date", "yyyy-MM-dd").alias("date"), *READING_VALUES)
-    ordered = F.sort_array(F.collect_list(entry))
-    shown = F.transform(ordered, lambda e: F.struct(*[e[name].alias(name) for name in (*keys, "date", "hour", *READING_VALUES)]))
+    hot = find_hot_groups(readings, group, max(1, array_entries // 2))
+    if hot is None:
+        parts, entries = readings.withColumn(SLICE, F.lit(0)), F.collect_list(entry)
+    else:
+        parts = slice_rows(_batches_of_copies(readings, max(1, array_entries // 10)), group, hot)
+        entries = F.flatten(F.collect_list(F.array_repeat(entry, F.col("_copies"))))
+    shown = F.transform(
+        F.sort_array(entries),
+        lambda e: F.struct(*[e[name].alias(name) for name in (*keys, "date", "hour", *READING_VALUES)]),
+    )
     text = F.to_json(shown, {"ignoreNullFields": "false"})
     return parts.groupBy(*group, SLICE).agg(text.alias("value")).select(*group, "value")
 
 
+def _batches_of_copies(readings: DataFrame, batch: int) -> DataFrame:
+    """Equal rows as one row per ``batch`` of them: copies have nothing else to be told apart by."""
+    counted = readings.groupBy(*readings.columns).count()
+    last = F.floor((F.col("count") - 1) / batch)
+    pieces = counted.withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
+    copies = F.least(F.lit(batch), F.col("count") - F.col("_piece") * batch).cast("int")
+    return pieces.withColumn("_copies", copies).drop("count")
+
+
 def write_csv(readings: DataFrame, path: str, keys: Sequence[str] = ()) -> bool:
     """CSV with header, ISO dates and empty text for NULL; overwrites.
 
