@@ -3,11 +3,13 @@
 One site comes from ``events`` (hours of a month).  Many sites come from
 ``lineitem``: a supplier is a site, its tariffs come from ``supplier`` and its
 outages from ``orders``, so all three grow with the scale factor.  Values are added
-as decimals and handed on as text, the way the raw files hold them.
+in cents and handed on as text, the way the raw files hold them.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,27 +30,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _money(column) -> F.Column:
-    return F.col(column).cast("decimal(18,2)")
+def _cents(name: str) -> F.Column:
+    return F.rint(F.col(name) * 100).cast("long")
+
+
+def _clock(moment) -> F.Column:
+    return F.concat(F.lpad(F.hour(moment).cast("string"), 2, "0"), F.lit(":00"))
 
 
 def _as_text(hours: DataFrame, keys=()) -> DataFrame:
-    """Hourly decimals to the text columns of the raw table."""
+    """Hourly sums in cents to the text columns of the raw table."""
     moment = F.col("reading_datetime")
-    return hours.withColumn("grid", F.col("home") + F.col("battery") - F.col("solar")).select(
+    in_cents = hours.withColumn("grid", F.col("home") + F.col("battery") - F.col("solar"))
+    return in_cents.select(
         *keys,
-        F.date_format(moment, "yyyy-MM-dd").alias("date"),
-        F.date_format(moment, "HH:mm").alias("hour"),
-        *[F.col(name).cast("string").alias(name) for name in READING_VALUES],
+        F.to_date(moment).cast("string").alias("date"),
+        _clock(moment).alias("hour"),
+        *[(F.col(name).cast("decimal(16,0)") * F.lit(Decimal("0.01"))).cast("string").alias(name) for name in READING_VALUES],
     )
 
 
 def site_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One site, hourly, from ``events``: no purchase in an hour means no solar value."""
-    kind, zero = F.col("event_type"), F.lit(0).cast("decimal(18,2)")
+    kind = F.col("event_type")
 
     def of(name: str):
-        return F.coalesce(F.sum(F.when(kind == name, _money("value"))), zero)
+        return F.coalesce(F.sum(F.when(kind == name, _cents("value"))), F.lit(0))
 
     solar = F.when(F.count_if(kind == "purchase") > 0, of("view"))
     hours = (
@@ -77,13 +84,11 @@ def fleet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many sites, hourly, from ``lineitem``; an hour made of seventh lines only is a failed reading."""
     hours = F.pmod(F.col("l_orderkey"), F.lit(24)).cast("int")
     moment = F.to_timestamp_ntz(F.col("l_shipdate")) + F.make_dt_interval(F.lit(0), hours)
-    zero = F.lit(0).cast("decimal(18,2)")
 
     def units(flag: str):
-        return F.coalesce(F.sum(F.when(F.col("l_returnflag") == flag, _money("l_quantity"))), zero)
+        return F.coalesce(F.sum(F.when(F.col("l_returnflag") == flag, _cents("l_quantity"))), F.lit(0))
 
-    percent = F.lit(100).cast("decimal(3,0)")
-    charge = F.when(F.col("l_linestatus") == "O", _money("l_discount") * percent).otherwise(-_money("l_tax") * percent)
+    percent = F.when(F.col("l_linestatus") == "O", _cents("l_discount")).otherwise(-_cents("l_tax"))
     read = F.bool_or(F.col("l_linenumber") != 7)
     hourly = (
         table(spark, sf_dir, "lineitem")
@@ -91,7 +96,7 @@ def fleet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.when(read, units("A")).alias("solar"),
             F.when(read, units("N")).alias("home"),
-            F.when(read, F.sum(charge).cast("decimal(18,2)")).alias("battery"),
+            F.when(read, F.sum(percent) * 100).alias("battery"),
         )
     )
     return _as_text(hourly, SITE)
@@ -102,7 +107,7 @@ def fleet_tariffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = F.col("s_nationkey")
 
     def day(first: str, shift) -> F.Column:
-        return F.date_format(F.date_add(F.lit(first).cast("date"), shift.cast("int")), "yyyy-MM-dd")
+        return F.date_add(F.lit(first).cast("date"), shift.cast("int")).cast("string")
 
     def rate(base: str, step: str):
         return (F.lit(base).cast("decimal(6,4)") + (nation % 10) * F.lit(step).cast("decimal(6,4)")).cast("decimal(8,4)")
@@ -135,10 +140,10 @@ def fleet_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = start + F.make_dt_interval(F.lit(0), F.pmod(F.floor("o_totalprice"), F.lit(1000)).cast("int"))
     return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("site_id"),
-        F.date_format(start, "yyyy-MM-dd").alias("start_date"),
-        F.date_format(start, "HH:mm:ss").alias("start_time"),
-        F.date_format(end, "yyyy-MM-dd").alias("end_date"),
-        F.date_format(end, "HH:mm:ss").alias("end_time"),
+        F.to_date(start).cast("string").alias("start_date"),
+        F.concat(_clock(start), F.lit(":00")).alias("start_time"),
+        F.to_date(end).cast("string").alias("end_date"),
+        F.concat(_clock(end), F.lit(":00")).alias("end_time"),
         F.col("o_orderpriority").alias("exclusion_reason"),
     )
 

@@ -264,7 +264,7 @@ def oracle_sql() -> dict[str, str]:
     )
 
     # Files, tables and streams: what was written must come back
-    for name in ("json_roundtrip", "strict_json_load", "csv_roundtrip", "raw_table_loaded_twice", "raw_table_appended", "streamed_readings"):
+    for name in ("json_roundtrip", "strict_json_load", "csv_roundtrip", "raw_table_loaded_twice", "raw_table_appended", "streamed_readings", "consolidated_csv", "consolidated_table"):
         found[name] = ONE.select(f"SELECT {_PARSED} FROM raw")
     found["csv_text_by_site"] = FLEET.select(f"SELECT site_id, {_PARSED} FROM raw")
     found["parquet_roundtrip_by_site"] = FLEET.select(
@@ -291,6 +291,11 @@ missing AS (SELECT site_id, date FROM sites CROSS JOIN days EXCEPT SELECT site_i
 SELECT {k}CAST(date AS DATE) AS date, hour, {values} FROM grid_hours LEFT JOIN raw USING ({k}date, hour)"""
     values = ", ".join(f"CAST({v} AS DOUBLE) AS {v}" for v in VALUES)
     found["hour_skeleton"] = "WITH " + ONE_RAW + skeleton.format(k="", values=values)
+    # Tooltips without tokens keep their hour; a reading without a solar value had no tooltip.
+    tooltip = "raw AS (SELECT * REPLACE (CASE WHEN solar IS NOT NULL THEN battery END AS battery, CASE WHEN solar IS NOT NULL THEN home END AS home) FROM read)"
+    renamed = ONE_RAW.replace("raw AS (SELECT", "read AS (SELECT").replace("raw_tariffs(", tooltip + ",\nraw_tariffs(", 1)
+    found["collected_days"] = "WITH " + renamed + skeleton.format(k="", values=values)
+    found["readings_from_tooltips_by_site"] = "WITH " + FLEET_RAW + skeleton.format(k="site_id, ", values=values)
     found["hour_skeleton_by_site"] = "WITH " + FLEET_RAW + skeleton.format(k="site_id, ", values=values)
 
     # Checks

@@ -12,7 +12,7 @@ from fixtures import adapters
 from fixtures.adapters import SITE, Fleet, OneSite, parsed, table
 from helioledger.functions import labels, parsing
 from helioledger.operators import cleaning, coverage, finance, payback, quality, rollups
-from helioledger.plans import models, warehouse
+from helioledger.plans import collection, models, warehouse
 from helioledger.schemas import PARSED_READINGS, READING_VALUES
 from helioledger.session import scratch_path
 from helioledger.sinks import readings as sinks
@@ -172,6 +172,39 @@ def streamed_daily_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.daily_savings(stream_rollup.rollup_from_partials(spark, target, exact=True))
 
 
+def _tooltips(raw: DataFrame) -> DataFrame:
+    """Chart tooltips that show these readings; a failed reading has none."""
+    shown = [text for name, label in zip(READING_VALUES, ("Grd", "Sol", "Bat", "Hom")) for text in (F.lit(f"{label} : "), F.col(name))]
+    tokens = F.when(F.col("solar").isNotNull(), F.array("hour", *shown))
+    return raw.withColumn("tokens", tokens).withColumn("date", F.col("date").cast("date")).drop(*READING_VALUES)
+
+
+def readings_from_tooltips_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = collection.readings_from_tooltips(_tooltips(adapters.fleet_readings(spark, sf_dir)), SITE)
+    return parsed(read, SITE)
+
+
+def collected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collect the first half of the days, then whatever is missing."""
+    folder = scratch_path(spark, "collected")
+    tooltips = _tooltips(adapters.site_readings(spark, sf_dir))
+    for last in (15, 31):
+        collection.collect(tooltips, folder, dt.date(2024, 1, 1), dt.date(2024, 1, last))
+    return daily_json.read_daily_json(spark, folder, "part-*", "lines")
+
+
+def consolidated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "consolidated")
+    collection.consolidate_csv(spark, _saved_json(spark, sf_dir), path, "part-*", "lines")
+    return spark.read.schema(PARSED_READINGS).option("header", True).csv(path)
+
+
+def consolidated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name, path = _raw_table(spark)
+    collection.consolidate_table(spark, _saved_json(spark, sf_dir), name, path, "part-*")
+    return parsed(spark.table(name))
+
+
 # ------------------------------------------------------------------ stored marts
 
 _BUILT: dict[tuple[str, str], str] = {}
@@ -340,7 +373,7 @@ def queries() -> dict[str, Query]:
     for query in (
         json_roundtrip, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
         raw_table_loaded_twice, raw_table_appended, seed_tariffs_csv, seed_exclusions_csv, streamed_readings,
-        streamed_daily_savings, missing_dates, missing_dates_by_site, hour_skeleton, hour_skeleton_by_site,
+        streamed_daily_savings, readings_from_tooltips_by_site, collected_days, consolidated_csv, consolidated_table, missing_dates, missing_dates_by_site, hour_skeleton, hour_skeleton_by_site,
         dq_not_null, dq_unique, dq_unique_by_site, tolerant_float, tolerant_hour, iso_date, multi_format_date, label_tokens,
     ):
         found[query.__name__] = query

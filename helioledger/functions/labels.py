@@ -19,20 +19,21 @@ def tooltip_fields(tokens: Column) -> Column:
     inside the row, so nothing is exploded or shuffled.
     """
     mapping = F.create_map(*[F.lit(text) for pair in LABELS.items() for text in pair])
-    nothing = F.lit(None).cast("string")
-
-    def state(label: Column, values: list[Column]) -> Column:
-        return F.struct(label.alias("label"), *[v.alias(name) for name, v in zip(FIELDS, values)])
 
-    def step(seen: Column, token: Column) -> Column:
+    def marked(token: Column) -> Column:
+        """The token, and the field it names if it is a label.  Worked out once, not once per field."""
         name = F.substring(token, F.lit(1), F.length(token) - F.lit(len(LABEL_SUFFIX)))
-        is_label = F.coalesce(F.endswith(token, F.lit(LABEL_SUFFIX)), F.lit(False))
-        label = F.when(is_label, F.coalesce(F.try_element_at(mapping, name), F.lower(name)))
+        label = F.when(F.endswith(token, F.lit(LABEL_SUFFIX)), F.coalesce(F.try_element_at(mapping, name), F.lower(name)))
+        return F.struct(label.alias("label"), token.alias("token"))
+
+    def step(seen: Column, mark: Column) -> Column:
+        value = F.when(mark["label"].isNull(), mark["token"])
         values = [
-            F.when(~is_label & token.isNotNull() & (seen["label"] == field), token).otherwise(seen[field])
+            F.when(seen["label"] == field, F.coalesce(value, seen[field])).otherwise(seen[field]).alias(field)
             for field in FIELDS
         ]
-        return state(F.coalesce(label, seen["label"]), values)
+        return F.struct(F.coalesce(mark["label"], seen["label"]).alias("label"), *values)
 
-    start = state(F.lit("hour"), [nothing] * len(FIELDS))
-    return F.aggregate(tokens, start, step, lambda end: F.struct(*[end[name].alias(name) for name in FIELDS]))
+    nothing = F.lit(None).cast("string")
+    start = F.struct(F.lit("hour").alias("label"), *[nothing.alias(field) for field in FIELDS])
+    return F.aggregate(F.transform(tokens, marked), start, step, lambda end: F.struct(*[end[f].alias(f) for f in FIELDS]))

@@ -26,15 +26,15 @@ def missing_dates(
     """Dates from ``start`` through ``end`` (by default yesterday) that ``present`` lacks.
 
     With keys each row of ``sites``, or else each key found in ``present``, has its
-    own calendar.  Present rows shrink to distinct dates within the map tasks, and
-    both sides of the anti join then hold a date once per key.
+    own calendar.  Present rows are read once and shrink to distinct dates within the
+    map tasks; both sides of the anti join then hold a date once per key.
     """
     end = yesterday() if end is None else end
     first, last = (bound if isinstance(bound, Column) else F.lit(bound) for bound in (start, end))
     days = F.explode(F.when(first <= last, F.sequence(first, last))).alias("date")
     found = present.select(*keys, F.col("date").cast("date").alias("date")).distinct()
     if keys:
-        owners = (present if sites is None else sites).select(*keys).distinct()
+        owners = (found if sites is None else sites).select(*keys).distinct()
     else:
         owners = present.sparkSession.range(1)
     return owners.select(*keys, days).join(found, [*keys, "date"], "left_anti")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from helioledger.operators import cleaning, finance, payback, rollups
 from helioledger.plans import models
 from helioledger.schemas import INSTALLATION_COST
 from helioledger.sinks.marts import register_views, write_mart
-from helioledger.sources.marts import open_mart
+from helioledger.sources.marts import open_relation
 
 MARTS = (
     "daily_savings",
@@ -76,6 +76,12 @@ def build(
         }
     )
     write_mart(rollups.daily_rollup(costs, keys, exact), "daily_rollup", location)
-    rollup = open_mart(spark, "daily_rollup", location)
+    rollup = open_relation(spark, "daily_rollup", location)
     for name, frame in marts_from_rollup(rollup, keys, installation_cost, exact).items():
         write_mart(frame, name, location)
+
+
+def build_from_tables(spark: SparkSession, location: str | None = None, **how) -> None:
+    """The same from the raw tables ``raw_solar_data``, ``raw_tariffs`` and ``raw_exclusions``."""
+    raw = [open_relation(spark, name, location) for name in ("raw_solar_data", "raw_tariffs", "raw_exclusions")]
+    build(*raw, location, **how)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioledger.functions.numbers import float_text
@@ -30,23 +30,23 @@ def save_daily_json(
     """
     if existing not in ("error", "skip"):
         raise ValueError(f"existing must be 'error' or 'skip', not {existing!r}")
-    stored = _stored_dates(readings, path)
+    stored = stored_dates(readings.sparkSession, path)
     if stored is not None:
         if existing == "error" and not readings.select("date").distinct().join(stored, "date", "left_semi").isEmpty():
             raise FileExistsError(f"some of these days are already below {path}")
         readings = readings.join(stored, "date", "left_anti")
     arrays = day_arrays(readings, keys, array_entries)
-    day = F.col("date")
-    columns = [day_part.alias(name) for name, day_part in
-               (("year", F.date_format(day, "yyyy")), ("month", F.date_format(day, "MM")), ("day", F.date_format(day, "dd")))]
+    patterns = {"year": "yyyy", "month": "MM", "day": "dd"}
+    columns = [F.date_format("date", pattern).alias(name) for name, pattern in patterns.items()]
     # Rebalancing gathers a day in few files and still splits a day that is too large.
-    packed = arrays.select("value", *columns).hint("rebalance", "year", "month", "day")
-    packed.write.partitionBy("year", "month", "day").mode("append").text(path)
+    packed = arrays.select("value", *columns).hint("rebalance", *patterns)
+    packed.write.partitionBy(*patterns).mode("append").text(path)
 
 
-def _stored_dates(readings: DataFrame, path: str) -> DataFrame | None:
+def stored_dates(spark: SparkSession, path: str) -> DataFrame | None:
+    """Days already below ``path``; None if there is no such folder."""
     try:
-        return present_dates(readings.sparkSession, path, "part-*")
+        return present_dates(spark, path, "part-*")
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing):
             return None
@@ -107,9 +107,17 @@ def write_parquet(readings: DataFrame, path: str, keys: Sequence[str] = (), part
     typed.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_by).parquet(path)
 
 
-def create_raw_table(readings: DataFrame, table: str, path: str | None = None) -> None:
-    """Create the raw table if there is none; a second run loads nothing."""
-    writer = readings.write.mode("ignore").format("parquet")
+def create_raw_table(
+    readings: DataFrame, table: str, path: str | None = None, partition_by: Sequence[str] = ()
+) -> None:
+    """Create the raw table if there is none; a second run loads nothing.
+
+    Partitioned by date, later filters on the date and ``append_new_readings`` open
+    only the days they need.
+    """
+    if partition_by:
+        readings = readings.hint("rebalance", *partition_by)
+    writer = readings.write.mode("ignore").format("parquet").partitionBy(*partition_by)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from helioledger.session import scratch_path
+from helioledger.sources import daily_json
 
 QUERIES = entry.queries()
 CORE = [
@@ -60,3 +61,9 @@ def test_skeleton_does_not_join_the_readings(spark, small):
 
 def test_scratch_is_the_folder_the_session_names(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_present_dates_do_not_open_files(spark, tmp_path):
+    (tmp_path / "2026-01-17_data.json").write_text("x")
+    text = plan(daily_json.present_dates(spark, str(tmp_path)))
+    assert "ReadSchema: struct<path:string>" in text

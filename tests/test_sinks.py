@@ -86,3 +86,22 @@ def test_build_writes_tables_and_views(spark):
     assert marts.payback_forecast_development(spark).count() == 2
     generated = spark.table("total_solar_generation").first()
     assert (generated["total_solar_generation"], generated["average_daily_solar_generation"]) == (3.0, 1.5)
+
+
+def test_partitioned_raw_table(spark):
+    readings = spark.createDataFrame(READINGS[:1], PARSED_READINGS)
+    sinks.create_raw_table(readings, "raw_by_date", partition_by=["date"])
+    more = spark.createDataFrame([READINGS[0], (dt.date(2026, 1, 18), "00:00", 1.0, 1.0, 1.0, 1.0)], PARSED_READINGS)
+    sinks.append_new_readings(more, "raw_by_date")
+    assert rows(spark.table("raw_by_date").select(more.columns)) == rows(more)
+
+
+def test_build_from_named_tables(spark, tmp_path):
+    location = str(tmp_path)
+    raw = spark.createDataFrame([("2026-01-17", "12:00", "-1", "3", "0.5", "1.5")], RAW_READINGS)
+    raw.write.parquet(f"{location}/raw_solar_data")
+    spark.createDataFrame([("2026-01-01", "2026-03-31", "00:00", "04:00", "0.3", "0.1", "0.2")], RAW_TARIFFS).write.parquet(f"{location}/raw_tariffs")
+    spark.createDataFrame([], RAW_EXCLUSIONS).write.parquet(f"{location}/raw_exclusions")
+    warehouse.build_from_tables(spark, location)
+    for name in warehouse.MARTS:
+        assert marts.open_relation(spark, name, location).count() == 1
