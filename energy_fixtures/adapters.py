@@ -9,6 +9,7 @@ in cents and handed on as text, the way the raw files hold them.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -159,29 +160,51 @@ def parsed(raw: DataFrame, keys=()) -> DataFrame:
 
 
 class OneSite:
-    """The models over one site."""
+    """Raw and typed tables of one site, each set up when first asked for."""
 
-    keys = ()
+    keys: tuple[str, ...] = ()
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.raw = site_readings(spark, sf_dir)
-        self.raw_tariffs = one_tariff(spark)
-        self.raw_exclusions = one_exclusion(spark)
-        self._type()
+        self.spark, self.sf_dir = spark, sf_dir
 
-    def _type(self) -> None:
-        self.readings = models.typed_readings(self.raw, self.keys)
-        self.tariffs = models.int_tariffs(models.stg_tariffs(self.raw_tariffs, self.keys), self.keys)
-        self.exclusions = models.int_exclusions(models.stg_exclusions(self.raw_exclusions, self.keys), self.keys)
+    @cached_property
+    def raw(self) -> DataFrame:
+        return site_readings(self.spark, self.sf_dir)
+
+    @cached_property
+    def raw_tariffs(self) -> DataFrame:
+        return one_tariff(self.spark)
+
+    @cached_property
+    def raw_exclusions(self) -> DataFrame:
+        return one_exclusion(self.spark)
+
+    @cached_property
+    def readings(self) -> DataFrame:
+        return models.typed_readings(self.raw, self.keys)
+
+    @cached_property
+    def tariffs(self) -> DataFrame:
+        return models.int_tariffs(models.stg_tariffs(self.raw_tariffs, self.keys), self.keys)
+
+    @cached_property
+    def exclusions(self) -> DataFrame:
+        return models.int_exclusions(models.stg_exclusions(self.raw_exclusions, self.keys), self.keys)
 
 
 class Fleet(OneSite):
-    """The models over every supplier as a site."""
+    """The same with every supplier as a site."""
 
     keys = SITE
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.raw = fleet_readings(spark, sf_dir)
-        self.raw_tariffs = fleet_tariffs(spark, sf_dir)
-        self.raw_exclusions = fleet_exclusions(spark, sf_dir)
-        self._type()
+    @cached_property
+    def raw(self) -> DataFrame:
+        return fleet_readings(self.spark, self.sf_dir)
+
+    @cached_property
+    def raw_tariffs(self) -> DataFrame:
+        return fleet_tariffs(self.spark, self.sf_dir)
+
+    @cached_property
+    def raw_exclusions(self) -> DataFrame:
+        return fleet_exclusions(self.spark, self.sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fixtures.adapters import EXCLUSION_ROWS, TARIFF_ROWS
+from energy_fixtures.adapters import EXCLUSION_ROWS, TARIFF_ROWS
 from helioledger.operators.quality import NOT_NULL
 from helioledger.schemas import INSTALLATION_COST, MEASURES
 
@@ -266,6 +266,11 @@ def oracle_sql() -> dict[str, str]:
     # Files, tables and streams: what was written must come back
     for name in ("json_roundtrip", "strict_json_load", "csv_roundtrip", "raw_table_loaded_twice", "raw_table_appended", "streamed_readings", "consolidated_csv", "consolidated_table"):
         found[name] = ONE.select(f"SELECT {_PARSED} FROM raw")
+    found["tolerant_json_load"] = FLEET.select(
+        f"""SELECT site_id, {_PARSED} FROM raw WHERE site_id % 8 IN (0, 3, 5)
+UNION ALL SELECT site_id, {_PARSED.replace("hour,", "NULL AS hour,")} FROM raw WHERE site_id % 8 = 6
+UNION ALL SELECT site_id, {_PARSED.replace("CAST(solar AS DOUBLE)", "1.0::DOUBLE")} FROM raw WHERE site_id % 8 = 7"""
+    )
     found["csv_text_by_site"] = FLEET.select(f"SELECT site_id, {_PARSED} FROM raw")
     found["parquet_roundtrip_by_site"] = FLEET.select(
         f"SELECT site_id, {_PARSED.replace('hour,', 'CAST(' + chr(39) + '1970-01-01 ' + chr(39) + ' || hour AS TIMESTAMP) AS hour,')} FROM raw"
@@ -309,9 +314,11 @@ SELECT {k}CAST(date AS DATE) AS date, hour, {values} FROM grid_hours LEFT JOIN r
                 ("int_admin_tariffs", "tariffs"),
                 ("int_admin_exclusions", "exclusions"),
                 ("int_finance_cost_savings", "costs"),
+                ("data_date", "latest"),
             )
         ),
         *FLEET.cost_chain,
+        f"latest AS ({FLEET.latest})",
     )
     repeated = "SELECT 'raw_tariffs' AS relation, 'start_date' AS \"column\", 'unique' AS test, count(*) AS failures FROM (SELECT 1 FROM raw_tariffs GROUP BY {k}start_date HAVING count(*) > 1)"
     found["dq_unique"] = FLEET.select(repeated.format(k=""))

@@ -6,10 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # One optional underscore may stand between two digits.
-_DIGITS = r"\d(?:_?\d)*"
-_NUMBER = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?\z"
-_INFINITE = r"^[+-]?inf(?:inity)?\z"
-_NOT_A_NUMBER = r"^[+-]?nan\z"
+_DIGITS = r"[0-9](?:_?[0-9])*"
+_DECIMAL = rf"[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+_NUMBER = rf"^\s*{_DECIMAL}\s*\z"
+# Blanks of any script around a number, or one of the special values.
+_UNUSUAL = rf"(?iU)^\s*(?:({_DECIMAL})|([+-]?)(inf|infinity|nan))\s*\z"
 
 _CALENDAR_DATE = r"^(?!0000)\d{4}-\d{2}-\d{2}\z"
 _COMPACT_DATE = r"^(?!0000)\d{8}\z"
@@ -26,13 +27,17 @@ def tolerant_float(text: Column) -> Column:
 
     The pattern keeps out spellings that only the JVM takes, such as ``1.5d``.
     """
-    trimmed = F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
-    lowered = F.lower(trimmed)
-    infinite = F.when(F.startswith(trimmed, F.lit("-")), F.lit(float("-inf"))).otherwise(F.lit(float("inf")))
+    plain = F.when(text.contains("_"), F.replace(text, F.lit("_"), F.lit(""))).otherwise(text)
+    return F.when(text.rlike(_NUMBER), plain.try_cast("double")).when(text.rlike(_UNUSUAL), _unusual_float(text))
+
+
+def _unusual_float(text: Column) -> Column:
+    number, sign, name = (F.regexp_extract(text, _UNUSUAL, group) for group in (1, 2, 3))
     return (
-        F.when(trimmed.rlike(_NUMBER), F.regexp_replace(trimmed, "_", "").try_cast("double"))
-        .when(lowered.rlike(_INFINITE), infinite)
-        .when(lowered.rlike(_NOT_A_NUMBER), F.lit(float("nan")))
+        F.when(number != "", F.replace(number, F.lit("_"), F.lit("")).try_cast("double"))
+        .when(F.lower(name) == "nan", F.lit(float("nan")))
+        .when(sign == "-", F.lit(float("-inf")))
+        .otherwise(F.lit(float("inf")))
     )
 
 
@@ -65,7 +70,8 @@ def clock_text(text: Column) -> Column:
     """``H:M`` or ``HH:MM`` text to ``HH:MM``, else NULL."""
     hour = F.lpad(F.regexp_extract(text, _CLOCK, 1), 2, "0")
     minute = F.lpad(F.regexp_extract(text, _CLOCK, 2), 2, "0")
-    return F.when(text.rlike(_CLOCK), F.concat(hour, F.lit(":"), minute))
+    padded = F.when(F.length(text) == 5, text).otherwise(F.concat(hour, F.lit(":"), minute))
+    return F.when(text.rlike(_CLOCK), padded)
 
 
 def spaced_date(text: Column, on_error: str = "null") -> Column:

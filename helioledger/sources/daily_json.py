@@ -49,50 +49,77 @@ def flatten_arrays(text: DataFrame, keys: dict[str, str] | None = None, with_ori
 
     A field that cannot be read is NULL and its row stays.
     """
-    entry = F.col("entry")
-    origin = ["source_file", "position"] if with_origin else []
+    keys = keys or {}
+    origin = ["source_file"] if with_origin else []
     found = [F.col("_metadata.file_path").alias("source_file")] if with_origin else []
-    unpack = F.posexplode if with_origin else F.explode
-    names = ["position", "entry"] if with_origin else ["entry"]
-    return (
-        text.select(*found, whole_array(F.col("value")).alias("entries"))
-        .select(*origin[:1], unpack("entries").alias(*names))
-        .filter(F.schema_of_variant(entry).startswith("OBJECT"))
-        .select(
-            *origin,
-            *[F.try_variant_get(entry, f"$.{name}", kind).alias(name) for name, kind in (keys or {}).items()],
-            iso_date(_text_field(entry, "date")).alias("date"),
-            clock_text(_text_field(entry, "hour")).alias("hour"),
-            *[_number_field(entry, name).alias(name) for name in READING_VALUES],
-        )
+    entries = text.select(*found, *_parsed(F.col("value"), keys)).select(*origin, _entries(keys).alias("entries"))
+    # The outer form keeps the optimizer from adding a null check that would parse twice.
+    if with_origin:
+        rows = entries.select("source_file", F.posexplode_outer("entries").alias("position", "entry"))
+        origin = ["source_file", "position"]
+    else:
+        rows = entries.select(F.explode_outer("entries").alias("entry"))
+    return rows.filter(F.col("entry").isNotNull()).select(
+        *origin,
+        *[F.col(f"entry.{name}").alias(name) for name in keys],
+        iso_date(F.col("entry.date")).alias("date"),
+        clock_text(F.col("entry.hour")).alias("hour"),
+        *[tolerant_float(F.col(f"entry.{name}")).alias(name) for name in READING_VALUES],
     )
 
 
-def whole_array(text: Column) -> Column:
-    """Text to an array of variants; NULL if it is not exactly one JSON array.
+# Values whose type a text would hide: truth values, and numbers that look like a compact date.
+_TYPED_VALUES = r":\s*(?:true|false|[0-9]{8}\s*[,}])"
 
-    The variant parser stops after the first value.  The text is therefore parsed as
-    the first of two entries, and the second, a hash of the text, must follow it.
+
+def _parsed(text: Column, keys: dict[str, str]) -> list[Column]:
+    """The text, its hash, and the text as arrays of flat objects, if it is one.
+
+    A JSON parser stops after the first value.  The text is therefore parsed as one
+    value of an object, and a second one, named by a hash of the text, must follow.
     """
-    seal = F.xxhash64(text)
-    sealed = F.concat(F.lit("["), text, F.lit(","), seal.cast("string"), F.lit("]"))
-    pair = F.try_variant_get(F.try_parse_json(sealed), "$", "array<variant>")
-    intact = (F.size(pair) == 2) & (F.try_variant_get(F.get(pair, F.lit(1)), "$", "bigint") == seal)
-    return F.when(intact, F.try_variant_get(F.get(pair, F.lit(0)), "$", "array<variant>"))
+    shape = ", ".join([*[f"{name}: {kind}" for name, kind in keys.items()], *[f"{name}: string" for name in RAW_READINGS.names]])
+    seal = F.xxhash64(text).cast("string")
+    sealed = F.concat(F.lit('{"text":'), text, F.lit(',"'), seal, F.lit('":[]}'))
+    flat = F.from_json(sealed, f"map<string, array<struct<{shape}>>>", {"allowSingleQuotes": "false"})
+    return [text.alias("text"), seal.alias("seal"), flat.alias("flat")]
+
+
+def _entries(keys: dict[str, str]) -> Column:
+    """Objects of exactly one JSON array as structs of text; NULL for other text."""
+    text, flat = F.col("text"), F.col("flat")
+    careful = flat.isNull() | text.rlike(_TYPED_VALUES)
+    whole = (F.size(flat) == 2) & F.map_contains_key(flat, F.col("seal"))
+    is_array = F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("["))
+    return F.when(is_array & careful, _mixed_entries(keys)).when(is_array & whole, F.try_element_at(flat, F.lit("text")))
+
+
+def _mixed_entries(keys: dict[str, str]) -> Column:
+    """The same for arrays with other entries among the objects, and for typed values."""
+    seal = F.col("seal")
+    pair = F.try_parse_json(F.concat(F.lit("["), F.col("text"), F.lit(","), seal, F.lit("]")))
+    array = F.when(F.try_variant_get(pair, "$[1]", "string") == seal, F.try_variant_get(pair, "$[0]", "array<variant>"))
+
+    def flat(entry: Column) -> Column:
+        fields = [F.try_variant_get(entry, f"$.{name}", kind).alias(name) for name, kind in keys.items()]
+        fields += [_text_only(entry, name).alias(name) for name in ("date", "hour")]
+        fields += [_number_text(entry, name).alias(name) for name in READING_VALUES]
+        return F.when(F.schema_of_variant(entry).startswith("OBJECT"), F.struct(*fields))
+
+    return F.transform(array, flat)
 
 
 def _kind(entry: Column, name: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(entry, f"$.{name}", "variant"))
 
 
-def _text_field(entry: Column, name: str) -> Column:
+def _text_only(entry: Column, name: str) -> Column:
     return F.when(_kind(entry, name) == "STRING", F.try_variant_get(entry, f"$.{name}", "string"))
 
 
-def _number_field(entry: Column, name: str) -> Column:
-    """Numbers and booleans as they are, text through the tolerant parse, anything else NULL."""
-    number = F.try_variant_get(entry, f"$.{name}", "double")
-    return F.when(_kind(entry, name) == "STRING", tolerant_float(_text_field(entry, name))).otherwise(number)
+def _number_text(entry: Column, name: str) -> Column:
+    number = F.try_variant_get(entry, f"$.{name}", "double").cast("string")
+    return F.when(_kind(entry, name) == "BOOLEAN", number).otherwise(F.try_variant_get(entry, f"$.{name}", "string"))
 
 
 def present_dates(spark: SparkSession, path: str, glob: str = DAILY_FILES) -> DataFrame:

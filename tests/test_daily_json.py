@@ -27,7 +27,9 @@ def reading(day=DAY, hour="14:00", grid="0.54", solar="1.23", battery="0.32", ho
 
 def test_whole_files_are_skipped(spark, tmp_path):
     good = json.dumps([reading()], indent=4)
-    for number, text in enumerate([good, "[{", good + " x", good + "]", "[1],[2]", "", "null", json.dumps(reading()), '"text"', "12"]):
+    texts = [good, "[{", good + " x", good + "]", good + "}", good[:-1] + ",]", f"{good},{good}", f'{good},"text":{good}', "[1],[2]", "", "null",
+             json.dumps(reading()), json.dumps(json.dumps([reading()])), '"text"', "12", good.replace('"', "'"), "\ufeff" + good, "\u00a0" + good]
+    for number, text in enumerate(texts):
         place(tmp_path, f"2026-01-{number + 1:02d}", text)
     found = rows(daily_json.read_daily_json(spark, str(tmp_path)))
     assert found == [(dt.date(2026, 1, 17), "14:00", 0.54, 1.23, 0.32, 0.37)]
@@ -55,6 +57,25 @@ def test_entries_and_fields(spark, tmp_path):
     assert rows(found) == sorted(expected, key=repr)
 
 
+def test_flat_arrays_agree_with_mixed_ones(spark, tmp_path):
+    """The same odd fields in an array of objects only, and beside a number."""
+    entries = [
+        reading(), reading(grid=1.5, solar=2, battery=-3e-7, home=12345678901234567890), reading(day=[1], hour={"a": "4:05"}), {},
+        reading(grid=None, solar="nan", battery="true", home="[1]"), {"date": DAY, "x": {"y": [True]}}, reading(day="20260117", hour=14),
+        None, reading(grid="a\u00e9\\n\"b", hour="4:5"),
+    ]
+    found = []
+    for name, more in (("flat", []), ("mixed", [5])):
+        place(tmp_path / name, DAY, json.dumps(entries + more, indent=2))
+        found.append(rows(daily_json.read_daily_json(spark, str(tmp_path / name))))
+    assert repr(found[0]) == repr(found[1]) and len(found[0]) == 8
+
+
+def test_last_of_repeated_fields_wins(spark, tmp_path):
+    place(tmp_path, DAY, '[{"date": "2026-01-17", "grid": "1", "grid": "2"}]')
+    assert daily_json.read_daily_json(spark, str(tmp_path)).first()["grid"] == 2.0
+
+
 def test_origin_gives_a_stable_order(spark, tmp_path):
     place(tmp_path, "2026-01-02", json.dumps([7, reading(hour="01:00"), reading(hour="00:00")]))
     place(tmp_path, "2026-01-01", json.dumps([reading(hour="05:00")]))
