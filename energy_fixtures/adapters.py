@@ -11,7 +11,7 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioledger.functions.parsing import tolerant_float
@@ -31,11 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _cents(name: str) -> F.Column:
+def _cents(name: str) -> Column:
     return F.rint(F.col(name) * 100).cast("long")
 
 
-def _clock(moment) -> F.Column:
+def _clock(moment) -> Column:
     return F.concat(F.lpad(F.hour(moment).cast("string"), 2, "0"), F.lit(":00"))
 
 
@@ -81,8 +81,12 @@ def one_exclusion(spark: SparkSession) -> DataFrame:
     return _literal(spark, EXCLUSION_ROWS, RAW_EXCLUSIONS)
 
 
-def fleet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many sites, hourly, from ``lineitem``; an hour made of seventh lines only is a failed reading."""
+def fleet_readings(spark: SparkSession, sf_dir: str, site: Column | None = None) -> DataFrame:
+    """Many sites, hourly, from ``lineitem``; an hour made of seventh lines only is a failed reading.
+
+    A site is a supplier unless ``site`` says otherwise.
+    """
+    site = F.col("l_suppkey") if site is None else site
     hours = F.pmod(F.col("l_orderkey"), F.lit(24)).cast("int")
     moment = F.to_timestamp_ntz(F.col("l_shipdate")) + F.make_dt_interval(F.lit(0), hours)
 
@@ -93,7 +97,7 @@ def fleet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = F.bool_or(F.col("l_linenumber") != 7)
     hourly = (
         table(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_suppkey").alias("site_id"), moment.alias("reading_datetime"))
+        .groupBy(site.alias("site_id"), moment.alias("reading_datetime"))
         .agg(
             F.when(read, units("A")).alias("solar"),
             F.when(read, units("N")).alias("home"),
@@ -103,11 +107,16 @@ def fleet_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(hourly, SITE)
 
 
+def area_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suppliers in five areas: dense days, which hour skeletons do not multiply by 24."""
+    return fleet_readings(spark, sf_dir, F.col("l_suppkey") % 5)
+
+
 def fleet_tariffs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two tariffs per site: some start late, overlap, have no end or span midnight off-peak."""
     nation = F.col("s_nationkey")
 
-    def day(first: str, shift) -> F.Column:
+    def day(first: str, shift) -> Column:
         return F.date_add(F.lit(first).cast("date"), shift.cast("int")).cast("string")
 
     def rate(base: str, step: str):

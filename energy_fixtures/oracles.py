@@ -73,6 +73,8 @@ raw_exclusions AS (
   FROM outages)"""
 
 
+AREA_RAW = FLEET_RAW.replace("l_suppkey AS site_id", "l_suppkey % 5 AS site_id", 1)
+
 # A forecast of many thousand years is given as days since 1970.
 _DAYS = "date_diff('day', DATE '1970-01-01', CAST(forecast_payback_date AS DATE)) AS forecast_epoch_day"
 _EPOCH_DAY = f"EXCLUDE (forecast_payback_date), {_DAYS}"
@@ -300,8 +302,8 @@ SELECT {k}CAST(date AS DATE) AS date, hour, {values} FROM grid_hours LEFT JOIN r
     tooltip = "raw AS (SELECT * REPLACE (CASE WHEN solar IS NOT NULL THEN battery END AS battery, CASE WHEN solar IS NOT NULL THEN home END AS home) FROM read)"
     renamed = ONE_RAW.replace("raw AS (SELECT", "read AS (SELECT").replace("raw_tariffs(", tooltip + ",\nraw_tariffs(", 1)
     found["collected_days"] = "WITH " + renamed + skeleton.format(k="", values=values)
-    found["readings_from_tooltips_by_site"] = "WITH " + FLEET_RAW + skeleton.format(k="site_id, ", values=values)
-    found["hour_skeleton_by_site"] = "WITH " + FLEET_RAW + skeleton.format(k="site_id, ", values=values)
+    found["readings_from_tooltips_by_site"] = "WITH " + AREA_RAW + skeleton.format(k="site_id, ", values=values)
+    found["hour_skeleton_by_site"] = "WITH " + AREA_RAW + skeleton.format(k="site_id, ", values=values)
 
     # Checks
     found["dq_not_null"] = FLEET.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from energy_fixtures import adapters
@@ -199,7 +199,7 @@ def _tooltips(raw: DataFrame) -> DataFrame:
 
 
 def readings_from_tooltips_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = collection.readings_from_tooltips(_tooltips(adapters.fleet_readings(spark, sf_dir)), SITE)
+    read = collection.readings_from_tooltips(_tooltips(adapters.area_readings(spark, sf_dir)), SITE)
     return parsed(read, SITE)
 
 
@@ -262,7 +262,7 @@ def hour_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hour_skeleton_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coverage.hour_skeleton(parsed(adapters.fleet_readings(spark, sf_dir), SITE), SITE)
+    return coverage.hour_skeleton(parsed(adapters.area_readings(spark, sf_dir), SITE), SITE)
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +287,7 @@ def dq_unique_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unique(adapters.fleet_tariffs(spark, sf_dir), "raw_tariffs", ["start_date"], SITE)
 
 
-def _spelled(choice, spellings) -> F.Column:
+def _spelled(choice, spellings) -> Column:
     """The spelling whose place equals ``choice``; NULL past the last."""
     text = F.lit(None).cast("string")
     for place, spelling in spellings.items():
@@ -323,7 +323,7 @@ def _order_dates(spark: SparkSession, sf_dir: str, spellings) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", _spelled(choice, spellings).alias("text"))
 
 
-def _dated(*pattern: str) -> F.Column:
+def _dated(*pattern: str) -> Column:
     return F.date_format("o_orderdate", *pattern)
 
 
@@ -350,7 +350,7 @@ def multi_format_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     variant = F.col("site_id") % 4
 
-    def pair(label: str, value) -> F.Column:
+    def pair(label: str, value) -> Column:
         return F.array(F.lit(label), value)
 
     none = F.array().cast("array<string>")

@@ -13,8 +13,10 @@ from helioledger.schemas import RATES, READING_VALUES
 _OFF_PEAK_HOURS = ("off_peak_start_hour", "off_peak_end_hour")
 
 
-def _outages(exclusions: DataFrame) -> tuple[str, Intervals]:
-    return "left_anti", Intervals(exclusions, "start_datetime", "end_datetime")
+def _outages(exclusions: DataFrame, keys: Sequence[str]) -> tuple[str, Intervals]:
+    """Of the exclusions that start together only the longest matters, so copies do not pile up in one task."""
+    longest = exclusions.groupBy(*keys, "start_datetime").agg(F.max("end_datetime").alias("end_datetime"))
+    return "left_anti", Intervals(longest, "start_datetime", "end_datetime")
 
 
 def _tariffs(tariffs: DataFrame) -> tuple[str, Intervals]:
@@ -26,7 +28,7 @@ def drop_excluded(readings: DataFrame, exclusions: DataFrame, keys: Sequence[str
 
     A reading without a timestamp stays.
     """
-    return join_intervals(readings, "reading_datetime", [_outages(exclusions)], keys, **how)
+    return join_intervals(readings, "reading_datetime", [_outages(exclusions, keys)], keys, **how)
 
 
 def attach_tariff(readings: DataFrame, tariffs: DataFrame, keys: Sequence[str] = (), **how) -> DataFrame:
@@ -52,7 +54,8 @@ def solar_cleaned(
     If both reference tables are too large to broadcast, the two joins share one
     shuffle of the readings.
     """
-    joined = join_intervals(readings, "reading_datetime", [_outages(exclusions), _tariffs(tariffs)], keys, **how)
+    steps = [_outages(exclusions, keys), _tariffs(tariffs)]
+    joined = join_intervals(readings, "reading_datetime", steps, keys, **how)
     stamp = [name for name in ("ingested_at",) if name in readings.columns]
     return joined.select(
         *keys, "reading_datetime", *READING_VALUES, *stamp, *RATES, off_peak().alias("is_off_peak")

@@ -34,6 +34,9 @@ def get_session(master: str | None = None, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_local_root: str | None = None
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder for tables that cut lineage.
 
@@ -41,10 +44,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     local session without that setting falls back to a temporary folder, because
     on a cluster executors do not share the driver's disk.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="helioledger-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _local_root = _local_root or tempfile.mkdtemp(prefix="helioledger-")
+        root = _local_root
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

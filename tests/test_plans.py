@@ -1,6 +1,7 @@
 """Properties of the physical plans that matter at scale."""
 
 import re
+from types import SimpleNamespace
 
 import pytest
 
@@ -35,14 +36,15 @@ def test_scans_read_only_the_needed_columns(spark, small):
 def test_two_large_reference_tables_share_one_shuffle_of_the_readings(spark, small):
     text = plan(QUERIES["solar_cleaned_by_site_shuffled"](spark, small))
     assert text.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in text
-    # One for each side and one for the adapter's own hours.
-    assert text.count("Exchange hashpartitioning") == 4
+    # One for the readings and each reference table, one for equal starts and one for the adapter's own hours.
+    assert text.count("Exchange hashpartitioning") == 5
 
 
 def test_small_reference_tables_leave_the_readings_in_place(spark, small):
     text = plan(QUERIES["solar_cleaned_by_site"](spark, small))
     assert text.count("BroadcastHashJoin") == 2
-    assert text.count("Exchange hashpartitioning") == 1  # the adapter's
+    # The adapter's own hours, and exclusions of equal start.
+    assert text.count("Exchange hashpartitioning") == 2
 
 
 def test_windows_are_split_by_site(spark, small):
@@ -63,6 +65,16 @@ def test_scratch_is_the_folder_the_session_names(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_scratch_without_a_named_folder():
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=SimpleNamespace(master=master))
+
+    first, second = scratch_path(session("local[2]"), "a"), scratch_path(session("local[2]"), "a")
+    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(session("spark://host:7077"), "a")
+
+
 def test_present_dates_do_not_open_files(spark, tmp_path):
     (tmp_path / "2026-01-17_data.json").write_text("x")
     text = plan(daily_json.present_dates(spark, str(tmp_path)))
