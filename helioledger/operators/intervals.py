@@ -28,7 +28,8 @@ SPLIT_ABOVE = 10_000_000
 # NULL also spares the optimizer from pushing a null check, and with it the parsing
 # of the timestamp, a second time below the join.
 NO_SLOT = -(2**31)
-# An interval over more slots than this is first clipped to the span of the facts.
+# An interval over more slots than this is first clipped to the span of the facts,
+# which takes a pass over their moments.
 LONG_SPAN = 2_400
 
 
@@ -53,10 +54,13 @@ class Intervals:
     rows: int = 0
     size: int = 0
     longest: int = 0
+    # What ``frame`` was condensed from: never smaller, and cheaper to measure.
+    source: DataFrame | None = None
 
     def measure(self, place: int) -> DataFrame:
         """Rows, bytes and longest span in slots after spreading, as one row from one aggregate."""
-        used = self.frame.select(*self.keys, self.start, self.end, *self.payload)
+        source = self.frame if self.source is None else self.source
+        used = source.select(*self.keys, self.start, self.end, *self.payload)
         span = F.when(self._valid(), self._last() - self._first() + 1).otherwise(F.lit(0))
         text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in used.schema if f.dataType.typeName() == "string"]
         width = sum(text, F.lit(24 + 8 * (len(used.columns) + 1)))

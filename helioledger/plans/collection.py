@@ -23,7 +23,8 @@ def readings_from_tooltips(tooltips: DataFrame, keys: Sequence[str] = ()) -> Dat
     """
     fields = tooltips.withColumn("fields", tooltip_fields(F.col("tokens")))
     hour = F.when(F.col("tokens").isNull(), F.col("hour")).otherwise(F.col("fields.hour"))
-    read = fields.select(*keys, "date", hour.alias("hour"), *[F.col(f"fields.{name}").alias(name) for name in READING_VALUES])
+    values = [F.col(f"fields.{name}").alias(name) for name in READING_VALUES]
+    read = fields.select(*keys, "date", hour.alias("hour"), *values)
     return coverage.hour_skeleton(read, keys)
 
 

@@ -128,8 +128,9 @@ def append_new_readings(readings: DataFrame, table: str, keys: Sequence[str] = (
     """
     identity = [*keys, "date", "hour"]
     first, last = readings.agg(F.min("date"), F.max("date")).first()
-    held = readings.sparkSession.table(table).filter(F.col("date").between(F.lit(first), F.lit(last)) | F.col("date").isNull())
+    stored = readings.sparkSession.table(table)
+    held = stored.filter(F.col("date").between(F.lit(first), F.lit(last)) | F.col("date").isNull())
     known = held.select(*[F.col(name).alias(f"_held_{name}") for name in identity]).distinct()
     same = [F.col(name).eqNullSafe(F.col(f"_held_{name}")) for name in identity]
     fresh = readings.join(known, same, "left_anti")
-    fresh.select(*readings.sparkSession.table(table).columns).write.mode("append").insertInto(table)
+    fresh.select(*stored.columns).write.mode("append").insertInto(table)

@@ -78,7 +78,8 @@ def _parsed(text: Column, keys: dict[str, str]) -> list[Column]:
     A JSON parser stops after the first value.  The text is therefore parsed as one
     value of an object, and a second one, named by a hash of the text, must follow.
     """
-    shape = ", ".join([*[f"{name}: {kind}" for name, kind in keys.items()], *[f"{name}: string" for name in RAW_READINGS.names]])
+    fields = {**keys, **dict.fromkeys(RAW_READINGS.names, "string")}
+    shape = ", ".join(f"{name}: {kind}" for name, kind in fields.items())
     seal = F.xxhash64(text).cast("string")
     sealed = F.concat(F.lit('{"text":'), text, F.lit(',"'), seal, F.lit('":[]}'))
     flat = F.from_json(sealed, f"map<string, array<struct<{shape}>>>", {"allowSingleQuotes": "false"})
@@ -131,5 +132,6 @@ def present_dates(spark: SparkSession, path: str, glob: str = DAILY_FILES) -> Da
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     name = F.regexp_extract("path", r"/(\d{4}-\d{2}-\d{2})_data\.json$", 1)
     folder = F.regexp_extract("path", r"/year=(\d{4})/month=\d{2}/day=\d{2}/", 0)
-    text = F.when(name != "", name).when(folder != "", F.regexp_replace(folder, r"^/year=(\d+)/month=(\d+)/day=(\d+)/$", "$1-$2-$3"))
+    dashed = F.regexp_replace(folder, r"^/year=(\d+)/month=(\d+)/day=(\d+)/$", "$1-$2-$3")
+    text = F.when(name != "", name).when(folder != "", dashed)
     return files.select(text.try_cast("date").alias("date")).filter("date IS NOT NULL").distinct()
