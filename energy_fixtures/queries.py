@@ -349,17 +349,10 @@ def multi_format_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     variant = F.col("site_id") % 4
-
-    def pair(label: str, value) -> Column:
-        return F.array(F.lit(label), value)
-
-    none = F.array().cast("array<string>")
-    tokens = F.array_compact(F.concat(
-        F.array("hour"), pair("Grd : ", F.col("grid")), pair("Sol : ", F.col("solar")),
-        F.when(variant == 1, pair("Wnd : ", F.lit("7.70"))).otherwise(none),
-        F.when(variant == 3, pair("BATTERY : ", F.col("battery"))).otherwise(pair("Bat : ", F.col("battery"))),
-        pair("Hom : ", F.col("home")),
-        F.when(variant == 2, pair("Grd : ", F.lit("9.99"))).otherwise(none),
+    battery = F.when(variant == 3, "BATTERY : ").otherwise("Bat : ")
+    tokens = F.array_compact(F.array(
+        "hour", F.lit("Grd : "), "grid", F.lit("Sol : "), "solar", F.when(variant == 1, "Wnd : "), F.when(variant == 1, "7.70"),
+        battery, "battery", F.lit("Hom : "), "home", F.when(variant == 2, "Grd : "), F.when(variant == 2, "9.99"),
     ))
     rows = adapters.fleet_readings(spark, sf_dir).select(*SITE, "date", labels.tooltip_fields(tokens).alias("fields"))
     return rows.select(*SITE, "date", "fields.*")
