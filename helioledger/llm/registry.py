@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 from helioledger.llm.bpe import op10_byte_level_bpe
+from helioledger.llm.langid import op1_evidence_fusion
 from helioledger.llm.mixing import op3_temperature_mixing
 from helioledger.llm.quality import op2_distribution_divergence
 from helioledger.llm.secrets import op9_structural_confirmation
 from helioledger.llm.sharding import op4_rendezvous_sharding
 from helioledger.llm.simhash import op7_meet_in_the_middle_simhash
+from helioledger.llm.suffixes import OP6_SQL, op6_prefix_partitioned_suffixes
+from helioledger.llm.topk import OP5_SQL, op5_histogram_top_k
+from helioledger.llm.wrappers import op8_wrapper_induction
 
 _QUERIES = (
+    op1_evidence_fusion,
     op2_distribution_divergence,
     op3_temperature_mixing,
     op4_rendezvous_sharding,
+    op5_histogram_top_k,
+    op6_prefix_partitioned_suffixes,
     op7_meet_in_the_middle_simhash,
+    op8_wrapper_induction,
     op9_structural_confirmation,
     op10_byte_level_bpe,
 )
@@ -24,4 +32,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op5_histogram_top_k.__name__: OP5_SQL, op6_prefix_partitioned_suffixes.__name__: OP6_SQL}
