@@ -265,14 +265,56 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT site_id, {_SERVED}, {_DAYS} FROM development", *FLEET.cost_chain, FLEET.payback
     )
 
+    # Views read after rows were added, with a tariff that never ends
+    endless = [ONE.typed.replace("CAST(end_date AS DATE) AS end_date", "DATE '9999-12-31' AS end_date"), ONE.kept, ONE.priced(), ONE.flagged, ONE.valued]
+    found["live_views"] = ONE.select("SELECT * FROM costs", *endless)
+    half = FLEET.typed.replace("CAST(end_date || ' ' || end_time AS TIMESTAMP) AS end_datetime", "CAST(start_date || ' ' || start_time AS TIMESTAMP) + INTERVAL 30 MINUTE AS end_datetime")
+    found["dense_exclusions"] = FLEET.select(
+        "SELECT * FROM readings r WHERE NOT EXISTS (SELECT 1 FROM exclusions x WHERE r.reading_datetime BETWEEN x.start_datetime AND x.end_datetime)", half
+    )
+
+    # Options
+    for name, by, kind in (("daily", "day", "date"), ("monthly", "month", "month"), ("total", "", "")):
+        sums = ", ".join(f"round(sum({m}), 6) + 0.0 AS {m}" for m in MEASURES)
+        key = f"date_trunc('{by}', reading_datetime) AS reading_{kind}, " if by else ""
+        found[f"{name}_savings_default_by_site"] = FLEET.select(f"SELECT site_id, {key}{sums} FROM costs GROUP BY ALL", *FLEET.cost_chain)
+    found["hourly_generation_by_month_default_by_site"] = FLEET.select(
+        "SELECT site_id, CAST(date_trunc('month', reading_datetime) AS DATE) AS month, CAST(hour(reading_datetime) AS INTEGER) AS hour, round(sum(solar), 6) + 0.0 AS solar FROM cleaned GROUP BY ALL",
+        *FLEET.chain,
+    )
+    lasting = FLEET.typed.replace("CAST(end_date AS DATE) AS end_date", "coalesce(CAST(end_date AS DATE), DATE '9999-12-31') AS end_date")
+    found["tariff_open_ended_by_site"] = FLEET.select("SELECT * FROM priced", lasting, FLEET.priced("readings"))
+    between = "hour(reading_datetime) BETWEEN off_peak_start_hour AND off_peak_end_hour"
+    wrapped = FLEET.flagged.replace(
+        between,
+        f"CASE WHEN off_peak_start_hour > off_peak_end_hour THEN hour(reading_datetime) >= off_peak_start_hour OR hour(reading_datetime) <= off_peak_end_hour ELSE {between} END",
+    )
+    ended = FLEET.flagged.replace(between, "hour(reading_datetime) >= off_peak_start_hour AND hour(reading_datetime) < off_peak_end_hour")
+    for name, flagged in (("off_peak_wrapped_by_site", wrapped), ("off_peak_end_exclusive_by_site", ended)):
+        found[name] = FLEET.select("SELECT site_id, reading_datetime, is_off_peak FROM cleaned", *FLEET.chain[:3], flagged)
+    found["payback_remaining_by_site"] = found["payback_forecast_current_by_site"].replace(
+        "TRY_CAST(installation_cost /", "TRY_CAST((installation_cost - cumulative_saving) /"
+    )
+    found["generation_per_day_by_site"] = FLEET.select(
+        """SELECT site_id, CAST(sum(CAST(solar AS DECIMAL(18,6))) AS DOUBLE) AS total_solar_generation,
+  CAST(sum(CAST(solar AS DECIMAL(18,6))) AS DOUBLE) / count(DISTINCT date_trunc('day', reading_datetime)) AS average_daily_solar_generation
+FROM cleaned GROUP BY site_id""",
+        *FLEET.chain,
+    )
+    found["served_daily_savings_in_order"] = FLEET.select(
+        f"SELECT CAST(row_number() OVER (ORDER BY reading_date DESC, site_id) AS INTEGER) AS place, site_id, reading_date FROM ({FLEET.daily})", *FLEET.cost_chain
+    )
+
     # Files, tables and streams: what was written must come back
-    for name in ("json_roundtrip", "strict_json_load", "csv_roundtrip", "raw_table_loaded_twice", "raw_table_appended", "streamed_readings", "consolidated_csv", "consolidated_table"):
+    for name in ("json_roundtrip", "json_roundtrip_small_arrays", "strict_json_load", "csv_roundtrip", "raw_table_loaded_twice", "raw_table_appended", "streamed_readings", "consolidated_csv", "consolidated_table"):
         found[name] = ONE.select(f"SELECT {_PARSED} FROM raw")
     found["tolerant_json_load"] = FLEET.select(
         f"""SELECT site_id, {_PARSED} FROM raw WHERE site_id % 8 IN (0, 3, 5)
 UNION ALL SELECT site_id, {_PARSED.replace("hour,", "NULL AS hour,")} FROM raw WHERE site_id % 8 = 6
 UNION ALL SELECT site_id, {_PARSED.replace("CAST(solar AS DOUBLE)", "1.0::DOUBLE")} FROM raw WHERE site_id % 8 = 7"""
     )
+    found["json_roundtrip_by_site"] = ONE.select(f"SELECT CAST(substr(hour, 1, 2) AS BIGINT) % 2 AS site_id, {_PARSED} FROM raw")
+    found["strict_json_load_by_site"] = ONE.select(f"SELECT {_PARSED} FROM raw")
     found["csv_text_by_site"] = FLEET.select(f"SELECT site_id, {_PARSED} FROM raw")
     found["parquet_roundtrip_by_site"] = FLEET.select(
         f"SELECT site_id, {_PARSED.replace('hour,', 'CAST(' + chr(39) + '1970-01-01 ' + chr(39) + ' || hour AS TIMESTAMP) AS hour,')} FROM raw"
@@ -301,7 +343,19 @@ SELECT {k}CAST(date AS DATE) AS date, hour, {values} FROM grid_hours LEFT JOIN r
     # Tooltips without tokens keep their hour; a reading without a solar value had no tooltip.
     tooltip = "raw AS (SELECT * REPLACE (CASE WHEN solar IS NOT NULL THEN battery END AS battery, CASE WHEN solar IS NOT NULL THEN home END AS home) FROM read)"
     renamed = ONE_RAW.replace("raw AS (SELECT", "read AS (SELECT").replace("raw_tariffs(", tooltip + ",\nraw_tariffs(", 1)
-    found["collected_days"] = "WITH " + renamed + skeleton.format(k="", values=values)
+    span = ", span AS (SELECT min(CAST(date AS DATE)) AS a, max(CAST(date AS DATE)) AS z FROM raw)"
+    found["collected_days"] = (
+        "WITH " + renamed + span + """, grid_hours AS (SELECT strftime(d, '%Y-%m-%d') AS date, strftime(TIMESTAMP '2000-01-01' + to_hours(CAST(h AS INTEGER)), '%H:%M') AS hour
+  FROM (SELECT unnest(generate_series(a::TIMESTAMP, z::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM span) CROSS JOIN range(24) AS t(h))
+SELECT CAST(date AS DATE) AS date, hour, """ + values + " FROM grid_hours LEFT JOIN raw USING (date, hour)"
+    )
+    found["collected_days_by_site"] = (
+        "WITH " + renamed + span + """, sites(site_id) AS (VALUES (1::BIGINT), (2::BIGINT)),
+shown AS (SELECT site_id, raw.* FROM raw, sites, span WHERE site_id = 1 OR CAST(date AS DATE) > a + CAST((z - a) // 2 AS INTEGER)),
+grid_hours AS (SELECT site_id, strftime(d, '%Y-%m-%d') AS date, strftime(TIMESTAMP '2000-01-01' + to_hours(CAST(h AS INTEGER)), '%H:%M') AS hour
+  FROM (SELECT unnest(generate_series(a::TIMESTAMP, z::TIMESTAMP, INTERVAL 1 DAY)) AS d FROM span) CROSS JOIN range(24) AS t(h) CROSS JOIN sites)
+SELECT site_id, CAST(date AS DATE) AS date, hour, """ + values + " FROM grid_hours LEFT JOIN shown USING (site_id, date, hour)"
+    )
     found["readings_from_tooltips_by_site"] = "WITH " + AREA_RAW + skeleton.format(k="site_id, ", values=values)
     found["hour_skeleton_by_site"] = "WITH " + AREA_RAW + skeleton.format(k="site_id, ", values=values)
 

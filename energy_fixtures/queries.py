@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from energy_fixtures import adapters
@@ -87,7 +87,30 @@ def _saved_json(spark: SparkSession, sf_dir: str) -> str:
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_json.read_daily_json(spark, _saved_json(spark, sf_dir), glob="part-*", layout="lines")
+    return daily_json.read_daily_json(spark, _saved_json(spark, sf_dir))
+
+
+def json_roundtrip_small_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days in several arrays each, read with the defaults."""
+    path = scratch_path(spark, "small-arrays")
+    sinks.save_daily_json(_parsed_site(spark, sf_dir), path, array_entries=10)
+    return daily_json.read_daily_json(spark, path)
+
+
+def _saved_areas(spark: SparkSession, sf_dir: str) -> str:
+    """Even and odd hours as two sites, in several arrays a day."""
+    path = scratch_path(spark, "area-json")
+    sites = _parsed_site(spark, sf_dir).withColumn("site_id", F.substring("hour", 1, 2).cast("bigint") % 2)
+    sinks.save_daily_json(sites, path, SITE, array_entries=10)
+    return path
+
+
+def json_roundtrip_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_json.read_daily_json(spark, _saved_areas(spark, sf_dir), keys={"site_id": "bigint"})
+
+
+def strict_json_load_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsed(daily_json.read_raw_json(spark, _saved_areas(spark, sf_dir)))
 
 
 def tolerant_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,11 +133,11 @@ def tolerant_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def strict_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsed(daily_json.read_raw_json(spark, _saved_json(spark, sf_dir), glob="part-*"))
+    return parsed(daily_json.read_raw_json(spark, _saved_json(spark, sf_dir)))
 
 
 def files_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_json.present_dates(spark, _saved_json(spark, sf_dir), "part-*")
+    return daily_json.present_dates(spark, _saved_json(spark, sf_dir))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,11 +171,11 @@ def raw_table_loaded_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_table_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half the days first, then all of them: the second load adds the other half."""
+    """Half the days first, then all of them, each hour twice: the second load adds the other half once."""
     name, path = _raw_table(spark)
     site = _parsed_site(spark, sf_dir)
     sinks.create_raw_table(site.filter(F.day("date") <= 15), name, path)
-    sinks.append_new_readings(site, name)
+    sinks.append_new_readings(site.unionByName(site), name)
     return spark.table(name)
 
 
@@ -171,7 +194,7 @@ def seed_exclusions_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = ingest.stream_daily_json(spark, _saved_json(spark, sf_dir), glob="part-*", layout="lines")
+    stream = ingest.stream_daily_json(spark, _saved_json(spark, sf_dir))
     target = scratch_path(spark, "streamed")
     ingest.append_readings(stream, target, scratch_path(spark, "stream-state")).awaitTermination()
     return spark.read.schema(PARSED_READINGS).parquet(target)
@@ -179,7 +202,7 @@ def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_daily_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
     tariffs, exclusions = adapters.one_tariff(spark), adapters.one_exclusion(spark)
-    stream = ingest.stream_daily_json(spark, _saved_json(spark, sf_dir), glob="part-*", layout="lines")
+    stream = ingest.stream_daily_json(spark, _saved_json(spark, sf_dir))
     target = scratch_path(spark, "partial-sums")
     stream_rollup.write_partial_sums(
         stream,
@@ -203,24 +226,42 @@ def readings_from_tooltips_by_site(spark: SparkSession, sf_dir: str) -> DataFram
     return parsed(read, SITE)
 
 
+def _bounds(days: DataFrame) -> tuple[dt.date, dt.date, dt.date]:
+    first, last = days.agg(F.min(F.col("date").cast("date")), F.max(F.col("date").cast("date"))).first()
+    return first, first + (last - first) // 2, last
+
+
 def collected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Collect the first half of the days, then whatever is missing."""
     folder = scratch_path(spark, "collected")
     tooltips = _tooltips(adapters.site_readings(spark, sf_dir))
-    for last in (15, 31):
-        collection.collect(tooltips, folder, dt.date(2024, 1, 1), dt.date(2024, 1, last))
-    return daily_json.read_daily_json(spark, folder, "part-*", "lines")
+    first, *ends = _bounds(tooltips)
+    for last in ends:
+        collection.collect(tooltips, folder, first, last)
+    return daily_json.read_daily_json(spark, folder)
+
+
+def collected_days_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site 1 collects the first half alone; then both sites collect, though site 2 has shown nothing in that half."""
+    folder = scratch_path(spark, "collected-by-site")
+    tooltips = _tooltips(adapters.site_readings(spark, sf_dir))
+    first, middle, last = _bounds(tooltips)
+    one = tooltips.withColumn("site_id", F.lit(1).cast("bigint"))
+    two = tooltips.filter(F.col("date") > middle).withColumn("site_id", F.lit(2).cast("bigint"))
+    collection.collect(one, folder, first, middle, SITE)
+    collection.collect(one.unionByName(two), folder, first, last, SITE)
+    return daily_json.read_daily_json(spark, folder, keys={"site_id": "bigint"})
 
 
 def consolidated_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "consolidated")
-    collection.consolidate_csv(spark, _saved_json(spark, sf_dir), path, "part-*", "lines")
+    collection.consolidate_csv(spark, _saved_json(spark, sf_dir), path)
     return spark.read.schema(PARSED_READINGS).option("header", True).csv(path)
 
 
 def consolidated_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, path = _raw_table(spark)
-    collection.consolidate_table(spark, _saved_json(spark, sf_dir), name, path, "part-*")
+    collection.consolidate_table(spark, _saved_json(spark, sf_dir), name, path)
     return parsed(spark.table(name))
 
 
@@ -240,6 +281,25 @@ def built_warehouse(spark: SparkSession, sf_dir: str) -> str:
     return _BUILT[key]
 
 
+def live_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build from half of the days, then add the rest beyond the span seen so far, then read the view."""
+    name, path = _raw_table(spark)
+    raw = adapters.site_readings(spark, sf_dir)
+    middle = F.lit(_bounds(raw)[1]).cast("string")
+    sinks.create_raw_table(raw.filter(F.col("date") <= middle), name, path)
+    endless = adapters.one_tariff(spark).withColumn("end_date", F.lit("9999-12-31"))
+    warehouse.build(spark.table(name), endless, adapters.one_exclusion(spark), scratch_path(spark, "live-marts"))
+    sinks.append_new_readings(raw, name)
+    return spark.table("int_finance_cost_savings").drop("ingested_at")
+
+
+def dense_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All exclusions in one calendar, half an hour each, so that a month has very many."""
+    fleet = Fleet(spark, sf_dir)
+    half = F.col("start_datetime") + F.make_dt_interval(mins=F.lit(30))
+    return cleaning.drop_excluded(fleet.readings, fleet.exclusions.withColumn("end_datetime", half), broadcast_bytes=0)
+
+
 def _served(read) -> Query:
     return lambda spark, sf_dir: read(spark, built_warehouse(spark, sf_dir), SITE)
 
@@ -267,14 +327,18 @@ def hour_skeleton_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     fleet = Fleet(spark, sf_dir)
+    # The hours are joined once; what the checks ask of them is one column.
+    path = scratch_path(spark, "checked-hours")
+    _costs(fleet).select(*SITE, "reading_datetime").write.parquet(path)
+    hours = spark.read.parquet(path)
     relations = {
         "raw_solar_data": fleet.raw,
         "raw_tariffs": fleet.raw_tariffs,
         "raw_exclusions": fleet.raw_exclusions,
         "int_admin_tariffs": fleet.tariffs,
         "int_admin_exclusions": fleet.exclusions,
-        "int_finance_cost_savings": _costs(fleet),
-        "data_date": rollups.data_date(_cleaned(fleet), SITE),
+        "int_finance_cost_savings": hours,
+        "data_date": rollups.data_date(hours, SITE),
     }
     return quality.check_all(relations).filter("test = 'not_null'").drop("passed")
 
@@ -358,6 +422,21 @@ def label_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*SITE, "date", "fields.*")
 
 
+def _rounded(frame: DataFrame) -> DataFrame:
+    """Sums of doubles to six places, past which their order tells; adding 0 takes the sign off a zero."""
+    doubles = {name: F.round(name, 6) + 0.0 for name, kind in frame.dtypes if kind == "double"}
+    return frame.withColumns(doubles)
+
+
+def _flag(cleaned: DataFrame) -> DataFrame:
+    return cleaned.select(*SITE, "reading_datetime", "is_off_peak")
+
+
+def _in_order(frame: DataFrame) -> DataFrame:
+    """Sorted rows of a mart with their place."""
+    return frame.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))).select("place", *SITE, "reading_date")
+
+
 def queries() -> dict[str, Query]:
     found = {**_models(OneSite), **_models(Fleet, "_by_site")}
     found |= {
@@ -376,6 +455,16 @@ def queries() -> dict[str, Query]:
         "total_from_daily_by_site": lambda s, d: rollups.total_from_daily(_rollup(Fleet(s, d)), SITE, exact=True),
         "generation_from_daily_by_site": lambda s, d: rollups.generation_from_daily(_rollup(Fleet(s, d)), SITE, exact=True),
         "newest_missing_date_by_site": lambda s, d: coverage.newest_missing_date(missing_dates_by_site(s, d), SITE),
+        "daily_savings_default_by_site": lambda s, d: _rounded(rollups.daily_savings(rollups.daily_rollup(_costs(Fleet(s, d)), SITE), SITE)),
+        "monthly_savings_default_by_site": lambda s, d: _rounded(rollups.monthly_savings(_costs(Fleet(s, d)), SITE)),
+        "total_savings_default_by_site": lambda s, d: _rounded(rollups.total_savings(_costs(Fleet(s, d)), SITE)),
+        "hourly_generation_by_month_default_by_site": lambda s, d: _rounded(rollups.hourly_generation_by_month(_cleaned(Fleet(s, d)), SITE)),
+        "tariff_open_ended_by_site": lambda s, d: cleaning.attach_tariff(Fleet(s, d).readings, Fleet(s, d).tariffs, SITE, open_ended=True),
+        "off_peak_wrapped_by_site": lambda s, d: _flag(_cleaned(Fleet(s, d), wrap_midnight=True)),
+        "off_peak_end_exclusive_by_site": lambda s, d: _flag(_cleaned(Fleet(s, d), end_inclusive=False)),
+        "payback_remaining_by_site": lambda s, d: payback.payback_forecast_current(_rollup(Fleet(s, d)), SITE, exact=True, basis="remaining"),
+        "generation_per_day_by_site": lambda s, d: rollups.generation_from_daily(_rollup(Fleet(s, d)), SITE, exact=True, per_day=True),
+        "served_daily_savings_in_order": lambda s, d: _in_order(marts.daily_savings(s, built_warehouse(s, d), SITE)),
         "served_data_date": _served(marts.data_date),
         "served_daily_savings": _served(marts.daily_savings),
         "served_monthly_savings": _served(marts.monthly_savings),
@@ -384,7 +473,8 @@ def queries() -> dict[str, Query]:
         "served_payback_forecast_development": _served(lambda *at: _epoch_day(marts.payback_forecast_development(*at))),
     }
     for query in (
-        json_roundtrip, tolerant_json_load, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
+        json_roundtrip, json_roundtrip_small_arrays, json_roundtrip_by_site, strict_json_load_by_site, collected_days_by_site, live_views,
+        dense_exclusions, tolerant_json_load, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
         raw_table_loaded_twice, raw_table_appended, seed_tariffs_csv, seed_exclusions_csv, streamed_readings,
         streamed_daily_savings, readings_from_tooltips_by_site, collected_days, consolidated_csv, consolidated_table, missing_dates, missing_dates_by_site, hour_skeleton, hour_skeleton_by_site,
         dq_not_null, dq_unique, dq_unique_by_site, tolerant_float, tolerant_hour, iso_date, multi_format_date, label_tokens,

@@ -37,3 +37,14 @@ def tooltip_fields(tokens: Column) -> Column:
     nothing = F.lit(None).cast("string")
     start = F.struct(F.lit("hour").alias("label"), *[nothing.alias(field) for field in FIELDS])
     return F.aggregate(F.transform(tokens, marked), start, step, lambda end: F.struct(*[end[f].alias(f) for f in FIELDS]))
+
+
+def unknown_labels(tokens: Column) -> Column:
+    """Fields that tokens name beside the five, in the order of their first token; ``tooltip_fields`` leaves them out."""
+    known = F.array(*map(F.lit, [*LABELS, *FIELDS]))
+    names = F.transform(
+        F.filter(tokens, lambda token: F.endswith(token, F.lit(LABEL_SUFFIX))),
+        lambda token: F.substring(token, F.lit(1), F.length(token) - F.lit(len(LABEL_SUFFIX))),
+    )
+    odd = F.filter(names, lambda name: ~F.array_contains(known, name) & ~F.array_contains(known, F.lower(name)))
+    return F.array_distinct(F.transform(odd, F.lower))

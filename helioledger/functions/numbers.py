@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MILLION = 1_000_000.0
+_HALF = float(1 << 32)
+_LARGE = 1e15
 _PLAIN = r"^(-?)(\d)\.(\d+)E(-?)(\d+)$"
 
 
@@ -13,18 +15,30 @@ def total(column: Column, exact: bool = False) -> Column:
     """SUM as double.
 
     ``exact`` adds whole millionths, so the result does not depend on the order in
-    which partitions arrive.  They fit a long up to 9.2e12 per group, past which the
-    sum is an error; decimals would have no such bound but take far longer.
+    which partitions arrive.  They are added in two halves, which together hold any
+    sum of values below 1e15.  Larger values and those that are no number are added
+    as doubles to that: they make the sum as inexact, or as little a number, as they are.
     """
     if exact:
-        return F.sum(F.rint(column * _MILLION).cast("long")).cast("double") / _MILLION
+        odd = F.isnan(column) | (F.abs(column) >= _LARGE)
+        millionths = F.rint(F.when(~odd, column) * _MILLION)
+        high = F.floor(millionths / _HALF)
+        low = (millionths - high * _HALF).cast("long")
+        whole = (F.sum(high).cast("double") * _HALF + F.sum(low).cast("double")) / _MILLION
+        rest = F.sum(F.when(odd, column))
+        return F.when(rest.isNull(), whole).otherwise(F.coalesce(whole, F.lit(0.0)) + rest)
     return F.sum(column)
 
 
 def total_of_totals(column: Column, exact: bool = False) -> Column:
-    """SUM over values that are sums themselves: few rows, so wide decimals are cheap enough."""
+    """SUM over values that are sums themselves: few rows, so wide decimals are cheap enough.
+
+    Values that no decimal holds are added as doubles.
+    """
     if exact:
-        return F.sum(column.cast("decimal(28,6)")).cast("double")
+        held = column.try_cast("decimal(28,6)")
+        rest = F.sum(F.when(held.isNull(), column))
+        return F.when(rest.isNull(), F.sum(held).cast("double")).otherwise(F.coalesce(F.sum(held).cast("double"), F.lit(0.0)) + rest)
     return F.sum(column)
 
 

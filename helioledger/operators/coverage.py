@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helioledger.schemas import CHART_HOURS, READING_VALUES
+from helioledger.session import scratch_path
+
+# Hours that one long marks.
+_BITS = 63
 
 
 def yesterday() -> Column:
@@ -55,23 +59,34 @@ def hour_skeleton(
     keys: Sequence[str] = (),
     dates: DataFrame | None = None,
     hours: Sequence[str] = CHART_HOURS,
+    asked: str = "hour",
 ) -> DataFrame:
     """Readings plus a row of NULL values for each configured hour a date lacks.
 
     The readings are passed on as they are.  Beside them, one bit per hour is ORed
     per key and date, and the clear bits become the added rows, so no reading is
-    shuffled.  ``dates`` adds dates of which every hour failed.
+    shuffled.  The input is written once first, as both branches read it.  ``dates``
+    adds dates of which every hour failed.  ``asked`` names the column with the hour
+    that was asked for, where the hour of a reading can be another.
     """
-    if len(hours) > 63:
-        raise ValueError("at most 63 hours fit the bit set")
-    labels = F.array(*[F.lit(hour) for hour in hours])
+    spark = readings.sparkSession
     group = [*keys, "date"]
-    place = F.array_position(labels, F.col("hour")).cast("int") - 1
-    bit = F.when(place >= 0, F.call_function("shiftleft", F.lit(1).cast("long"), place)).otherwise(F.lit(0))
-    seen = readings.select(*group, bit.alias("bit")).groupBy(*group).agg(F.coalesce(F.bit_or("bit"), F.lit(0)).alias("seen"))
+    landed = scratch_path(spark, "skeleton")
+    readings.select(*dict.fromkeys([*group, "hour", asked, *READING_VALUES])).write.parquet(landed)
+    readings = spark.read.parquet(landed)
+    labels = F.array(*[F.lit(hour) for hour in hours])
+    place = F.array_position(labels, F.col(asked)).cast("int") - 1
+    words = range(-(-len(hours) // _BITS))
+    bits = [
+        F.when(F.floor(place / _BITS) == word, F.call_function("shiftleft", F.lit(1).cast("long"), place % _BITS)).otherwise(F.lit(0))
+        for word in words
+    ]
+    marked = readings.select(*group, *[bit.alias(f"bits_{word}") for word, bit in zip(words, bits)])
+    seen = marked.groupBy(*group).agg(*[F.bit_or(f"bits_{word}").alias(f"seen_{word}") for word in words])
     if dates is not None:
-        seen = dates.select(*group).distinct().join(seen, group, "full").withColumn("seen", F.coalesce("seen", F.lit(0)))
-    lacking = F.filter(labels, lambda _, place: F.getbit(F.col("seen"), place) == 0)
+        seen = dates.select(*group).distinct().join(seen, group, "full")
+    held = F.array(*[F.coalesce(F.col(f"seen_{word}"), F.lit(0)) for word in words])
+    lacking = F.filter(labels, lambda _, place: F.getbit(F.get(held, F.floor(place / _BITS).cast("int")), place % _BITS) == 0)
     types = dict(readings.dtypes)
     added = seen.select(
         *group,

@@ -8,6 +8,11 @@ multiply rows, gaps drop them, and an interval with a missing bound matches noth
 The interval side is broadcast only after it has been measured.  Beyond the limit
 both sides are shuffled on keys and slot.  Groups of facts above ``split_above``
 rows are then cut into slices, with the interval side repeated for each slice.
+
+Anti joins that are shuffled, or whose intervals are dense, compare no pairs: facts
+and intervals of a slot are read together in order of time, and a fact is covered if
+the latest end so far is not before it.  That takes as long for many intervals as
+for few.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioledger.operators.hot_groups import SLICE, find_hot_groups, repeat_for_slices, slice_rows
@@ -24,6 +29,8 @@ from helioledger.operators.hot_groups import SLICE, find_hot_groups, repeat_for_
 SLOT = "_slot"
 BROADCAST_BYTES = 32 * 1024 * 1024
 SPLIT_ABOVE = 10_000_000
+# From so many intervals of one key and slot on, facts are not compared with each of them.
+DENSE = 256
 # Stands for the slot of a missing moment: no interval has it.  A slot that cannot be
 # NULL also spares the optimizer from pushing a null check, and with it the parsing
 # of the timestamp, a second time below the join.
@@ -71,17 +78,25 @@ class Intervals:
             F.coalesce(F.max(span), F.lit(0)).alias("longest"),
         )
 
-    def spread(self, first: int | None = None, last: int | None = None) -> DataFrame:
+    def spread(self, first: int | Column | None = None, last: int | Column | None = None) -> DataFrame:
         """One row per interval and slot, within the given slots if any."""
         valid, low, high = self._valid(), self._first(), self._last()
         if first is not None:
-            low, high = F.greatest(low, F.lit(first)), F.least(high, F.lit(last))
+            first, last = (bound if isinstance(bound, Column) else F.lit(bound) for bound in (first, last))
+            low, high = F.greatest(low, first), F.least(high, last)
             valid = valid & (low <= high)
         columns = [F.col(key).alias(f"_key_{key}") for key in self.keys]
         columns += [F.col(self.start).alias("_from"), F.col(self.end).alias("_to")]
         columns += [F.col(name).alias(name) for name in self.payload]
         return self.frame.select(*columns, F.explode(F.when(valid, F.sequence(low, high))).alias(f"{SLOT}_side"))
 
+    def is_dense(self) -> bool:
+        """Whether some key and slot has more than ``DENSE`` intervals; counted only if there are so many at all."""
+        if self.rows <= DENSE or self.longest > LONG_SPAN:
+            return self.rows > DENSE
+        group = [*[f"_key_{key}" for key in self.keys], f"{SLOT}_side"]
+        return not self.spread().groupBy(*group).count().filter(F.col("count") > DENSE).isEmpty()
+
     def _first(self) -> Column:
         return slot_of(F.col(self.start), self.grain)
 
@@ -135,6 +150,29 @@ class SlottedFacts:
             joined = joined.select(*self.frame.columns, *side.payload)
         return replace(self, frame=joined)
 
+    def outside(self, side: Intervals, low: int | Column | None, high: int | Column | None) -> SlottedFacts:
+        """Facts that no interval covers, from one reading of both in order of time."""
+        names, kind = self.frame.columns, self.frame.schema[self.moment].dataType
+        place = [*self.keys, SLOT, *([SLICE] if self.hot is not None else [])]
+        spread = side.spread(low, high)
+        if dict(side.frame.dtypes)[side.start] == "date":
+            kind = side.frame.schema[side.start].dataType
+        if self.hot is not None:
+            group = {SLOT: f"{SLOT}_side", **{key: f"_key_{key}" for key in self.keys}}
+            spread = repeat_for_slices(spread, group, self.hot, f"{SLICE}_side")
+        for key in self.keys:  # a missing key is no key
+            spread = spread.filter(F.col(f"_key_{key}").isNotNull())
+        origin = {SLOT: f"{SLOT}_side", SLICE: f"{SLICE}_side", **{key: f"_key_{key}" for key in self.keys}}
+        blank = [
+            (F.col(origin[name]) if name in place else F.lit(None)).cast(self.frame.schema[name].dataType).alias(name) for name in names
+        ]
+        facts = self.frame.select("*", F.col(self.moment).cast(kind).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_until"))
+        spans = spread.select(*blank, F.col("_from").cast(kind).alias("_at"), F.lit(0).alias("_kind"), F.col("_to").cast(kind).alias("_until"))
+        so_far = Window.partitionBy(*place).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        marked = facts.unionByName(spans).withColumn("_covered", F.max("_until").over(so_far))
+        covered = F.coalesce(F.col("_covered") >= F.col("_at"), F.lit(False))
+        return replace(self, frame=marked.filter((F.col("_kind") == 1) & ~covered).select(*names))
+
     def untagged(self) -> DataFrame:
         return self.frame.drop(SLOT, SLICE)
 
@@ -147,14 +185,27 @@ def join_intervals(
     grain: str = "month",
     broadcast_bytes: int = BROADCAST_BYTES,
     split_above: int | None = SPLIT_ABOVE,
+    live: bool = False,
 ) -> DataFrame:
-    """Apply interval joins (``"inner"`` or ``"left_anti"``) to the facts, in order."""
+    """Apply interval joins (``"inner"`` or ``"left_anti"``) to the facts, in order.
+
+    ``live`` makes a plan that holds no number found in today's tables, for views: the
+    span of the facts is asked for whenever the view is read, and nothing is broadcast
+    or split by a size measured before.
+    """
     keys = tuple(keys)
     sides = [replace(side, grain=grain, keys=keys) for _, side in steps]
-    found = reduce(DataFrame.union, [side.measure(place) for place, side in enumerate(sides)]).collect()
-    sides = [replace(sides[m["place"]], rows=m["rows"], size=m["size"], longest=m["longest"]) for m in found]
     slotted = SlottedFacts.tag(facts, moment, keys, grain)
+    if live:
+        dated = slotted.frame.filter(F.col(SLOT) != NO_SLOT)
+        low = dated.agg(F.coalesce(F.min(SLOT), F.lit(1))).scalar()
+        high = dated.agg(F.coalesce(F.max(SLOT), F.lit(0))).scalar()
+        for (how, _), side in zip(steps, sides):
+            slotted = slotted.outside(side, low, high) if how == "left_anti" else slotted.join(side, how, low, high, False)
+        return slotted.untagged()
 
+    found = reduce(DataFrame.union, [side.measure(place) for place, side in enumerate(sides)]).collect()
+    sides = [replace(sides[m["place"]], rows=m["rows"], size=m["size"], longest=m["longest"]) for m in found]
     low = high = None
     if any(side.longest > LONG_SPAN for side in sides):
         dated = slotted.frame.filter(F.col(SLOT) != NO_SLOT)
@@ -163,10 +214,11 @@ def join_intervals(
         sides = [_clipped(side, low, high) for side in sides]
 
     small = [side.size <= broadcast_bytes for side in sides]
-    if not all(small):
+    paired = [how != "left_anti" or (fits and not side.is_dense()) for (how, _), side, fits in zip(steps, sides, small)]
+    if not all(small) or not all(paired):
         slotted = slotted.split_hot(split_above)
-    for (how, _), side, fits in zip(steps, sides, small):
-        slotted = slotted.join(side, how, low, high, fits)
+    for (how, _), side, fits, pairs in zip(steps, sides, small, paired):
+        slotted = slotted.join(side, how, low, high, fits) if pairs else slotted.outside(side, low, high)
     return slotted.untagged()
 
 

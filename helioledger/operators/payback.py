@@ -14,17 +14,22 @@ from helioledger.schemas import INSTALLATION_COST
 _FORECAST = ("payback_percentage", "day_number", "days_to_payback", "average_daily_saving", "forecast_payback_date")
 
 
-def _with_forecast(saved: DataFrame, day: str) -> DataFrame:
+def _with_forecast(saved: DataFrame, day: str, basis: str = "whole") -> DataFrame:
     """Add the forecast to rows of cumulative saving, day number and cost.
 
     All of the cost over the average so far is counted from the row's own day, and
-    the day count rounds half to even.  A zero average gives no forecast.
+    the day count rounds half to even.  A zero average gives no forecast.  With
+    ``basis="remaining"`` only what is not saved yet is counted; it is negative once
+    the cost is saved.
     """
+    if basis not in ("whole", "remaining"):
+        raise ValueError(f"basis must be 'whole' or 'remaining', not {basis!r}")
     cumulative, cost = F.col("cumulative_saving"), F.col("installation_cost")
+    open_cost = cost - cumulative if basis == "remaining" else cost
     return (
         saved.withColumn("average_daily_saving", ratio(cumulative, F.col("day_number")))
         .withColumn("payback_percentage", ratio(cumulative, cost) * 100)
-        .withColumn("days_to_payback", nearest_int(ratio(cost, F.col("average_daily_saving"))))
+        .withColumn("days_to_payback", nearest_int(ratio(open_cost, F.col("average_daily_saving"))))
         .withColumn("forecast_payback_date", plus_days(F.col(day), F.col("days_to_payback")))
     )
 
@@ -35,6 +40,7 @@ def payback_forecast_development(
     installation_cost: int = INSTALLATION_COST,
     exact: bool = False,
     ordered: bool | None = None,
+    basis: str = "whole",
 ) -> DataFrame:
     """Cumulative saving and forecast after each day with data.
 
@@ -55,7 +61,7 @@ def payback_forecast_development(
         F.row_number().over(window).cast("long").alias("day_number"),
         F.lit(installation_cost).alias("installation_cost"),
     )
-    result = _with_forecast(saved, "reading_date").select(
+    result = _with_forecast(saved, "reading_date", basis).select(
         *keys,
         "reading_date",
         "total_saving",
@@ -71,7 +77,11 @@ def payback_forecast_development(
 
 
 def payback_forecast_current(
-    rollup: DataFrame, keys: Sequence[str] = (), installation_cost: int = INSTALLATION_COST, exact: bool = False
+    rollup: DataFrame,
+    keys: Sequence[str] = (),
+    installation_cost: int = INSTALLATION_COST,
+    exact: bool = False,
+    basis: str = "whole",
 ) -> DataFrame:
     """The forecast on the last day with data.
 
@@ -88,7 +98,7 @@ def payback_forecast_current(
         .filter(F.col("data_date").isNotNull())
         .withColumn("installation_cost", F.lit(installation_cost))
     )
-    return _with_forecast(saved, "data_date").select(*keys, "data_date", *_FORECAST)
+    return _with_forecast(saved, "data_date", basis).select(*keys, "data_date", *_FORECAST)
 
 
 def payback_on_data_date(development: DataFrame, latest: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -68,9 +68,13 @@ def total_solar_generation(cleaned: DataFrame, keys: Sequence[str] = (), exact:
     return _generation(cleaned.groupBy(*keys).agg(solar, readings), keys)
 
 
-def generation_from_daily(rollup: DataFrame, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
+def generation_from_daily(
+    rollup: DataFrame, keys: Sequence[str] = (), exact: bool = False, per_day: bool = False
+) -> DataFrame:
+    """The same from the daily rollup; ``per_day`` divides by the days with a reading instead of the readings."""
     solar = total_of_totals(F.col("solar"), exact).alias("solar")
-    readings = F.coalesce(F.sum("readings"), F.lit(0)).alias("readings")
+    readings = F.count("reading_date") if per_day else F.coalesce(F.sum("readings"), F.lit(0))
+    readings = readings.alias("readings")
     return _generation(rollup.groupBy(*keys).agg(solar, readings), keys)
 
 

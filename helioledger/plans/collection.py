@@ -15,17 +15,18 @@ from helioledger.sinks import readings as sinks
 from helioledger.sources import daily_json
 
 
-def readings_from_tooltips(tooltips: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Readings as text from rows of date, requested hour and token array.
+def readings_from_tooltips(tooltips: DataFrame, keys: Sequence[str] = (), dates: DataFrame | None = None) -> DataFrame:
+    """Readings as text from rows of date, requested hour and token array: one per request.
 
     A read tooltip names its own hour; a failed one (no tokens) keeps the requested
-    hour with NULL values.  Hours that were never requested are filled in likewise.
+    hour with NULL values.  Hours that were never requested are filled in likewise,
+    also on those of ``dates`` that have no request at all.
     """
     fields = tooltips.withColumn("fields", tooltip_fields(F.col("tokens")))
     hour = F.when(F.col("tokens").isNull(), F.col("hour")).otherwise(F.col("fields.hour"))
     values = [F.col(f"fields.{name}").alias(name) for name in READING_VALUES]
-    read = fields.select(*keys, "date", hour.alias("hour"), *values)
-    return coverage.hour_skeleton(read, keys)
+    read = fields.select(*keys, "date", hour.alias("hour"), F.col("hour").alias("asked"), *values)
+    return coverage.hour_skeleton(read, keys, dates, asked="asked")
 
 
 def collect(
@@ -35,15 +36,19 @@ def collect(
     end: dt.date | Column | None = None,
     keys: Sequence[str] = (),
 ) -> None:
-    """Save the days from ``start`` to ``end`` (by default yesterday) that have no file yet."""
+    """Save the days from ``start`` to ``end`` (by default yesterday) that have no file yet.
+
+    With keys each key among the tooltips has its own days.  A day without tooltips is saved with empty hours.
+    """
     spark = tooltips.sparkSession
-    stored = sinks.stored_dates(spark, folder)
+    end = coverage.yesterday() if end is None else end
+    kinds = {key: tooltips.schema[key].dataType.simpleString() for key in keys}
+    stored = sinks.stored_days(spark, folder, kinds, start, end)
     if stored is None:
-        stored = spark.range(0).select(F.current_date().alias("date"))
-    # At most one row per day of the calendar, so it can be broadcast.
-    missing = F.broadcast(coverage.missing_dates(stored, start, end))
-    wanted = tooltips.join(missing, "date", "left_semi")
-    sinks.save_daily_json(readings_from_tooltips(wanted, keys), folder, keys, existing="skip")
+        stored = tooltips.select(*keys, "date").limit(0)
+    missing = coverage.missing_dates(stored, start, end, keys, tooltips.select(*keys) if keys else None)
+    wanted = tooltips.join(missing, [*keys, "date"], "left_semi")
+    sinks.save_daily_json(readings_from_tooltips(wanted, keys, missing), folder, keys, existing="skip")
 
 
 def consolidate_csv(
@@ -51,16 +56,16 @@ def consolidate_csv(
     folder: str,
     path: str,
     glob: str = daily_json.DAILY_FILES,
-    layout: str = "file",
-    ordered: bool = True,
+    layout: str = "auto",
+    ordered: bool = False,
 ) -> bool:
-    """All readable readings below ``folder`` as CSV, in the order of the files unless told otherwise."""
+    """All readable readings below ``folder`` as CSV, on request in the order of the files, which is a global sort."""
     found = daily_json.read_daily_json(spark, folder, glob, layout, with_origin=True)
     if ordered:
-        found = found.orderBy("source_file", "position")
-    return sinks.write_csv(found.drop("source_file", "position"), path)
+        found = found.orderBy("source_file", "array", "position")
+    return sinks.write_csv(found.drop("source_file", "array", "position"), path)
 
 
-def consolidate_table(spark: SparkSession, folder: str, table: str, path: str | None = None, glob: str = "*.json") -> None:
+def consolidate_table(spark: SparkSession, folder: str, table: str, path: str | None = None, glob: str = daily_json.JSON_FILES) -> None:
     """Load the files below ``folder`` to the raw table if there is none."""
     sinks.create_raw_table(daily_json.read_raw_json(spark, folder, glob), table, path)

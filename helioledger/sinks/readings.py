@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioledger.functions.numbers import float_text
 from helioledger.operators.hot_groups import SLICE, find_hot_groups, slice_rows
 from helioledger.schemas import READING_VALUES
-from helioledger.sources.daily_json import present_dates
+from helioledger.session import scratch_path
+from helioledger.sources.daily_json import present_dates, present_days
 
 # Entries per JSON array; a day of more readings goes on in further arrays.
 ARRAY_ENTRIES = 10_000
@@ -24,17 +26,24 @@ def save_daily_json(
     existing: str = "error",
     array_entries: int = ARRAY_ENTRIES,
 ) -> None:
-    """One JSON array per key and day, in partition folders of year, month and day.
+    """JSON arrays of each key's day, one on a line, in partition folders of year, month and day.
 
-    Days already below ``path`` are an error, or left alone with ``existing="skip"``.
+    A key's day that is already below ``path``, under either kind of file name, is an
+    error, or left alone with ``existing="skip"``.  The readings are evaluated once.
     """
     if existing not in ("error", "skip"):
         raise ValueError(f"existing must be 'error' or 'skip', not {existing!r}")
-    stored = stored_dates(readings.sparkSession, path)
+    spark = readings.sparkSession
+    landed = scratch_path(spark, "days-to-save")
+    readings.write.parquet(landed)
+    readings = spark.read.parquet(landed)
+    first, last = readings.agg(F.min("date"), F.max("date")).first()
+    stored = stored_days(spark, path, {key: readings.schema[key].dataType.simpleString() for key in keys}, first, last)
     if stored is not None:
-        if existing == "error" and not readings.select("date").distinct().join(stored, "date", "left_semi").isEmpty():
+        group = [*keys, "date"]
+        if existing == "error" and not readings.select(*group).distinct().join(stored, group, "left_semi").isEmpty():
             raise FileExistsError(f"some of these days are already below {path}")
-        readings = readings.join(stored, "date", "left_anti")
+        readings = readings.join(stored, group, "left_anti")
     arrays = day_arrays(readings, keys, array_entries)
     patterns = {"year": "yyyy", "month": "MM", "day": "dd"}
     columns = [F.date_format("date", pattern).alias(name) for name, pattern in patterns.items()]
@@ -43,10 +52,16 @@ def save_daily_json(
     packed.write.partitionBy(*patterns).mode("append").text(path)
 
 
-def stored_dates(spark: SparkSession, path: str) -> DataFrame | None:
-    """Days already below ``path``; None if there is no such folder."""
+def stored_days(
+    spark: SparkSession, path: str, keys: dict[str, str], first: dt.date | Column, last: dt.date | Column
+) -> DataFrame | None:
+    """Days already below ``path``; None if there is no such folder.
+
+    Without keys the names tell.  With keys the files of those days are read, as a
+    file of one site says nothing about another.
+    """
     try:
-        return present_dates(spark, path, "part-*")
+        return present_days(spark, path, keys, first, last) if keys else present_dates(spark, path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing):
             return None
@@ -122,7 +137,7 @@ def create_raw_table(
 
 
 def append_new_readings(readings: DataFrame, table: str, keys: Sequence[str] = ()) -> None:
-    """Add the readings whose key, date and hour the raw table does not hold yet.
+    """Add the readings whose key, date and hour the raw table does not hold yet, one for each.
 
     Only the table's dates within the span of the new readings are compared.
     """
@@ -132,5 +147,8 @@ def append_new_readings(readings: DataFrame, table: str, keys: Sequence[str] = (
     held = stored.filter(F.col("date").between(F.lit(first), F.lit(last)) | F.col("date").isNull())
     known = held.select(*[F.col(name).alias(f"_held_{name}") for name in identity]).distinct()
     same = [F.col(name).eqNullSafe(F.col(f"_held_{name}")) for name in identity]
-    fresh = readings.join(known, same, "left_anti")
+    rest = [name for name in stored.columns if name not in identity]
+    # Of several new rows for one hour the largest counts, column by column; a value beats a missing one.
+    single = readings.groupBy(*identity).agg(F.max(F.struct(*rest)).alias("_rest")).select(*identity, "_rest.*")
+    fresh = single.join(known, same, "left_anti")
     fresh.select(*stored.columns).write.mode("append").insertInto(table)

@@ -2,61 +2,96 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioledger.functions.parsing import clock_text, iso_date, tolerant_float
 from helioledger.schemas import RAW_READINGS, READING_VALUES
 
-# Fixed value: names of the daily files.
-DAILY_FILES = "*_data.json"
+# Names of the daily files: as they are named by others, and as Spark names those of our own sink.
+DAILY_FILES = "{*_data.json,part-*}"
+JSON_FILES = "{*.json,part-*}"
+
 
+def read_raw_json(spark: SparkSession, path: str, glob: str = JSON_FILES) -> DataFrame:
+    """Strict load of every JSON file below ``path``: text columns, error on a broken file.
 
-def read_raw_json(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """Strict load of every JSON file below ``path``: text columns, error on a broken file."""
-    reader = spark.read.schema(RAW_READINGS).option("multiLine", True).option("mode", "FAILFAST")
-    return reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(path)
+    A file holds one object or array, or one array on each line.  Anything after it is an error, too.
+    """
+    pieces = text_reader(spark.read, glob, "auto").load(path).select(F.explode(_array_texts(F.col("value"))).alias("value"))
+    text = F.trim(F.col("value"), F.lit(_BLANK))
+    listed = F.when(F.startswith(text, F.lit("{")), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    shape = ", ".join(f"{name}: string" for name in RAW_READINGS.names)
+    seal, sealed = _sealed(F.col("value"))
+    flat = F.from_json(sealed, f"map<string, array<struct<{shape}>>>", {"mode": "FAILFAST"})
+    parsed = pieces.select(listed.alias("value")).filter("value <> ''").select("value", seal.alias("seal"), flat.alias("flat"))
+    whole = (F.size("flat") == 2) & F.map_contains_key("flat", F.col("seal"))
+    broken = F.raise_error(F.concat(F.lit("Malformed JSON after the end of: "), F.substring("value", 1, 80)))
+    return parsed.select(F.inline(F.when(whole, F.try_element_at("flat", F.lit("text"))).otherwise(broken)))
 
 
 def read_daily_json(
     spark: SparkSession,
     path: str,
     glob: str = DAILY_FILES,
-    layout: str = "file",
+    layout: str = "auto",
     keys: dict[str, str] | None = None,
     with_origin: bool = False,
 ) -> DataFrame:
     """Tolerant load of the files below ``path``.
 
-    ``layout="file"`` takes a file as one array, ``"lines"`` each line of it, which
-    lets Spark split large files.  ``keys`` maps extra fields to types, for files
-    of many sites.  ``with_origin`` adds the file and the place in its array.
+    A file is one array, or one array on each line.  ``layout="file"`` takes it as one
+    array only, ``"lines"`` each line by itself, which lets Spark split large files.
+    ``keys`` maps extra fields to types, for files of many sites.  ``with_origin`` adds
+    the file, the number of the array in it, and the place in the array.
     """
     text = text_reader(spark.read, glob, layout).load(path)
-    return flatten_arrays(text, keys, with_origin)
+    return flatten_arrays(text, keys, with_origin, layout)
 
 
 def text_reader(reader, glob: str, layout: str):
     """Set up a batch or streaming reader for either layout."""
-    if layout not in ("file", "lines"):
-        raise ValueError(f"layout must be 'file' or 'lines', not {layout!r}")
+    if layout not in ("auto", "file", "lines"):
+        raise ValueError(f"layout must be 'auto', 'file' or 'lines', not {layout!r}")
     reader = reader.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-    return reader.option("wholetext", layout == "file")
+    return reader.option("wholetext", layout != "lines")
+
+
+_BLANK = " \t\r\n"
 
 
-def flatten_arrays(text: DataFrame, keys: dict[str, str] | None = None, with_origin: bool = False) -> DataFrame:
+def _array_texts(text: Column) -> Column:
+    """The lines of a text, if there are several and each is an array by its ends; else the text itself."""
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda line: F.trim(line, F.lit(_BLANK))), lambda line: line != "")
+    arrays = F.forall(lines, lambda line: F.startswith(line, F.lit("[")) & F.endswith(line, F.lit("]")))
+    return F.when((F.size(lines) > 1) & arrays, lines).otherwise(F.array(text))
+
+
+def flatten_arrays(
+    text: DataFrame, keys: dict[str, str] | None = None, with_origin: bool = False, layout: str = "auto"
+) -> DataFrame:
     """Rows of the objects in each array; other entries, objects and broken text are skipped.
 
     A field that cannot be read is NULL and its row stays.
     """
     keys = keys or {}
-    origin = ["source_file"] if with_origin else []
-    found = [F.col("_metadata.file_path").alias("source_file")] if with_origin else []
+    origin = ["source_file", "array"] if with_origin else []
+    if with_origin and layout == "lines":
+        text = text.select(F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("array"), "value")
+    elif with_origin:
+        text = text.select(F.col("_metadata.file_path").alias("source_file"), "value")
+    if layout == "auto":
+        text = text.select(*[c for c in text.columns if c != "value"], F.posexplode(_array_texts(F.col("value"))).alias("array", "value"))
+    elif layout == "file" and with_origin:
+        text = text.withColumn("array", F.lit(0))
+    found = origin
     entries = text.select(*found, *_parsed(F.col("value"), keys)).select(*origin, _entries(keys).alias("entries"))
     # The outer form keeps the optimizer from adding a null check that would parse twice.
     if with_origin:
-        rows = entries.select("source_file", F.posexplode_outer("entries").alias("position", "entry"))
-        origin = ["source_file", "position"]
+        rows = entries.select(*origin, F.posexplode_outer("entries").alias("position", "entry"))
+        origin = [*origin, "position"]
     else:
         rows = entries.select(F.explode_outer("entries").alias("entry"))
     return rows.filter(F.col("entry").isNotNull()).select(
@@ -80,12 +115,16 @@ def _parsed(text: Column, keys: dict[str, str]) -> list[Column]:
     """
     fields = {**keys, **dict.fromkeys(RAW_READINGS.names, "string")}
     shape = ", ".join(f"{name}: {kind}" for name, kind in fields.items())
-    seal = F.xxhash64(text).cast("string")
-    sealed = F.concat(F.lit('{"text":'), text, F.lit(',"'), seal, F.lit('":[]}'))
+    seal, sealed = _sealed(text)
     flat = F.from_json(sealed, f"map<string, array<struct<{shape}>>>", {"allowSingleQuotes": "false"})
     return [text.alias("text"), seal.alias("seal"), flat.alias("flat")]
 
 
+def _sealed(text: Column) -> tuple[Column, Column]:
+    seal = F.xxhash64(text).cast("string")
+    return seal, F.concat(F.lit('{"text":'), text, F.lit(',"'), seal, F.lit('":[]}'))
+
+
 def _entries(keys: dict[str, str]) -> Column:
     """Objects of exactly one JSON array as structs of text; NULL for other text."""
     text, flat = F.col("text"), F.col("flat")
@@ -130,8 +169,22 @@ def present_dates(spark: SparkSession, path: str, glob: str = DAILY_FILES) -> Da
     ``…/year=2026/month=01/day=17/…``.  The content column is pruned, so nothing is read.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    name = F.regexp_extract("path", r"/(\d{4}-\d{2}-\d{2})_data\.json$", 1)
-    folder = F.regexp_extract("path", r"/year=(\d{4})/month=\d{2}/day=\d{2}/", 0)
+    return files.select(path_date(F.col("path")).alias("date")).filter("date IS NOT NULL").distinct()
+
+
+def path_date(path: Column) -> Column:
+    """The date in the path of a daily file of either kind; NULL for other paths."""
+    name = F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})_data\.json$", 1)
+    folder = F.regexp_extract(path, r"/year=(\d{4})/month=\d{2}/day=\d{2}/", 0)
     dashed = F.regexp_replace(folder, r"^/year=(\d+)/month=(\d+)/day=(\d+)/$", "$1-$2-$3")
-    text = F.when(name != "", name).when(folder != "", dashed)
-    return files.select(text.try_cast("date").alias("date")).filter("date IS NOT NULL").distinct()
+    return F.when(name != "", name).when(folder != "", dashed).try_cast("date")
+
+
+def present_days(
+    spark: SparkSession, path: str, keys: dict[str, str], first: dt.date | Column, last: dt.date | Column
+) -> DataFrame:
+    """Keys and dates that the files of the days from ``first`` to ``last`` hold; other files are not opened."""
+    text = text_reader(spark.read, DAILY_FILES, "auto").load(path)
+    bounds = [day if isinstance(day, Column) else F.lit(day) for day in (first, last)]
+    near = text.filter(path_date(F.col("_metadata.file_path")).between(*bounds)).select("value")
+    return flatten_arrays(near, keys).select(*keys, "date").distinct()

@@ -9,10 +9,10 @@ from helioledger.sources.daily_json import DAILY_FILES, flatten_arrays, text_rea
 
 
 def stream_daily_json(
-    spark: SparkSession, path: str, glob: str = DAILY_FILES, layout: str = "file", keys: dict[str, str] | None = None
+    spark: SparkSession, path: str, glob: str = DAILY_FILES, layout: str = "auto", keys: dict[str, str] | None = None
 ) -> DataFrame:
     """The tolerant load as a stream: each file is taken once."""
-    return flatten_arrays(text_reader(spark.readStream, glob, layout).load(path), keys)
+    return flatten_arrays(text_reader(spark.readStream, glob, layout).load(path), keys, layout=layout)
 
 
 def append_readings(readings: DataFrame, target: str, checkpoint: str) -> StreamingQuery:

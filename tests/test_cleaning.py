@@ -122,3 +122,17 @@ def test_measured_size_decides(spark):
     assert measured["rows"] == side.spread().count()
     assert measured["size"] > 24 * measured["rows"]
     assert measured["longest"] > intervals.LONG_SPAN
+
+
+def test_dense_exclusions_compare_no_pairs(spark, monkeypatch):
+    """Thousands of overlapping exclusions of a month, against a plain check of each reading."""
+    rng = random.Random(3)
+    start = dt.datetime(2026, 1, 1)
+    moments = [start + dt.timedelta(minutes=rng.randrange(40_000)) for _ in range(500)] + [None]
+    spans = [(s := start + dt.timedelta(minutes=rng.randrange(40_000)), s + dt.timedelta(minutes=rng.randrange(-2, 9))) for _ in range(2_000)]
+    readings = spark.createDataFrame([(i % 3 or None, m) for i, m in enumerate(moments)], "site int, reading_datetime timestamp_ntz")
+    exclusions = spark.createDataFrame([(i % 3 or None, *span) for i, span in enumerate(spans)], "site int, start_datetime timestamp_ntz, end_datetime timestamp_ntz")
+    want = [(i % 3 or None, m) for i, m in enumerate(moments) if m is None or not (i % 3) or not any(a <= m <= b for j, (a, b) in enumerate(spans) if j % 3 == i % 3)]
+    for how in ({}, {"broadcast_bytes": 0, "split_above": 50}, {"live": True}, {"broadcast_bytes": 0, "split_above": None}):
+        found = cleaning.drop_excluded(readings, exclusions, ["site"], **how)
+        assert rows(found) == sorted(want, key=repr)

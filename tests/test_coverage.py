@@ -45,6 +45,13 @@ def test_skeleton_fills_hours_and_whole_dates(spark):
     assert {row[0].day: tuple(row[1]) for row in filled} == {1: ("03:00", "23:00"), 2: CHART_HOURS, 3: CHART_HOURS}
 
 
+def test_quarters_of_an_hour(spark):
+    quarters = [f"{minute // 60:02d}:{minute % 60:02d}" for minute in range(0, 1440, 15)]
+    readings = spark.createDataFrame([(D(2026, 1, 1), quarters[i], 1.0, 1.0, 1.0, 1.0) for i in (0, 62, 63, 95)], PARSED_READINGS)
+    full = coverage.hour_skeleton(readings, hours=quarters).collect()
+    assert sorted(row["hour"] for row in full) == quarters and sum(row["grid"] is not None for row in full) == 4
+
+
 def test_checks_report_and_never_fail(spark):
     tariffs = spark.createDataFrame(
         [("2026-01-01", None, None, None, "0.1", None, "0.1"), ("2026-01-01", None, None, None, "0.1", "0.1", "0.1"), (None,) * 7],

@@ -21,7 +21,7 @@ def place(folder: Path, day: str, text: str) -> None:
     (target / f"{day}_data.json").write_text(text, encoding="utf-8")
 
 
-def reading(day=DAY, hour="14:00", grid="0.54", solar="1.23", battery="0.32", home="0.37"):
+def reading(day=DAY, hour="14:00", grid="2.75", solar="0.5", battery="-1.25", home="4.5"):
     return {"date": day, "hour": hour, "grid": grid, "solar": solar, "battery": battery, "home": home}
 
 
@@ -32,7 +32,7 @@ def test_whole_files_are_skipped(spark, tmp_path):
     for number, text in enumerate(texts):
         place(tmp_path, f"2026-01-{number + 1:02d}", text)
     found = rows(daily_json.read_daily_json(spark, str(tmp_path)))
-    assert found == [(dt.date(2026, 1, 17), "14:00", 0.54, 1.23, 0.32, 0.37)]
+    assert found == [(dt.date(2026, 1, 17), "14:00", 2.75, 0.5, -1.25, 4.5)]
 
 
 def test_entries_and_fields(spark, tmp_path):
@@ -46,7 +46,7 @@ def test_entries_and_fields(spark, tmp_path):
     ]
     place(tmp_path, DAY, json.dumps(entries))
     day = dt.date(2026, 1, 17)
-    rest = (0.54, 1.23, 0.32, 0.37)
+    rest = (2.75, 0.5, -1.25, 4.5)
     expected = [
         (day, "14:00", *rest), (day, "14:00", 1.5, 2.0, 1.0, None), (day, "14:00", None, None, None, 1.5),
         (day, "14:00", None, None, None, 10.0), (None, None, *rest), (None, None, *rest), (day, "04:05", *rest),
@@ -91,6 +91,26 @@ def test_strict_load_keeps_text_and_fails_on_broken_files(spark, tmp_path):
         daily_json.read_raw_json(spark, str(tmp_path)).collect()
 
 
+def test_arrays_on_lines_are_all_read(spark, tmp_path):
+    lines = "\n".join(json.dumps([reading(hour=hour)]) for hour in ("02:00", "01:00"))
+    place(tmp_path, DAY, lines + "\n")
+    place(tmp_path, "2026-01-16", json.dumps([reading("2026-01-16")], indent=1))
+    assert daily_json.read_raw_json(spark, str(tmp_path)).count() == 3
+    found = daily_json.read_daily_json(spark, str(tmp_path), with_origin=True).orderBy("source_file", "array", "position")
+    assert [row["hour"] for row in found.collect()] == ["14:00", "02:00", "01:00"]
+    for odd in (lines + " x", lines + "\n{", lines.replace("\n", ",")):
+        place(tmp_path, DAY, odd)
+        with pytest.raises(Exception, match="MALFORMED|Malformed"):
+            daily_json.read_raw_json(spark, str(tmp_path)).collect()
+
+
+def test_small_arrays_come_back_with_the_defaults(spark, tmp_path):
+    path = str(tmp_path / "days")
+    sinks.save_daily_json(day_of_readings(spark), path, array_entries=10)
+    assert rows(daily_json.read_daily_json(spark, path)) == rows(day_of_readings(spark))
+    assert daily_json.read_raw_json(spark, path).count() == 24
+
+
 def test_present_dates_read_names_only(spark, tmp_path):
     place(tmp_path, DAY, "not json at all")
     place(tmp_path, "2026-01-20", "[]")

@@ -97,24 +97,33 @@ def test_float_text_agrees_with_python(spark):
             assert row["text"] == str(value)
 
 
-def fold(tokens):
-    fields, label = dict.fromkeys(labels.FIELDS), "hour"
-    for token in tokens:
-        if token.endswith(" : "):
-            label = labels.LABELS.get(token[:-3], token[:-3].lower())
-        elif label in fields:
-            fields[label] = token
-    return tuple(fields.values())
+# Tokens, and what they mean as (hour, grid, solar, battery, home).
+TOOLTIPS = [
+    ([], (None, None, None, None, None)),
+    (["06:30"], ("06:30", None, None, None, None)),
+    (["06:30", "07:30"], ("07:30", None, None, None, None)),
+    (["Grd : "], (None, None, None, None, None)),
+    (["21:00", "Grd : ", "3.1", "Sol : ", "0", "Bat : ", "-2.25", "Hom : ", "5.35"], ("21:00", "3.1", "0", "-2.25", "5.35")),
+    (["Hom : ", "5", "Sol : ", "4", "09:00"], (None, None, "09:00", None, "5")),
+    (["09:00", "Sol : ", "4", "Sol : ", "6"], ("09:00", None, "6", None, None)),
+    (["09:00", "Sol : ", "4", "Grd : ", "1", "Sol : "], ("09:00", "1", "4", None, None)),
+    (["09:00", "Sol : ", "4", "5", ""], ("09:00", None, "", None, None)),
+    (["09:00", "HOME : ", "8", "Battery : ", "7"], ("09:00", None, None, "7", "8")),
+    (["09:00", "Wnd : ", "8", "Hom : ", "2"], ("09:00", None, None, None, "2")),
+    (["09:00", " : ", "8", "hour : ", "10:00"], ("10:00", None, None, None, None)),
+    (["Sol :", "1", "Sol: ", "2"], ("2", None, None, None, None)),
+]
 
 
 def test_tooltip_fold(spark):
-    rng = random.Random(11)
-    words = ["Grd : ", "Sol : ", "Bat : ", "Hom : ", "HOME : ", "Xyz : ", " : ", "14:00", "0.54", "-1", "", "hour : "]
-    cases = [[], ["14:00"], ["Grd : "], ["14:00", "Grd : ", "0.54", "Sol : ", "1.23", "Bat : ", "0.32", "Hom : ", "0.37"]]
-    cases += [[rng.choice(words) for _ in range(rng.randint(0, 9))] for _ in range(500)]
-    frame = spark.createDataFrame(list(enumerate(cases)), "place int, tokens array<string>")
+    frame = spark.createDataFrame(list(enumerate(case for case, _ in TOOLTIPS)), "place int, tokens array<string>")
     found = frame.select("place", labels.tooltip_fields(F.col("tokens")).alias("f")).orderBy("place").collect()
-    assert [tuple(row["f"]) for row in found] == [fold(case) for case in cases]
+    assert [tuple(row["f"]) for row in found] == [meant for _, meant in TOOLTIPS]
+
+
+def test_unknown_labels_are_named(spark):
+    frame = spark.createDataFrame([(["09:00", "Wnd : ", "8", "Hom : ", "2", "Gas : ", "wnd : ", "HOME : "],)], "tokens array<string>")
+    assert frame.select(labels.unknown_labels(F.col("tokens"))).first()[0] == ["wnd", "gas"]
 
 
 def test_rounding_half_to_even(spark):

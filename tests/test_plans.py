@@ -35,9 +35,9 @@ def test_scans_read_only_the_needed_columns(spark, small):
 
 def test_two_large_reference_tables_share_one_shuffle_of_the_readings(spark, small):
     text = plan(QUERIES["solar_cleaned_by_site_shuffled"](spark, small))
-    assert text.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in text
-    # One for the readings and each reference table, one for equal starts and one for the adapter's own hours.
-    assert text.count("Exchange hashpartitioning") == 5
+    assert text.count("SortMergeJoin") == 1 and text.count("Window [") == 1 and "BroadcastHashJoin" not in text
+    # One for the readings with the exclusions, one for tariffs, one for equal starts and one for the adapter's own hours.
+    assert text.count("Exchange hashpartitioning") == 4
 
 
 def test_small_reference_tables_leave_the_readings_in_place(spark, small):

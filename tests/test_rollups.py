@@ -1,11 +1,13 @@
 """Sums and the payback forecast."""
 
 import datetime as dt
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from helioledger.functions import numbers
 from helioledger.operators import payback, rollups
 from helioledger.schemas import MEASURES
 from tests.conftest import rows
@@ -117,3 +119,13 @@ def test_current_forecast_three_ways(spark, keys):
     current = payback.payback_forecast_current(rollup, keys, exact=True)
     assert joined.columns == current.columns
     assert rows(joined) == rows(current)
+
+
+def test_exact_sums_keep_what_is_no_number_and_what_is_large(spark):
+    data = [(1, 0.1), (1, 0.2), (2, float("nan")), (2, 1.0), (3, 9e14), (3, 9e14), (3, 0.000001), (4, 1e300), (4, 1.0), (5, None), (6, float("inf")), (7, -0.3)]
+    frame = spark.createDataFrame(data * 3, "k int, v double").groupBy("k").agg(numbers.total(F.col("v"), exact=True).alias("t"))
+    found = {row["k"]: row["t"] for row in frame.collect()}
+    assert math.isnan(found.pop(2))
+    assert found == {1: 0.9, 3: 5.4e15, 4: 3e300, 5: None, 6: float("inf"), 7: -0.9}
+    again = frame.agg(numbers.total_of_totals(F.col("t"), exact=True)).first()[0]
+    assert math.isnan(again)
