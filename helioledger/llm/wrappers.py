@@ -250,7 +250,8 @@ def extract(pages: DataFrame) -> DataFrame:
     ship(pages.sparkSession)
     parsed = _parsed(pages)
     kind = pages.schema["page_id"].dataType.simpleString()
-    joined = parsed.select("_row", "page_id", "url", "packed").join(template_blocks(parsed), "_row", "left")
+    template = land(template_blocks(parsed), "templates")  # written, so that its size decides how the texts meet it
+    joined = parsed.select("_row", "page_id", "url", "packed").join(template, "_row", "left")
     return joined.select("page_id", "url", "packed", "template").mapInArrow(_assemble, f"page_id {kind}, url string, text string, n_chars long")
 
 
