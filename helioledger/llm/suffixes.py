@@ -9,8 +9,10 @@ into subtrees that fit memory:
 * A suffix whose anchor is found once in all documents has no equal and isn't sent at all.
 * Runs meet by anchor.  There, prefixes are lengthened step by step: a suffix that is alone with its prefix goes, and
   what is still together at the depth of a window is a deep node, and all its leaves repeat.
-* An anchor found more than ``GROUP`` times is too large for one subtree.  Its suffixes are dealt by the longest
-  prefix, the whole window, as a digest of 128 bits; copies are counted where they are found before they meet.
+* Runs that are equal word for word repeat as a whole, and only one of them goes on into the tree.
+* An anchor found more than ``GROUP`` times is too large for one subtree.  Its equal runs are counted by a digest of
+  128 bits where they are found, before they meet; the suffixes of what differs are then dealt by the longest prefix,
+  the whole window, in the same way.
 
 Texts are dealt by row once and kept in buckets, so that neither the second nor the third pass moves them again.
 """
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from helioledger.llm.tables import land, read, ship
 
-WINDOW, GRAM, GROUP = 35, 8, 500
+WINDOW, GRAM, GROUP = 35, 8, 1000
 #: Lengths of prefix at which suffixes that are alone go; a window's length follows.
 STEPS = (4, 9, 18)
 #: Rows of a few thousand words that a task holds at a time.
@@ -103,31 +105,52 @@ def _anchors(texts: DataFrame, window: int) -> DataFrame:
     return land(texts.select("_row", "packed").mapInArrow(run, "_row long, run int, anchor long"), "anchors")
 
 
+def _batch(rows: list[tuple], **kinds: pa.DataType) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], list(kinds))
+
+
+def _halves(data: bytes) -> tuple[int, int]:
+    digest = xxhash.xxh3_128_digest(data)
+    return int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True)
+
+
 def _sent(window: int):
-    """Of each text the runs whose anchor repeats: whole, or window by window where the anchor is a large group's."""
+    """Of each text the runs whose anchor repeats: first window, number of windows, words before the anchor, all words."""
+    long, short = pa.int64(), pa.int32()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, AT_ONCE):
                 out: list[tuple] = []
-                part = batch.slice(at, AT_ONCE)
-                for row, packed, chosen in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                for row, packed, chosen in zip(*[c.to_pylist() for c in batch.slice(at, AT_ONCE).columns], strict=True):
                     words = _words(packed)
                     first, place, hashes = runs(words, window)
                     ends = np.append(first[1:], len(words) - window + 1)
                     anchors = hashes.view(np.int64)
                     for one in chosen:
                         i = one["run"]
-                        start, end = int(first[i]), int(ends[i])
-                        if not one["large"]:
-                            out.append((int(anchors[i]), None, row, start, int(place[i]) - start, b" ".join(words[start : end + window - 1])))
-                            continue
-                        for j in range(start, end):
-                            digest = xxhash.xxh3_128_digest(b" ".join(words[j : j + window]))
-                            out.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), row, j, 0, None))
-                columns = list(zip(*out, strict=True)) or [()] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "more", "_row", "start", "left", "words"])
+                        start, end, left = int(first[i]), int(ends[i]), int(place[i] - first[i])
+                        text = b" ".join(words[start : end + window - 1])
+                        halves = _halves(b"%d " % left + text) if one["large"] else (None, None)
+                        out.append((int(anchors[i]), *halves, row, start, end - start, left, text))
+                yield _batch(out, anchor=long, high=long, low=long, _row=long, start=short, windows=short, left=short, words=pa.binary())
+
+    return run
+
+
+def _windows(window: int):
+    """Every window of a run as a digest, with the run's own digest."""
+    long = pa.int64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, AT_ONCE):
+                out = []
+                for high, low, alone, text in zip(*[c.to_pylist() for c in batch.slice(at, AT_ONCE).columns], strict=True):
+                    words = text.split(b" ")
+                    out += [(*_halves(b" ".join(words[j : j + window])), high, low, alone, j) for j in range(len(words) - window + 1)]
+                yield _batch(out, key=long, more=long, high=long, low=long, alone=pa.bool_(), shift=pa.int32())
 
     return run
 
@@ -151,26 +174,38 @@ def deep_leaves(group: list[tuple[int, int, int, list[bytes]]], window: int) ->
     return [(group[i][0], group[i][1] + j) for node in nodes for i, j in node]
 
 
+def leaves(group: list[tuple[int, int, int, int, bytes]], window: int) -> list[tuple[int, int, int]]:
+    """(row, start, windows) of all that repeats in a group of (row, start, windows, left, words); equal runs as a whole."""
+    equal: dict[tuple[int, bytes], list[tuple[int, int, int]]] = {}
+    for row, start, windows, left, words in group:
+        equal.setdefault((left, words), []).append((row, start, windows))
+    out = [place for places in equal.values() if len(places) > 1 for place in places]
+    if len(equal) > 1 or group[0][2] > 1:
+        different = [(i, 0, left, words.split(b" ")) for i, (left, words) in enumerate(equal)]
+        places = list(equal.values())
+        for i, shift in deep_leaves(different, window):
+            if len(places[i]) == 1:
+                row, start, _ = places[i][0]
+                out.append((row, start + shift, 1))
+    return out
+
+
 def _subtrees(window: int):
     """Reads runs sorted by anchor and handles one anchor after the other."""
 
-    def leaves(group: list) -> list[tuple[int, int]]:
-        return deep_leaves([(row, start, left, words.split(b" ")) for row, start, left, words in group], window) if len(group) > 1 else []
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, group = None, []
         for batch in _with_end(batches):
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, int, int]] = []
             if batch is None:
-                out += leaves(group)
+                out += leaves(group, window) if group else []
             else:
                 for key, *one in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                     if key != anchor:
-                        out += leaves(group)
+                        out += leaves(group, window) if group else []
                         anchor, group = key, []
                     group.append(one)
-            rows, starts = zip(*out, strict=True) if out else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(starts, pa.int32())], ["_row", "start"])
+            yield _batch(out, _row=pa.int64(), start=pa.int32(), windows=pa.int32())
 
     return run
 
@@ -181,19 +216,28 @@ def _with_end(batches: Iterator) -> Iterator:
 
 
 def repeated_windows(texts: DataFrame, window: int) -> DataFrame:
-    """(_row, start) of every window whose words start anywhere else, too."""
+    """(_row, start, windows): all windows whose words start anywhere else, too, in runs of one or more."""
     anchors = _anchors(texts, window)
     again = anchors.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor", (F.col("n") > GROUP).alias("large"))
     chosen = anchors.join(again, "anchor").groupBy("_row").agg(F.collect_list(F.struct("run", "large")).alias("chosen"))
-    ddl = "key long, more long, _row long, start int, left int, words binary"
+    ddl = "anchor long, high long, low long, _row long, start int, windows int, left int, words binary"
     sent = land(texts.join(chosen, "_row").select("_row", "packed", "chosen").mapInArrow(_sent(window), ddl), "runs")
-    small = sent.filter("words IS NOT NULL").select("key", "_row", "start", "left", "words")
+    place = ["_row", "start", "windows"]
+    small = sent.filter("high IS NULL").select("anchor", *place, "left", "words")
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sorted_ = small.repartition(parts, "key").sortWithinPartitions("key")
-    deep = sorted_.mapInArrow(_subtrees(window), "_row long, start int")
-    large = sent.filter("words IS NULL").select("key", "more", "_row", "start")
-    copies = large.groupBy("key", "more").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    return deep.unionByName(large.join(copies, ["key", "more"]).select("_row", "start"))
+    deep = small.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(_subtrees(window), "_row long, start int, windows int")
+    large = sent.filter("high IS NOT NULL")
+    run = ["high", "low"]
+    different = land(large.groupBy(*run).agg(F.count("*").alias("n"), F.min("words").alias("words")), "different-runs")
+    whole = large.join(different.filter("n > 1").select(*run), run, "left_semi").select(*place)
+    suffixes = different.select(*run, F.expr("n = 1").alias("alone"), "words").mapInArrow(
+        _windows(window), "key long, more long, high long, low long, alone boolean, shift int"
+    )
+    nodes = suffixes.groupBy("key", "more").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    single = suffixes.filter("alone").join(nodes, ["key", "more"], "left_semi").select(*run, "shift")
+    parted = single.join(large.select(*run, "_row", "start"), run)
+    parted = parted.select("_row", (F.col("start") + F.col("shift")).alias("start"), F.lit(1).alias("windows"))
+    return deep.unionByName(whole).unionByName(parted)
 
 
 def _removed(window: int):
@@ -203,8 +247,8 @@ def _removed(window: int):
             for id_, packed, starts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 words = _words(packed)
                 kept = np.ones(len(words), bool)
-                for start in starts or ():
-                    kept[start : start + window] = False
+                for one in starts or ():
+                    kept[one["start"] : one["start"] + one["windows"] + window - 1] = False
                 ids.append(id_)
                 counts.append(len(words))
                 removed.append(int(len(words) - kept.sum()))
@@ -226,7 +270,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     ship(docs.sparkSession)
     texts = _texts(docs)
-    found = repeated_windows(texts, window).groupBy("_row").agg(F.collect_list("start").alias("starts"))
+    found = repeated_windows(texts, window).groupBy("_row").agg(F.collect_list(F.struct("start", "windows")).alias("starts"))
     joined = texts.join(found, "_row", "left").select("doc_id", "packed", "starts")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(_removed(window), f"doc_id {kind}, n_words long, n_removed long, kept string")
