@@ -9,6 +9,7 @@ into subtrees that fit memory:
 * A suffix whose anchor is found once in all documents has no equal and isn't sent at all.
 * Runs meet by anchor.  There, prefixes are lengthened step by step: a suffix that is alone with its prefix goes, and
   what is still together at the depth of a window is a deep node, and all its leaves repeat.
+* Of texts that are equal word for word one goes into the tree; all of them repeat whole.
 * Runs that are equal word for word repeat as a whole, and only one of them goes on into the tree.
 * An anchor found more than ``GROUP`` times is too large for one subtree.  Its equal runs are counted by a digest of
   128 bits where they are found, before they meet; the suffixes of what differs are then dealt by the longest prefix,
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from helioledger.llm.tables import land, read, ship
 
 WINDOW, GRAM, GROUP = 35, 8, 1000
+#: Stands for all windows of a text.
+EVERY = (1 << 31) - 1
 #: Lengths of prefix at which suffixes that are alone go; a window's length follows.
 STEPS = (4, 9, 18)
 #: Rows of a few thousand words that a task holds at a time.
@@ -62,18 +65,21 @@ def runs(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """``_row``, doc_id and the packed text, in buckets by row in the warehouse."""
+    """``_row``, doc_id, a digest of the words and the packed text, in buckets by row in the warehouse."""
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            packed = [packer.compress((t or "").encode()) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["_row", "doc_id", "packed"])
+            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
+            digests = [_halves(b" ".join(t.split())) for t in texts]
+            columns = [pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)]
+            packed = pa.array(map(packer.compress, texts), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns, packed], ["_row", "doc_id", "high", "low", "packed"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
-    packed = rows.mapInArrow(run, f"_row long, doc_id {kind}, packed binary")
+    packed = rows.mapInArrow(run, f"_row long, doc_id {kind}, high long, low long, packed binary")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"suffix_texts_{uuid.uuid4().hex}"
     packed.repartition(buckets, "_row").write.bucketBy(buckets, "_row").format("parquet").saveAsTable(name)
@@ -247,7 +253,7 @@ def _removed(window: int):
             for id_, packed, starts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 words = _words(packed)
                 kept = np.ones(len(words), bool)
-                for one in starts or ():
+                for one in (starts or ()) if len(words) >= window else ():
                     kept[one["start"] : one["start"] + one["windows"] + window - 1] = False
                 ids.append(id_)
                 counts.append(len(words))
@@ -270,7 +276,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     ship(docs.sparkSession)
     texts = _texts(docs)
-    found = repeated_windows(texts, window).groupBy("_row").agg(F.collect_list(F.struct("start", "windows")).alias("starts"))
+    digest = ["high", "low"]
+    copies = land(texts.groupBy(*digest).agg(F.count("*").alias("n"), F.min("_row").alias("_row")), "copies")
+    copied = texts.select("_row", *digest).join(copies.filter("n > 1").select(*digest), digest, "left_semi")
+    copied = copied.select("_row", F.lit(0).alias("start"), F.lit(EVERY).alias("windows"))
+    different = texts.join(copies.select("_row"), "_row", "left_semi")
+    found = repeated_windows(different, window).unionByName(copied).groupBy("_row").agg(F.collect_list(F.struct("start", "windows")).alias("starts"))
     joined = texts.join(found, "_row", "left").select("doc_id", "packed", "starts")
     kind = docs.schema["doc_id"].dataType.simpleString()
     return joined.mapInArrow(_removed(window), f"doc_id {kind}, n_words long, n_removed long, kept string")
