@@ -1,10 +1,11 @@
 """Main text of web pages by wrapper induction: what stays the same on the pages of a host is template.
 
-Pages are parsed to trees of blocks below their article.  Parts that name themselves as menus, adverts, forms and the
-like go at once.  One of the smaller trees of a host is its wrapper, as a template is on every page.  Every page is aligned
-with it by simple tree matching: of two nodes with the same name the best pairing of their children that keeps order.
-A block of the wrapper whose text is the same on nearly all different pages is template, and goes from every page
-where it is aligned with the same text; all other slots are content.
+Pages are parsed to trees of all their visible blocks.  Trees of a host with the same sections are a cluster, and one of
+its smaller trees is its wrapper, as a template is on every page.  Every page is aligned with it by simple tree
+matching: of two nodes with the same name the best pairing of their children that keeps order.  A block of the wrapper
+whose text is the same on nearly all different pages of the cluster is template, and goes from every page where it is
+aligned with the same text.  Other slots vary and are content, but for those that name themselves as menus, adverts, forms
+and the like, and for links beside an article that has most of the text.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
@@ -26,6 +28,11 @@ from helioledger.llm.tables import land, read, ship
 SAME_SHARE, LEAST_PAGES = 0.8, 3
 #: The wrapper is the smallest tree of a host above this share of its trees, so not that of an odd page.
 ABOVE_SHARE = 0.25
+#: Trees with the same sections down to a depth are a cluster if so many different pages have them; pages of smaller ones are
+#: aligned with the largest cluster of their host, or all together if it has none.
+SECTIONS_DEPTH, CLUSTER_PAGES = 4, 5
+#: Elements deeper than this don't part the tree any further.
+MOST_DEPTH = 100
 
 _words = lambda names: frozenset(names.split())
 BLOCKS = _words(
@@ -33,8 +40,10 @@ BLOCKS = _words(
     "header hgroup hr html li main menu nav ol optgroup option p pre search section summary table caption tbody td tfoot th thead tr ul"
 )
 VOID = _words("area base br col embed hr img input link meta param source track wbr")
-#: Parts that are no text of the article, by tag, by role and by a word of class or id.
-SKIPPED_TAGS = _words("aside audio button canvas dialog footer form head iframe input menu nav noscript object script select style svg template textarea video")
+SECTIONS = _words("article aside body center div footer form header html main nav section")
+#: Parts that show no text, and hints that a varying part is no content: by tag, by role and by a word of class or id.
+UNSEEN_TAGS = _words("audio button canvas head iframe input noscript object script select style svg template textarea video")
+SKIPPED_TAGS = _words("aside dialog footer form menu nav")
 SKIPPED_ROLES = _words("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search")
 SKIPPED_NAMES = _words(
     "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
@@ -46,29 +55,40 @@ CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td
 SCOPES = _words("ul ol dl table menu body html article main section div")
 
 
+class Block(NamedTuple):
+    path: tuple  # name and number of every element around it
+    text: str
+    linked: bool  # more than half of it is links
+
+
 class Page(HTMLParser):
-    """Blocks of a page in order, each with the names of the blocks around it and whether it is in an article."""
+    """Visible blocks of a page in order, each with the elements around it; numbers of articles and of skipped elements."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, str, bool, bool, int]] = []  # tag, name, skipped, in an article, number
+        self.open: list[tuple[str, str, bool, bool, int]] = []  # tag, name, unseen, in an article, number
         self.text: list[str] = []
-        self.blocks: list[tuple[tuple, bool, str]] = []
-        self.count = 0
+        self.blocks: list[Block] = []
+        self.articles: set[int] = set()
+        self.skipped: set[int] = set()
+        self.count = self.linked = 0
+        self.link = -1  # number of open elements around the open link
         self.feed(html)
         self.close()
         self._flush()
 
     def _flush(self) -> None:
         text = " ".join("".join(self.text).split())
-        self.text = []
+        self.text, linked, self.linked = [], self.linked, 0
         if text and not (self.open and self.open[-1][2]):
-            path = tuple((name, number) for _, name, _, _, number in self.open)
-            self.blocks.append((path, bool(self.open) and self.open[-1][3], text))
+            path = tuple((name, number) for _, name, _, _, number in self.open[:MOST_DEPTH])
+            self.blocks.append(Block(path, text, 2 * linked > len(text)))
 
     def _pop(self, at: int) -> None:
         self._flush()
         del self.open[at:]
+        if self.link > at:
+            self.link = -1
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "br" or tag == "wbr":
@@ -76,23 +96,31 @@ class Page(HTMLParser):
         if tag in VOID and tag != "hr":
             return
         named = {k: v or "" for k, v in attrs}
+        if tag == "a":
+            self.link = len(self.open) if "href" in named else -1
+        unseen = tag in UNSEEN_TAGS or "hidden" in named
         skipped = self._skipped(tag, named)
-        if tag not in BLOCKS and not skipped:
+        if tag not in BLOCKS and not skipped and not unseen:
             return
         if tag in BLOCKS:
             self._close_before(tag)
         self._flush()
         if tag == "hr":
             return
-        above_skipped, above_article = self.open[-1][2:4] if self.open else (False, False)
+        above_unseen, above_article = self.open[-1][2:4] if self.open else (False, False)
         first = named.get("class", "").split()[:1]
         self.count += 1
         name = ".".join([tag, *first])
-        self.open.append((tag, name, above_skipped or skipped, above_article or tag in ("article", "main"), self.count))
+        article = tag in ("article", "main")
+        self.open.append((tag, name, above_unseen or unseen, above_article or article, self.count))
+        if article:
+            self.articles.add(self.count)
+        if skipped:
+            self.skipped.add(self.count)
 
     def _skipped(self, tag: str, named: dict[str, str]) -> bool:
         in_article = bool(self.open) and self.open[-1][3]
-        if tag in SKIPPED_TAGS or tag == "header" and not in_article or "hidden" in named:
+        if tag in SKIPPED_TAGS or tag == "header" and not in_article:
             return True
         if tag in ("html", "body", "main", "article"):
             return False
@@ -110,6 +138,8 @@ class Page(HTMLParser):
                 return
 
     def handle_endtag(self, tag: str) -> None:
+        if tag == "a":
+            self.link = -1
         if tag == "p" and not any(o[0] == "p" for o in self.open):
             self._flush()
         for at in range(len(self.open) - 1, -1, -1):
@@ -120,13 +150,38 @@ class Page(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not (self.open and self.open[-1][2]):
             self.text.append(data)
+            if self.link >= 0:
+                self.linked += len(" ".join(data.split()))
+
+
+def hinted(page: Page) -> set[int]:
+    """Numbers of the blocks that hints tell from content where they vary.
+
+    These are blocks in skipped elements.  Where articles have most of the other text, links beside them go as well, but
+    no other text does: an article may be a teaser, or a part.
+    """
+    gone = {i for i, b in enumerate(page.blocks) if any(number in page.skipped for _, number in b.path)}
+    rest = [(i, b, any(number in page.articles for _, number in b.path)) for i, b in enumerate(page.blocks) if i not in gone]
+    inside = sum(len(b.text) for _, b, article in rest if article)
+    if 2 * inside > sum(len(b.text) for _, b, _ in rest):
+        gone.update(i for i, b, article in rest if b.linked and not article)
+    return gone
 
 
 def main_blocks(html: str | None) -> list[tuple[tuple, str]]:
-    """Blocks of the article, or of the whole page if it has none."""
-    blocks = Page(html or "").blocks
-    inside = any(article for _, article, _ in blocks)
-    return [(path, text) for path, article, text in blocks if article or not inside]
+    """Blocks of a page without those that hints tell from content."""
+    page = Page(html or "")
+    gone = hinted(page)
+    return [(b.path, b.text) for i, b in enumerate(page.blocks) if i not in gone]
+
+
+def sections(blocks: list[tuple[tuple, str]]) -> str:
+    """Digest of the nested sections that hold the blocks, however many there are of each."""
+    found = set()
+    for path, _ in blocks:
+        names = [name for name, _ in path if name.split(".")[0] in SECTIONS][:SECTIONS_DEPTH]
+        found.update(tuple(names[: i + 1]) for i in range(len(names)))
+    return hashlib.md5(json.dumps(sorted(found)).encode()).hexdigest()[:16]
 
 
 Node = tuple[str, int, str, list]  # name, number of the block or -1, digest of its text, children
@@ -180,53 +235,79 @@ def host_of(url: str | None) -> str:
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """One row per page: number, id, address, host, digest of its blocks, tree and packed blocks; written."""
+    """One row per page; written.
+
+    Number, id, address, host, digests of its sections and of its blocks without the hinted ones, number of blocks, tree,
+    and packed blocks with the numbers of the hinted ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             out = []
             for url, html in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                blocks = main_blocks(html)
-                text = json.dumps([t for _, t in blocks]).encode()
-                out.append((host_of(url), hashlib.md5(text).digest(), len(blocks), json.dumps(tree(blocks)), packer.compress(text)))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = [pa.string(), pa.binary(), pa.int32(), pa.string(), pa.binary()]
+                page = Page(html or "")
+                gone = hinted(page)
+                blocks = [(b.path, b.text) for b in page.blocks]
+                main = [b for i, b in enumerate(blocks) if i not in gone]
+                content = hashlib.md5(json.dumps([t for _, t in main]).encode()).digest()
+                packed = packer.compress(json.dumps([[t for _, t in blocks], sorted(gone)]).encode())
+                out.append((host_of(url), sections(main), content, len(blocks), json.dumps(tree(blocks)), packed))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            kinds = [pa.string(), pa.string(), pa.binary(), pa.int32(), pa.string(), pa.binary()]
             new = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *new], ["_row", "page_id", "url", "host", "content", "size", "tree", "packed"])
+            names = ["_row", "page_id", "url", "host", "sections", "content", "size", "tree", "packed"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *new], names)
 
     kind = pages.schema["page_id"].dataType.simpleString()
     rows = pages.select(F.monotonically_increasing_id().alias("_row"), "page_id", "url", "html")
-    ddl = f"_row long, page_id {kind}, url string, host string, content binary, size int, tree string, packed binary"
+    ddl = f"_row long, page_id {kind}, url string, host string, sections string, content binary, size int, tree string, packed binary"
     return land(rows.mapInArrow(run, ddl), "parsed-pages")
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
-        for row, host, page, wrapper in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            out += [(row, host, slot, block) for block, slot in match(json.loads(page), json.loads(wrapper))[1]]
-        columns = list(zip(*out, strict=True)) or [()] * 4
-        kinds = [pa.int64(), pa.string(), pa.int32(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["_row", "host", "slot", "block"])
+        for row, host, cluster, votes, page, wrapper in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            out += [(row, host, cluster, votes, slot, block) for block, slot in match(json.loads(page), json.loads(wrapper))[1]]
+        columns = list(zip(*out, strict=True)) or [()] * 6
+        kinds = [pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.int32(), pa.int32()]
+        names = ["_row", "host", "cluster", "votes", "slot", "block"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def clusters(different: DataFrame) -> DataFrame:
+    """The cluster of every host and digest of sections, and whether its pages vote there."""
+    counted = different.groupBy("host", "sections").agg(F.count("*").alias("pages"))
+    largest = counted.filter(F.col("pages") >= CLUSTER_PAGES).groupBy("host").agg(F.max(F.struct("pages", "sections")).alias("largest"))
+    large = F.col("pages") >= CLUSTER_PAGES
+    cluster = F.when(large, F.col("sections")).otherwise(F.coalesce("largest.sections", F.lit("")))
+    return counted.join(largest, "host", "left").select("host", "sections", cluster.alias("cluster"), (large | F.col("largest").isNull()).alias("votes"))
 
 
 def template_blocks(parsed: DataFrame) -> DataFrame:
     """``_row`` and the numbers of the blocks of that page that are template.
 
-    Copies of a page count once, so that no number of copies makes an article a template.
+    Pages that are the same but for hinted blocks count once, so that no number of copies makes an article a template.
     """
-    different = parsed.groupBy("host", "content").agg(F.min("_row").alias("_row"), F.min("size").alias("size"))
-    counted = different.groupBy("host").agg(F.count("*").alias("pages"), F.percentile_approx("size", ABOVE_SHARE).alias("above"))
-    usual = different.join(counted.filter(F.col("pages") >= LEAST_PAGES), "host").filter("size >= above")
-    least = usual.groupBy("host").agg(F.max("pages").alias("pages"), F.min(F.struct("size", "_row")).alias("least"))
-    several = land(least.select("host", "pages", F.col("least._row").alias("_row")), "hosts")
-    wrappers = parsed.select("_row", F.col("tree").alias("wrapper")).join(several, "_row").select("host", "wrapper")
-    pairs = parsed.filter("size > 0").select("_row", "host", "tree").join(wrappers, "host").select("_row", "host", "tree", "wrapper")
-    same = land(pairs.mapInArrow(_align, "_row long, host string, slot int, block int"), "aligned")
-    votes = same.join(different.select("_row"), "_row", "left_semi").groupBy("host", "slot").agg(F.count("*").alias("votes"))
-    fixed = votes.join(several, "host").filter(F.col("votes") >= SAME_SHARE * F.col("pages")).select("host", "slot")
-    return same.join(fixed, ["host", "slot"]).groupBy("_row").agg(F.collect_list("block").alias("template"))
+    first = F.min(F.struct("_row", "size", "sections")).alias("first")
+    different = land(parsed.groupBy("host", "content").agg(first).select("host", "first.*"), "different")
+    placed = land(clusters(different), "clusters")
+    voters = different.join(placed.filter("votes"), ["host", "sections"])
+    counted = voters.groupBy("host", "cluster").agg(F.count("*").alias("pages"), F.percentile_approx("size", ABOVE_SHARE).alias("above"))
+    usual = voters.join(counted.filter(F.col("pages") >= LEAST_PAGES), ["host", "cluster"]).filter("size >= above")
+    least = usual.groupBy("host", "cluster").agg(F.max("pages").alias("pages"), F.min(F.struct("size", "_row")).alias("least"))
+    several = land(least.select("host", "cluster", "pages", F.col("least._row").alias("_row")), "hosts")
+    wrappers = parsed.select("_row", F.col("tree").alias("wrapper")).join(several, "_row").select("host", "cluster", "wrapper")
+    # a copy has its own sections, which may be no different page's
+    pages = parsed.filter("size > 0").select("_row", "host", "sections", "tree").join(placed, ["host", "sections"], "left")
+    alone = several.groupBy("host").agg(F.max(F.struct("pages", "cluster"))["cluster"].alias("usual"))
+    pages = pages.join(alone, "host").withColumn("cluster", F.coalesce("cluster", "usual"))
+    pairs = pages.join(wrappers, ["host", "cluster"]).select("_row", "host", "cluster", F.coalesce("votes", F.lit(False)).alias("votes"), "tree", "wrapper")
+    same = land(pairs.mapInArrow(_align, "_row long, host string, cluster string, votes boolean, slot int, block int"), "aligned")
+    votes = same.filter("votes").join(different.select("_row"), "_row", "left_semi").groupBy("host", "cluster", "slot").agg(F.count("*").alias("n"))
+    fixed = votes.join(several, ["host", "cluster"]).filter(F.col("n") >= SAME_SHARE * F.col("pages")).select("host", "cluster", "slot")
+    return same.join(fixed, ["host", "cluster", "slot"]).groupBy("_row").agg(F.collect_list("block").alias("template"))
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,7 +315,8 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for packed, template in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-            blocks, gone = json.loads(unpacker.decompress(packed)), set(template or ())
+            blocks, hints = json.loads(unpacker.decompress(packed))
+            gone = {*hints, *(template or ())}
             texts.append("\n".join(b for i, b in enumerate(blocks) if i not in gone))
         sizes = pa.array(map(len, texts), pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"])
@@ -244,7 +326,7 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, ``text`` and ``n_chars`` of every page.
 
     Null and empty pages have an empty text.  Pages without a host share one.  Repeated rows and ids are pages each.
-    Hosts with fewer than three different pages have no template to tell, so all their article stays.  Only page_id,
+    Hosts with fewer than three different pages have no template to tell, so all stays but what hints tell.  Only page_id,
     url and html are read.
     """
     ship(pages.sparkSession)

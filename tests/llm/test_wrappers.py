@@ -65,3 +65,34 @@ def test_templates_go_and_content_stays(spark):
 def test_empty(spark):
     assert wrappers.extract(spark.createDataFrame([], PAGES)).collect() == []
     assert wrappers.host_of("HTTP://User@Www.Example.org:81/a") == "www.example.org" and wrappers.host_of("a/b") == "" == wrappers.host_of(None)
+
+
+def test_template_and_text_outside_of_articles(spark):
+    rng = random.Random(5)
+    rows, want = [], {}
+
+    def words():
+        return " ".join(rng.choice("abcdefgh") * 3 for _ in range(12))
+
+    for n in range(10):  # no article at all: the alignment alone tells
+        main = [f"{words()} {n}", f"{words()} {n}"]
+        rows.append((n, f"http://plain.example/{n}", f"<div class=top><p>Welcome</p></div><div class=text><p>{main[0]}</p><p>{main[1]}</p></div><div>All rights</div>"))
+        want[n] = "\n".join(main)
+    for n in range(20, 30):  # a teaser is the only article
+        main = f"{words()} {n} {words()}"
+        rows.append((n, f"http://teaser.example/{n}", f"<div>Welcome</div><div class=text><p>{main}</p></div><article><p>Read this, too</p></article>"))
+        want[n] = main
+    rows.append((40, "http://alone.example/", "<div><p>The whole story</p></div><article>teaser</article>"))
+    want[40] = "The whole story\nteaser"
+    for n in range(50, 58):  # two layouts on one host, each with its own template
+        main = f"{words()} {n}"
+        rows.append((n, f"http://two.example/{n}", f"<section class=shop><p>Buy now</p><p>{main}</p></section>"))
+        rows.append((n + 10, f"http://two.example/{n + 10}", f"<div class=news><p>Daily paper</p><p>{main} {main}</p></div>"))
+        want |= {n: main, n + 10: f"{main} {main}"}
+    got = {r.page_id: r.text for r in wrappers.extract(spark.createDataFrame([(*r, "clash", 1) for r in rows], PAGES)).collect()}
+    assert got == want
+
+
+def test_links_beside_an_article():
+    assert texts("<article><p>The story is here</article><div><a href=/>Next</a></div><p>and here") == ["The story is here", "and here"]
+    assert texts("<article><a href=/>Next</a></article><div><a name=x>The story</div><p>and <b>more</b>") == ["Next", "The story", "and more"]
