@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
@@ -43,13 +44,15 @@ VOID = _words("area base br col embed hr img input link meta param source track
 SECTIONS = _words("article aside body center div footer form header html main nav section")
 #: Parts that show no text, and hints that a varying part is no content: by tag, by role and by a word of class or id.
 UNSEEN_TAGS = _words("audio button canvas head iframe input noscript object script select style svg template textarea video")
-SKIPPED_TAGS = _words("aside dialog footer form menu nav")
+SKIPPED_TAGS = _words("aside dialog footer menu nav")
 SKIPPED_ROLES = _words("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search")
 SKIPPED_NAMES = _words(
     "ad ads adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus "
     "footer gdpr masthead menu modal nav navbar navigation newsletter notice popup promo promotion related reply replies respond "
     "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget"
 )
+#: Words that may stand beside those in a class or id; any other word makes it the name of something else, such as has-sidebar.
+NAME_PARTS = _words("area bar bottom box center left links list main primary right secondary section site top")
 #: What a new block of a kind ends if it is still open, and within which blocks that is looked for.
 CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
 SCOPES = _words("ul ol dl table menu body html article main section div")
@@ -62,7 +65,7 @@ class Block(NamedTuple):
 
 
 class Page(HTMLParser):
-    """Visible blocks of a page in order, each with the elements around it; numbers of articles and of skipped elements."""
+    """Visible blocks of a page in order, each with the elements around it; numbers of articles, of skipped and of so named elements."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -71,6 +74,7 @@ class Page(HTMLParser):
         self.blocks: list[Block] = []
         self.articles: set[int] = set()
         self.skipped: set[int] = set()
+        self.named: set[int] = set()
         self.count = self.linked = 0
         self.link = -1  # number of open elements around the open link
         self.feed(html)
@@ -99,8 +103,8 @@ class Page(HTMLParser):
         if tag == "a":
             self.link = len(self.open) if "href" in named else -1
         unseen = tag in UNSEEN_TAGS or "hidden" in named
-        skipped = self._skipped(tag, named)
-        if tag not in BLOCKS and not skipped and not unseen:
+        skipped, so_named = self._skipped(tag), self._named(tag, named)
+        if tag not in BLOCKS and not so_named and not unseen:
             return
         if tag in BLOCKS:
             self._close_before(tag)
@@ -117,15 +121,24 @@ class Page(HTMLParser):
             self.articles.add(self.count)
         if skipped:
             self.skipped.add(self.count)
+        if so_named:
+            self.named.add(self.count)
 
-    def _skipped(self, tag: str, named: dict[str, str]) -> bool:
-        in_article = bool(self.open) and self.open[-1][3]
-        if tag in SKIPPED_TAGS or tag == "header" and not in_article:
-            return True
+    def _skipped(self, tag: str) -> bool:
+        return tag in SKIPPED_TAGS or tag == "header" and not (self.open and self.open[-1][3])
+
+    @staticmethod
+    def _named(tag: str, named: dict[str, str]) -> bool:
+        """Whether a part says by its role or by a whole class or id that it is no content, or is a form."""
         if tag in ("html", "body", "main", "article"):
             return False
-        names = re.split(r"[^a-z]+", f"{named.get('class', '')} {named.get('id', '')}".lower())
-        return named.get("role", "").lower() in SKIPPED_ROLES or not SKIPPED_NAMES.isdisjoint(names)
+        if tag == "form" or named.get("role", "").lower() in SKIPPED_ROLES:
+            return True
+        for token in f"{named.get('class', '')} {named.get('id', '')}".lower().split():
+            parts = {part for part in re.split(r"[\W\d_]+", token) if part}
+            if not parts.isdisjoint(SKIPPED_NAMES) and parts <= SKIPPED_NAMES | NAME_PARTS:
+                return True
+        return False
 
     def _close_before(self, tag: str) -> None:
         """Ends what a block may not be part of, such as a paragraph or the list item before."""
@@ -154,13 +167,27 @@ class Page(HTMLParser):
                 self.linked += len(" ".join(data.split()))
 
 
+def _article_at(block: Block, page: Page, sizes: Counter[int], most: int) -> int | None:
+    """Where in the block's path the article with the most text is."""
+    return next((at for at, (_, number) in enumerate(block.path) if number in page.articles and sizes[number] == most), None)
+
+
 def hinted(page: Page) -> set[int]:
     """Numbers of the blocks that hints tell from content where they vary.
 
-    These are blocks in skipped elements.  Where articles have most of the other text, links beside them go as well, but
-    no other text does: an article may be a teaser, or a part.
+    These are blocks in skipped elements, and in those so named, unless these hold the article (the one with the most
+    text) or most of the page's text.  Where articles have most of the other text, links beside them go as well, but no
+    other text does: an article may be a teaser, or a part.
     """
-    gone = {i for i, b in enumerate(page.blocks) if any(number in page.skipped for _, number in b.path)}
+    sizes: Counter[int] = Counter()
+    for b in page.blocks:
+        for number in {number for _, number in b.path}:
+            sizes[number] += len(b.text)
+    most = max((sizes[number] for number in page.articles), default=0)
+    held = {number for b in page.blocks if (at := _article_at(b, page, sizes, most)) is not None for _, number in b.path[:at]}
+    total = sum(len(b.text) for b in page.blocks)
+    out = page.skipped | {number for number in page.named - held if 2 * sizes[number] <= total}
+    gone = {i for i, b in enumerate(page.blocks) if any(number in out for _, number in b.path)}
     rest = [(i, b, any(number in page.articles for _, number in b.path)) for i, b in enumerate(page.blocks) if i not in gone]
     inside = sum(len(b.text) for _, b, article in rest if article)
     if 2 * inside > sum(len(b.text) for _, b, _ in rest):

@@ -96,3 +96,18 @@ def test_template_and_text_outside_of_articles(spark):
 def test_links_beside_an_article():
     assert texts("<article><p>The story is here</article><div><a href=/>Next</a></div><p>and here") == ["The story is here", "and here"]
     assert texts("<article><a href=/>Next</a></article><div><a name=x>The story</div><p>and <b>more</b>") == ["Next", "The story", "and more"]
+
+
+def test_names_of_layouts_lose_nothing():
+    story = "<nav>menu</nav><article><p>The story</p></article><div class='ad'>no</div>"
+    for opening in (
+        "<div class='page has-sidebar'>", "<div id='content-sidebar-wrap'>", "<div class='content no-comments'>", "<div class='widget-content'>",
+        "<div class='right-sidebar'>", "<div class=widget>", "<form action=/>", "<div role=dialog>",
+    ):
+        closing = "</form>" if "form" in opening else "</div>"
+        assert texts(f"{opening}{story}{closing}") == ["The story"], opening
+    for opening in ("<div class=widget>", "<form>", "<div id=social>"):  # without an article, but with most of the text
+        assert texts(f"{opening}<p>The long story of it all</p></div></form><p>end") == ["The long story of it all", "end"]
+    for named in ("class=ad", "class='x site-footer'", "id=ad_3", "class=sidebar-left", "role=search", "class='comments-area'"):
+        assert texts(f"<p>The long story of it all</p><div {named}>no</div>") == ["The long story of it all"]
+    assert texts("<article>The story</article><section class=comments><article>no</article></section>") == ["The story"]
