@@ -1,5 +1,6 @@
 """Counts against a plain reading of their rules, and verdicts on clean and odd texts."""
 
+import random
 import re
 
 import numpy as np
@@ -48,3 +49,17 @@ def test_short_odd_and_empty(spark):
     assert got == dict.fromkeys(range(8), True) | {50: True, 51: False}
     assert found(quality.judge_documents(frame(spark, []))) == []
     assert quality.judge_documents(frame(spark, [(1, None)])).first().base_failed
+
+
+def salad(seed, n):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(1, 4))) + rng.choice(["", "", "", ",", "."]) for _ in range(n))
+
+
+def test_words_and_short_texts_are_judged(spark):
+    texts = [(i, prose(i, 300)) for i in range(40)] + [(50 + i, salad(i, 400)) for i in range(3)]
+    texts += [(60, prose(60, 14)), (61, " ".join(f"{w}&&&" for w in prose(61, 14).split()))]
+    got = {r.doc_id: r for r in quality.judge_documents(frame(spark, texts)).collect()}
+    assert {i for i, r in got.items() if r.kept} == {*range(40), 60}
+    assert len(texts[-1][1]) < quality.GUARD_CHARS and not any(r.base_failed for r in got.values())
+    assert all(got[i].class_distance <= quality.CLASS_LIMIT for i in (50, 51, 52))
