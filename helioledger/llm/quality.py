@@ -147,7 +147,7 @@ def references(docs: DataFrame) -> list[Row]:
             kinds = [pa.string(), pa.list_(pa.float64()), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], ["lang", "shares", "word", "texts", "n"])
 
-    tagged = docs.select("text", F.when(F.col("lang").isin(*COMMON), F.col("lang")).otherwise("").alias("lang"))
+    tagged = docs.select("text", F.coalesce("lang", F.lit("")).alias("lang"))
     found = land(tagged.mapInArrow(run, "lang string, shares array<double>, word string, texts long, n long"), "histograms")
     counts = found.filter("shares IS NULL").groupBy("lang", "word").agg(F.sum("texts").alias("texts"), F.sum("n").alias("n"))
     totals = counts.filter("word IS NULL").select("lang", F.col("texts").alias("docs"), F.col("n").alias("total"))
@@ -211,7 +211,7 @@ class Judge:
         text = text or ""
         counts = base_counts(text)
         failed = base_failed(counts[0], counts[4])
-        if not self.langs:
+        if (lang or "") not in self.langs:
             return (*counts, failed, not failed, 0.0, 0.0)
         classes, words = self.class_distance(text), self.word_distance(text)
         return (*counts, failed, not failed and classes[1] and words[1], classes[0], words[0])

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from helioledger.llm import quality
 from tests.llm.data import DE, found, frame, prose, rows
@@ -63,3 +64,21 @@ def test_words_and_short_texts_are_judged(spark):
     assert {i for i, r in got.items() if r.kept} == {*range(40), 60}
     assert len(texts[-1][1]) < quality.GUARD_CHARS and not any(r.base_failed for r in got.values())
     assert all(got[i].class_distance <= quality.CLASS_LIMIT for i in (50, 51, 52))
+
+
+def test_languages_have_references_of_their_own(spark):
+    """The smallest language of the others is clean, though far from the median of all others; so is one with few documents."""
+    rng = random.Random(3)
+    russian = "и в не на что с как по это он она они так его но да ты к у же вы за бы".split()
+
+    def other(letters, common):
+        return " ".join(rng.choice(common) if rng.random() < 0.5 else "".join(rng.choice(letters) for _ in range(6)) for _ in range(200))
+
+    texts = [(i, other("абвгдежзиклмнопрст", russian)) for i in range(40)]
+    texts += [(100 + i, other("漢字文章世界人民大会", list("的是不了在我有他这中来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可里后小么心多天而能好都然没日于起还发成事只作当想看文无开手用主行方又如前所本见经头面公同三已老从动两长"))) for i in range(15)]
+    texts += [(200, other("αβγδεζηθικλμ", ["και", "το", "να"])), (300, salad(1, 400))]
+    tag = F.when(F.col("doc_id") < 100, "ru").when(F.col("doc_id") < 200, "zh").when(F.col("doc_id") < 300, "el").otherwise("ru")
+    docs = frame(spark, texts).withColumn("lang", tag)
+    got = {r.doc_id: r.kept for r in quality.judge_documents(docs).collect()}
+    assert got == dict.fromkeys([i for i, _ in texts[:-1]], True) | {300: False}
+    assert {r.lang for r in quality.references(docs)} == {"ru", "zh"}
