@@ -2,7 +2,8 @@
 
 Three base kinds are patterns with a least length: assignments, access ids and hex runs.  Two kinds are
 confirmed by structure.  ``key`` is a base64 or hex run, with or without PEM lines around it, that decodes to a
-DER sequence of nested lengths that fit exactly and begins as a key does, or to an OpenSSH key.  ``jwt`` is three
+DER sequence of nested lengths that fit exactly and begins as a key does, or to an OpenSSH key.  A base64 run may be
+broken into lines, also with escaped line ends, and with what quotes or comments put around its lines.  ``jwt`` is three
 base64url parts whose first is a JSON header that names its algorithm and whose second is a JSON object.
 """
 
@@ -30,8 +31,19 @@ BASE = (
 )
 KINDS = ("assign", "access", "hex", "key", "jwt")
 #: Candidates for decoding.  Lines of one base64 block may be broken; a run of hex digits is tried as hex, too.
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----[\s]*([A-Za-z0-9+/=\s]+?)-----END \1-----")
-RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{44,}={0,2}")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----BEGIN )[\s\S])*?)-----END \1-----")
+#: A line end, also escaped, with what quotes, comments and string literals put around it.
+_ESCAPED = r"(?:(?:\\+r)?\\+n|\\+r)"
+_PREFIX = r"""(?:[\x20\t>#*;|]|//[\x20\t]|--[\x20\t])*["']?"""
+BREAK = re.compile(rf"""(?:{_ESCAPED})?(?:["'][\x20\t]*[+,]?)?[\x20\t]{{0,80}}\\?(?:\r?\n|\r){_PREFIX}|{_ESCAPED}""")
+#: Where a run begins: not within another, but also after an escaped line end.
+_START = r"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\)(?![nr])|(?<=\\[nr]))"
+RUN = re.compile(_START + r"[A-Za-z0-9+/_-]{44,}={0,2}")
+HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:\x20.*")
+#: Full lines of base64 and a last one, with the same put around each.  Shorter lines are tried by themselves.
+LINES = re.compile(
+    rf"{_START}[A-Za-z0-9+/_-]{{32,}}(?:(?:{BREAK.pattern})[A-Za-z0-9+/_-]+)+={{0,2}}"
+)
 HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 SEQUENCE, INTEGER, BIT_STRING, OCTET_STRING, OBJECT_ID = 0x30, 0x02, 0x03, 0x04, 0x06
@@ -68,7 +80,7 @@ def elements(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_key(data: bytes | None) -> bool:
-    """A DER key (private keys of either form, or public with its algorithm) or an OpenSSH key."""
+    """A DER key (private keys of any form, also encrypted, or public with its algorithm) or an OpenSSH key."""
     if not data or len(data) < 32:
         return False
     if data.startswith(b"openssh-key-v1\0"):
@@ -88,9 +100,13 @@ def is_key(data: bytes | None) -> bool:
     if tags[0] == INTEGER and inner[0][1] in (b"\0", b"\1"):
         if len(tags) >= 9 and set(tags[1:9]) == {INTEGER}:  # all numbers of an RSA key
             return True
+        if len(tags) == 6 and set(tags) == {INTEGER}:  # those of a DSA key
+            return True
         if tags[1] == SEQUENCE and OCTET_STRING in tags[2:3]:  # algorithm and wrapped key
             return _names_algorithm(inner[1][1])
         return tags[1] == OCTET_STRING and len(inner[1][1]) >= 16  # an elliptic curve's number
+    if tags == [SEQUENCE, OCTET_STRING]:  # algorithm and encrypted key
+        return len(inner[1][1]) >= 16 and _names_algorithm(inner[0][1])
     return tags == [SEQUENCE, BIT_STRING] and _names_algorithm(inner[0][1])
 
 
@@ -115,13 +131,75 @@ def base_spans(text: str) -> list[Span]:
     ]
 
 
+def pem_body(text: str) -> tuple[str, bool]:
+    """The base64 text between PEM lines without line ends, prefixes and headers, and whether headers say it is encrypted."""
+    lines = [line.strip(" \t\"',\\") for line in BREAK.split(text)]
+    for mark in ("+", "//", "--"):  # of changed or commented lines, where all have it
+        if len(lines) > 2 and all(line.startswith(mark) for line in lines[1:-1]):
+            lines = [line.removeprefix(mark) for line in lines]
+    headers = [line for line in lines if HEADER.fullmatch(line)]
+    last = max((i for i, line in enumerate(lines) if ":" in line), default=-1) + 1
+    if headers and "" in lines[last:]:  # a header may go on in the next line; an empty one ends them
+        last = lines.index("", last)
+    return "".join("".join(lines[last if headers else 0 :]).split()), any("ENCRYPTED" in h for h in headers)
+
+
+def is_pem_key(text: str) -> bool:
+    body, encrypted = pem_body(text)
+    data = unpack(body)
+    if encrypted:  # no structure shows in an encrypted body; its headers, its alphabet and its whole blocks do
+        return data is not None and len(data) >= 32 and len(data) % 8 == 0
+    return is_key(data)
+
+
+def line_keys(text: str) -> list[Span]:
+    """Keys in base64 lines of one width with at most a shorter last one, which may begin after and end before other lines."""
+    found = []
+    for m in LINES.finditer(text):
+        parts, at = [], m.start()
+        for gap in BREAK.finditer(text, m.start(), m.end()):
+            parts.append((at, gap.start()))
+            at = gap.end()
+        parts.append((at, m.end()))
+        lines = [text[slice(*part)] for part in parts]
+        same = [1] * len(lines)  # how many lines from here have one width, with a shorter last one
+        for i in range(len(lines) - 2, -1, -1):
+            width, after = len(lines[i]), len(lines[i + 1].rstrip("="))
+            same[i] = 1 + (same[i + 1] if len(lines[i + 1]) == width else after < width)
+        begin = 0
+        while begin < len(parts):
+            n = _key_lines(lines, begin, same[begin])
+            if n:
+                found.append(("key", parts[begin][0], parts[begin + n - 1][1]))
+            begin += n or 1
+    return found
+
+
+def _key_lines(lines: list[str], begin: int, most: int) -> int:
+    """How many of the lines make a key, 2 at least; 0 if none do.  A sequence says by its first bytes where it ends."""
+    head = unpack(lines[begin][:32]) or b""
+    if most < 2 or not head:
+        return 0
+    if head[0] == SEQUENCE:
+        wide = head[1] & 0x7F if head[1] & 0x80 else 0
+        if wide > 4 or head[2 + wide] not in (INTEGER, SEQUENCE):
+            return 0
+        size = 2 + wide + (int.from_bytes(head[2 : 2 + wide], "big") if wide else head[1])
+        n = -(-(-(-size * 4 // 3)) // len(lines[begin]))
+    elif head.startswith((b"openssh-key-v1\0", b"\0\0\0\x07ssh-")):
+        n = most
+    else:
+        return 0
+    return n if 2 <= n <= most and is_key(unpack("".join(lines[begin : begin + n]))) else 0
+
+
 def confirmed_spans(text: str) -> list[Span]:
-    """Spans that structure confirms; of spans of one kind that overlap the first stays."""
-    keys = [("key", *m.span()) for m in PEM.finditer(text) if is_key(unpack("".join(m[2].split())))]
+    """Spans that structure confirms; of spans of one kind that overlap the first stays, and of those that begin together the longest."""
+    keys = [("key", *m.span()) for m in PEM.finditer(text) if is_pem_key(m[2])] + line_keys(text)
     for pattern, decode in ((HEX, bytes.fromhex), (RUN, unpack)):
         keys += [("key", *m.span()) for m in pattern.finditer(text) if is_key(decode(m[0]))]
     apart: list[Span] = []
-    for span in sorted(keys):
+    for span in sorted(keys, key=lambda s: (s[1], -s[2])):
         if not apart or span[1] >= apart[-1][2]:
             apart.append(span)
     return apart + [("jwt", *m.span()) for m in JWT.finditer(text) if is_signed_token(*m.groups())]

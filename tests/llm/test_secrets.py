@@ -90,3 +90,36 @@ def test_masking(spark):
         1: ("a [SECRET] b", 12), 2: (None, None), 3: ("", 0), 4: ("clean", 5), 5: ("[SECRET]", 8),
     }
     assert secrets.mask_documents(frame(spark, [])).count() == 0
+
+
+DSA = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([i] * 30)) for i in range(1, 6)))
+ENCRYPTED = der(0x30, der(0x30, der(6, b"\x2a\x86\x48") + der(0x30, b"")) + der(4, b"e" * 160))
+
+
+def keys(text):
+    return [text[a:b] for kind, a, b in secrets.spans(text) if kind == "key"]
+
+
+def test_other_private_keys():
+    for data in (DSA, ENCRYPTED):
+        assert secrets.is_key(data) and keys(f"see {b64(data)} here") == [b64(data)]
+        assert not secrets.is_key(data[:-1])
+    assert not secrets.is_key(der(0x30, der(0x30, der(4, b"x")) + der(4, b"e" * 40)))
+
+
+def test_broken_lines_of_keys():
+    for data in (RSA, DSA, ENCRYPTED, WRAPPED, EC):
+        lines = [b64(data)[i : i + 64] for i in range(0, len(b64(data)), 64)]
+        pem = ["-----BEGIN ENCRYPTED PRIVATE KEY-----", *lines, "-----END ENCRYPTED PRIVATE KEY-----"]
+        for end in ("\n", "\r\n", "\\n", "\\r\\n", "\n> ", "\n# ", "\n// ", "\n * ", '\\n" +\n  "', '",\n"', "\n    ", "\n+"):
+            assert keys(f"a {end.join(pem)} z") == [end.join(pem)], end
+            if len(lines) > 1 and end != "\n+":
+                assert keys(f"a {end.join(lines)} z") == [end.join(lines)], end
+                assert keys(f"{end.join(['words before', *lines, 'words after'])} z") == [end.join(lines)], end
+    secret = b64(bytes(range(64)) * 2)
+    head = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    pem = f"{head}{secret[:64]}\n{secret[64:]}\n-----END RSA PRIVATE KEY-----"
+    assert keys(f"x {pem} y") == [pem]
+    assert keys(pem.replace("Proc-Type: 4,ENCRYPTED\n", "")) == [] == keys(pem.replace(secret[:8], "no words"))
+    lines = [b64(b"x" * 200)[i : i + 64] for i in range(0, 256, 64)]
+    assert keys("\n".join(lines)) == []
