@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from helioledger.llm.tables import land, read, ship
 from helioledger.llm.wrappers import host_of
 
-#: About so many labelled documents are used for the trigrams, drawn by a hash of their id; and so many languages at most,
-#: those with the most labels.
-TRAIN_ROWS, MOST_LANGUAGES = 20_000, 64
+#: About so many labelled documents of each language are used for the trigrams, drawn by a hash of their id; all, where
+#: there are fewer.
+LANGUAGE_ROWS = 5_000
 #: Hash buckets of trigrams, and the pseudo-count of each.
 BUCKETS, PSEUDO = 1 << 15, 0.5
 #: A text's trigrams depend on each other; together they weigh no more than so many independent ones.
@@ -67,12 +67,13 @@ def declared(html: str | None) -> str | None:
 def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and the log probability of each bucket in each, from rows with ``text`` and ``lang``.
 
-    A bounded sample, with the same number of languages and buckets whatever the input.
+    The languages are those of all rows.  The sample is bounded for each of them, so one with few rows keeps all.
     """
     ship(labelled.sparkSession)
     labelled = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    share = min(1.0, TRAIN_ROWS / max(1, labelled.count()))
-    drawn = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share)).select("text", "lang")
+    counts = land(labelled.groupBy("lang").count(), "labels")
+    drawn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < F.least(F.lit(1.0), F.lit(float(LANGUAGE_ROWS)) / F.col("count")) * float(1 << 40)
+    drawn = labelled.join(F.broadcast(counts), "lang").filter(drawn).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -86,12 +87,12 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "texts", "counts"])
 
     counted = land(drawn.mapInArrow(run, "lang string, texts long, counts array<long>"), "trigrams")
-    names = counted.groupBy("lang").agg(F.sum("texts").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()
-    langs = sorted(r.lang for r in names)
-    places = counted.filter(F.col("lang").isin(langs)).select("lang", F.posexplode("counts")).filter("col > 0")
+    langs = [r.lang for r in counts.orderBy("lang").toLocalIterator()]
+    at = {lang: i for i, lang in enumerate(langs)}
+    places = counted.select("lang", F.posexplode("counts")).filter("col > 0")
     table = np.full((len(langs), BUCKETS), PSEUDO)
     for lang, bucket, n in places.groupBy("lang", "pos").agg(F.sum("col")).toLocalIterator():
-        table[langs.index(lang), bucket] += n
+        table[at[lang], bucket] += n
     return langs, np.log(table / table.sum(axis=1, keepdims=True)) if langs else table
 
 
@@ -99,17 +100,17 @@ def text_evidence(found: np.ndarray, model: np.ndarray) -> np.ndarray:
     """Log likelihoods of a text's trigrams, held to the weight of ``EFFECTIVE`` of them; zeros for none."""
     if not len(found):
         return np.zeros(len(model))
-    total = sum(model[:, found[at : at + 65536]].sum(axis=1) for at in range(0, len(found), 65536))
+    total = sum(model[:, found[at : at + 65536]].sum(axis=1, dtype=np.float64) for at in range(0, len(found), 65536))
     return total / len(found) * min(len(found), EFFECTIVE)
 
 
 def _scored(items: DataFrame, keys: Sequence[str], langs: list[str], model: np.ndarray) -> DataFrame:
     """Keys, host, domain, suffix, declaration and text evidence of every item; written, as it is used several times."""
-    sent = items.sparkSession.sparkContext.broadcast(model.astype(np.float32))  # languages x buckets, at most 8 MB
+    sent = items.sparkSession.sparkContext.broadcast(model.astype(np.float32))  # languages x buckets, 128 KB for each language
     known = frozenset(langs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = sent.value.astype(np.float64)
+        table = sent.value
         n = len(keys)
         for batch in batches:
             out = []

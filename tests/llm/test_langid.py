@@ -61,3 +61,18 @@ def test_empty(spark):
 def test_trigrams_part_words():
     assert len(langid.trigrams("a")) == 1 and len(langid.trigrams("")) == 0 and len(langid.trigrams(" 12 .. ")) == 0
     assert (langid.trigrams("ab cd") == langid.trigrams("AB, 7 cd!")).all()
+
+
+def test_no_language_is_lost(spark, monkeypatch):
+    """Many languages, and one with few documents beside one with many."""
+    monkeypatch.setattr(langid, "TRAIN_ROWS", 40, raising=False)
+    monkeypatch.setattr(langid, "LANGUAGE_ROWS", 40, raising=False)
+    names = [f"{a}{b}" for a in "abcdefg" for b in "klmopqrstu"]
+    rows = [(i, f"the and not this is that with {i}", "en") for i in range(2000)] + [(9000, "der die das und nicht ist ein", "de")]
+    rows += [(5000 + i, f"{n}{n[::-1]}{n} {n * 3} {n[0] * 3}{n[1]}", n) for i, n in enumerate(names)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, table = langid.train(labelled)
+    assert langs == sorted([*names, "de", "en"]) and len(table) == 72
+    few = labelled.filter("doc_id >= 1990").select("doc_id", F.concat_ws(" ", "text", "text", "text").alias("text"), F.lit(None).cast("string").alias("html"), F.lit(None).cast("string").alias("address"), F.col("lang").alias("truth"))
+    got = langid.identify(few.drop("truth"), ["doc_id"], langs, table).join(few.select("doc_id", "truth"), "doc_id").collect()
+    assert len(got) == 81 and all(r.text_lang == r.truth for r in got)
