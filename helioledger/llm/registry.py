@@ -5,6 +5,7 @@ from __future__ import annotations
 from helioledger.llm.bpe import op10_byte_level_bpe
 from helioledger.llm.langid import op1_evidence_fusion
 from helioledger.llm.mixing import op3_temperature_mixing
+from helioledger.llm.packing import op11_sum_of_squares_packing
 from helioledger.llm.quality import op2_distribution_divergence
 from helioledger.llm.secrets import op9_structural_confirmation
 from helioledger.llm.sharding import op4_rendezvous_sharding
@@ -24,6 +25,7 @@ _QUERIES = (
     op8_wrapper_induction,
     op9_structural_confirmation,
     op10_byte_level_bpe,
+    op11_sum_of_squares_packing,
 )
 
 
