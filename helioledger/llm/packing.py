@@ -11,16 +11,18 @@ but those of one sequence.
 
 from __future__ import annotations
 
-import zlib
+import json
+import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from helioledger.llm.tables import land, read, ship
 
@@ -28,77 +30,138 @@ from helioledger.llm.tables import land, read, ship
 MOST, END = 4096, 1
 #: Pieces packed by one task, about.
 GROUP = 4096
-#: Chunks remembered by a worker, the longest of them in bytes, and texts and ids held at once.
-REMEMBERED, LONGEST, AT_ONCE, IDS_AT_ONCE = 1 << 18, 32, 256, 1 << 20
+#: Words remembered by a worker and merged at once; texts and ids held at once.
+REMEMBERED, WORDS_AT_ONCE, AT_ONCE, IDS_AT_ONCE = 1 << 19, 1 << 14, 256, 1 << 20
 
 
 def public_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class ChunkEncoder:
-    """Ids of texts by a tokenizer that never merges across white space, chunk by chunk, frequent ones from memory.
+# How the public tokenizer cleans a text and parts it into words, as its file states it.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
 
-    New chunks are encoded as one text, with a special token between them: that token comes out only where it was put in,
-    as chunks that might hold a special token's string are encoded by themselves.
-    """
+#: Letters beyond ASCII here are composed, have one lower-case form, and need no rule of their own.
+LETTERS = "\xc0-\xd6\xd8-\xf6\xf8-\xff"
+PLAIN_TEXT = re.compile(f"[\x20-\x7e\t-\r{LETTERS}]*")
+PLAIN_CHUNK = re.compile(f"[\x21-\x7e{LETTERS}]+")
+PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^ \t-\ra-z0-9{LETTERS}]+")
 
-    def __init__(self, vocabulary: str):
-        self._plain, self._marked = Tokenizer.from_file(vocabulary), Tokenizer.from_file(vocabulary)
-        self._plain.encode_special_tokens = True
-        marks = {id_: token.content for id_, token in self._marked.get_added_tokens_decoder().items() if token.special}
-        self._mark, between = min(marks.items()) if marks else (None, "")
-        self._between, self._strings = between.encode(), [m.encode() for m in marks.values()]
-        self._known: dict[bytes, tuple[int, ...]] = {}
-
-    def _alone(self, chunk: bytes) -> tuple[int, ...]:
-        return tuple(self._plain.encode(chunk.decode(), add_special_tokens=False).ids)
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        if len(self._known) + len(chunks) > REMEMBERED:
-            self._known.clear()
-        if self._mark is None:
-            self._known.update((c, self._alone(c)) for c in chunks)
-            return
-        safe = [c for c in chunks if not any(s[:1] in c for s in self._strings)]
-        self._known.update((c, self._alone(c)) for c in set(chunks) - set(safe))
-        if safe:
-            text = self._between.join(safe).decode()
-            ids = np.array(self._marked.encode(text, add_special_tokens=False).ids, np.int32)
-            parts = np.split(ids, np.flatnonzero(ids == self._mark))
-            self._known.update((c, tuple((p if n == 0 else p[1:]).tolist())) for n, (c, p) in enumerate(zip(safe, parts, strict=True)))
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without any that it doesn't hold."""
-        split = [t.encode().split() for t in texts]
-        chunks = {c for one in split for c in one}
-        self._learn([c for c in chunks.difference(self._known) if len(c) <= LONGEST])
-        # What is too long to keep, or had to be forgotten while learning, is there for these texts only.
-        extra = {c: self._alone(c) for c in chunks.difference(self._known)}
-        known = self._known
-        out = []
-        for one in split:
-            found = [known[c] if c in known else extra[c] for c in one]
-            out.append(np.fromiter(chain.from_iterable(found), np.int32, sum(map(len, found))))
-        return out
+def _parts_words(settings: dict) -> bool:
+    """Whether the tokenizer cleans and parts texts as this module does for plain ones."""
+    normalizers = (settings["normalizer"] or {}).get("normalizers", [])
+    splits = (settings["pre_tokenizer"] or {}).get("pretokenizers", [])
+    return (
+        [n["type"] for n in normalizers] == ["NFC", "Replace", "Lowercase"]
+        and [p["type"] for p in splits] == ["Split", "ByteLevel"]
+        and splits[0]["pattern"] == {"Regex": PATTERN}
+        and (splits[0]["behavior"], splits[0]["invert"]) == ("Removed", True)
+        and not (splits[1]["add_prefix_space"] or splits[1]["use_regex"])
+        and settings["model"]["end_of_word_suffix"] == WORD_END
+    )
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+class TextEncoder:
+    """Ids of whole texts, with the ids of words remembered.
 
+    Plain texts, of ASCII and Latin letters, are parted into words here, and new words merged by the tokenizer's own model,
+    many at a time.  In other texts each run without white space that isn't plain is left to the tokenizer.  A tokenizer of
+    other rules encodes every text whole.
+    """
 
-def encoder(vocabulary: str) -> ChunkEncoder:
+    def __init__(self, vocabulary: str):
+        self._whole = Tokenizer.from_file(vocabulary)
+        self._whole.encode_special_tokens = True  # their strings are ordinary text
+        self._parts = _parts_words(json.loads(self._whole.to_str()))
+        self._model = Tokenizer.from_file(vocabulary)
+        self._model.encode_special_tokens = True
+        self._model.normalizer = None
+        split = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        self._model.pre_tokenizer = pre_tokenizers.Sequence(split)
+        words = self._whole.get_vocab()
+        self._ends = np.zeros(max(words.values(), default=0) + 1, bool)
+        self._ends[[i for word, i in words.items() if word.endswith(WORD_END)]] = True
+        self._forget()
+
+    @staticmethod
+    def _words(text: str) -> list[str]:
+        """Words, and with a blank before them runs that the tokenizer has to part."""
+        if PLAIN_TEXT.fullmatch(text):
+            return PLAIN_WORDS.findall(text.lower())
+        found = []
+        for chunk in map(bytes.decode, text.encode().split()):
+            if PLAIN_CHUNK.fullmatch(chunk):
+                found += PLAIN_WORDS.findall(chunk.lower())
+            else:
+                found.append(" " + chunk)
+        return found
+
+    def _add(self, word: str, ids: list[int]) -> None:
+        self._known[word] = len(self._starts) - 1
+        self._flat.extend(ids)
+        self._starts.append(len(self._flat))
+
+    def _learn(self, words: list[str]) -> None:
+        odd, plain = [w for w in words if w[0] == " "], [w for w in words if w[0] != " "]
+        for word, found in zip(odd, self._whole.encode_batch_fast(odd, add_special_tokens=False), strict=True):
+            self._add(word, found.ids)
+        for at in range(0, len(plain), WORDS_AT_ONCE):
+            some = plain[at : at + WORDS_AT_ONCE]
+            ids = np.array(self._model.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self._ends[ids]) + 1
+            if len(ends) != len(some) or ends[-1] != len(ids):
+                raise RuntimeError("the tokenizer doesn't end words as stated")
+            self._known.update(zip(some, range(len(self._starts) - 1, len(self._starts) - 1 + len(some)), strict=True))
+            self._starts.frombytes((ends + len(self._flat)).astype(np.int64).tobytes())
+            self._flat.frombytes(ids.tobytes())
+
+    def _forget(self) -> None:
+        self._known: dict[str, int] = {}
+        #: Ids of the known words one after the other, and where each word's begin.
+        self._flat, self._starts = array("i"), array("q", [0])
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if not self._parts:
+            return [np.array(e.ids, np.int32) for e in self._whole.encode_batch_fast(texts, add_special_tokens=False)]
+        if not texts:
+            return []
+        parted = [self._words(t) for t in texts]
+        counts = np.fromiter(map(len, parted), np.int64, len(parted))
+        words = list(chain.from_iterable(parted))
+        places = np.fromiter(map(self._known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(places < 0)
+        missing = [words[i] for i in new.tolist()]
+        self._learn(list(dict.fromkeys(missing)))
+        places[new] = np.fromiter(map(self._known.__getitem__, missing), np.int64, len(missing))
+        starts, flat = np.array(self._starts, np.int64), np.array(self._flat, np.int32)
+        first, sizes = starts[places], np.diff(starts)[places]
+        ends = np.concatenate([[0], sizes.cumsum()])
+        found = flat[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])]
+        if len(self._known) > REMEMBERED:
+            self._forget()
+        return np.split(found, ends[counts.cumsum()[:-1]])
+
+
+_encoders: dict[str, TextEncoder] = {}
+
+
+def encoder(vocabulary: str) -> TextEncoder:
     """One encoder for each worker and vocabulary."""
     if vocabulary not in _encoders:
-        _encoders[vocabulary] = ChunkEncoder(vocabulary)
+        _encoders[vocabulary] = TextEncoder(vocabulary)
     return _encoders[vocabulary]
 
 
 def pieces(docs: DataFrame, vocabulary: str, most: int = MOST, end: int = END) -> DataFrame:
     """Written: ``_piece`` (a number of its own), doc_id, ``piece`` (from 0), ``start``, ``length`` and ``ids`` of every piece.
 
+    Ids are packed, as little-endian unsigned 32-bit integers: ``numpy.frombuffer(ids, "<u4")``.
+
     A document is the ids of its whole text and ``end``; it is cut only if it has more than ``most``.  A null or empty text
     is ``end`` alone.  Repeated rows and null ids are documents each; an empty table gives none; other columns are not read.
-    The tokenizer must not merge across ASCII white space.
     """
     if most < 1:
         raise ValueError("a sequence holds one token at least")
@@ -107,16 +170,9 @@ def pieces(docs: DataFrame, vocabulary: str, most: int = MOST, end: int = END) -
     names = ["doc_id", "piece", "start", "length", "ids"]
 
     def flush(held: list[tuple]) -> pa.RecordBatch:
-        ends = np.cumsum([0, *(len(h[3]) for h in held)])
-        values = np.concatenate([h[3] for h in held])
-        columns = [
-            pa.array([h[0] for h in held], held[0][4]),
-            pa.array([h[1] for h in held], pa.int32()),
-            pa.array([h[2] for h in held], pa.int64()),
-            pa.array([len(h[3]) for h in held], pa.int64()),
-            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32())),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names)
+        columns = list(zip(*held, strict=True))
+        kinds = [columns.pop()[0], pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, held, size = encoder(vocabulary), [], 0
@@ -126,17 +182,18 @@ def pieces(docs: DataFrame, vocabulary: str, most: int = MOST, end: int = END) -
                 part = batch.slice(at, AT_ONCE)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc, ids in zip(part.column(0).to_pylist(), encode.ids(texts), strict=True):
-                    whole = np.append(ids, np.int32(end))
+                    whole = np.append(ids, end).astype("<u4")
                     for n, start in enumerate(range(0, len(whole), most)):
-                        held.append((doc, n, start, whole[start : start + most], type_))
-                        size += len(held[-1][3])
+                        part_ids = whole[start : start + most]
+                        held.append((doc, n, start, len(part_ids), part_ids.tobytes(), type_))
+                        size += len(part_ids)
                         if size >= IDS_AT_ONCE:
                             yield flush(held)
                             held, size = [], 0
         if held:
             yield flush(held)
 
-    made = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids array<int>")
+    made = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary")
     return land(made.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
 
 
@@ -203,25 +260,12 @@ def sequences(pieces: DataFrame, packed: DataFrame) -> DataFrame:
     part = F.struct("offset", "doc_id", "piece", "length", "ids")
     whole = pieces.join(packed, "_piece").groupBy("sequence_id").agg(F.array_sort(F.collect_list(part)).alias("_parts"))
     shown = F.transform("_parts", lambda p: F.struct(p.doc_id.alias("doc_id"), p.piece.alias("piece"), p.offset.alias("offset"), p.length.alias("length")))
-    return whole.select("sequence_id", F.flatten("_parts.ids").alias("ids"), shown.alias("parts"))
-
-
-def with_digests(pieces: DataFrame) -> DataFrame:
-    """Without ``ids``, but with ``ids_crc32`` of them as little-endian unsigned 32-bit integers."""
-    kept = [f for f in pieces.schema.fields if f.name != "ids"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(batch.num_columns - 1)
-            ids, ends = lists.values.to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
-            sums = [zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sums, pa.int64())], [*(f.name for f in kept), "ids_crc32"])
-
-    ddl = ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in kept), "ids_crc32 long"])
-    return pieces.select(*(f.name for f in kept), "ids").mapInArrow(run, ddl)
+    ids = F.reduce("_parts", F.lit(b""), lambda found, p: F.concat(found, p.ids))
+    return whole.select("sequence_id", ids.alias("ids"), shown.alias("parts"))
 
 
 def op11_sum_of_squares_packing(spark, sf_dir: str) -> DataFrame:
     """All documents, packed into sequences of at most 4096 tokens."""
     made = pieces(read(spark, sf_dir, "documents", "doc_id", "text"), public_vocabulary())
-    return with_digests(made).join(pack(made), "_piece").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    digests = made.select("_piece", "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return digests.join(pack(made), "_piece").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

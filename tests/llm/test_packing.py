@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from helioledger.llm import packing
@@ -26,14 +27,14 @@ ODD = ["á ́b", "a\x1cb\x85c d e", "don't we'll 's", "İstanbul ΣΑΣ ς",
 
 
 def test_ids_are_those_of_whole_texts(tokenizer):
-    encode = packing.ChunkEncoder(packing.public_vocabulary())
+    encode = packing.TextEncoder(packing.public_vocabulary())
     texts = [*ODD, *(t or "" for _, t in rows())]
     for _ in range(2):
         assert [i.tolist() for i in encode.ids(texts)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'sÀ́ͅ<|>ab1")), max_size=30), max_size=4))
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t\x1c\x85\xa0×÷ßÿ'slmÀ́ͅ<|>ab1")), max_size=30), max_size=4))
 def test_ids_of_odd_texts(texts):
     encode = packing.encoder(packing.public_vocabulary())
     assert [i.tolist() for i in encode.ids(texts)] == [WHOLE.encode(t, add_special_tokens=False).ids for t in texts]
@@ -41,12 +42,21 @@ def test_ids_of_odd_texts(texts):
 
 def test_little_memory(monkeypatch, tokenizer):
     monkeypatch.setattr(packing, "REMEMBERED", 5)
-    monkeypatch.setattr(packing, "LONGEST", 4)
-    encode = packing.ChunkEncoder(packing.public_vocabulary())
+    monkeypatch.setattr(packing, "WORDS_AT_ONCE", 2)
+    encode = packing.TextEncoder(packing.public_vocabulary())
     for text in ["one two three four five six seven eight", "one nine ten 1 2 3", "six seven"]:
         assert encode.ids([text])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_other_rules_are_left_to_the_tokenizer(tmp_path, tokenizer):
+    other = Tokenizer.from_file(packing.public_vocabulary())
+    other.normalizer = None
+    other.save(str(tmp_path / "other.json"))
+    other.encode_special_tokens = True
+    encode = packing.TextEncoder(str(tmp_path / "other.json"))
+    assert [i.tolist() for i in encode.ids(ODD)] == [other.encode(t, add_special_tokens=False).ids for t in ODD]
+
+
 def squares(gaps, most):
     counts = {}
     for gap in gaps:
@@ -100,16 +110,17 @@ def test_documents(spark, tokenizer, most, monkeypatch):
     monkeypatch.setattr(packing, "GROUP", 500)
     made = packing.pieces(frame(spark), packing.public_vocabulary(), most)
     packed = packing.pack(made, most)
-    out = packing.with_digests(made).join(packed, "_piece").select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset").collect()
+    columns = "doc_id", "piece", "start", "length", F.crc32("ids"), "sequence_id", "offset"
+    out = made.join(packed, "_piece").select(*columns).collect()
     number, total = check(out, rows(), tokenizer, most)
     assert number <= 1.02 * total / most + 2
     whole = packing.sequences(made, packed).collect()
     assert len(whole) == number
-    ids = {(r.doc_id, r.piece, tuple(r.ids)) for r in made.collect()}
+    ids = {(r.doc_id, r.piece, bytes(r.ids)) for r in made.collect()}
     for r in whole:
-        assert len(r.ids) == sum(p.length for p in r.parts) and [p.offset for p in r.parts] == sorted(p.offset for p in r.parts)
+        assert len(r.ids) == 4 * sum(p.length for p in r.parts) and [p.offset for p in r.parts] == sorted(p.offset for p in r.parts)
         for p in r.parts:
-            assert (p.doc_id, p.piece, tuple(r.ids[p.offset : p.offset + p.length])) in ids
+            assert (p.doc_id, p.piece, bytes(r.ids[4 * p.offset : 4 * (p.offset + p.length)])) in ids
 
 
 def test_few_sequences():
@@ -124,7 +135,7 @@ def test_few_sequences():
 
 def test_empty_table_and_whole_pieces(spark, tokenizer):
     empty = packing.pieces(frame(spark).limit(0), packing.public_vocabulary())
-    assert found(empty) == [] == found(packing.pack(empty)) == found(packing.with_digests(empty))
+    assert found(empty) == [] == found(packing.pack(empty)) == found(packing.sequences(empty, packing.pack(empty)))
     one = packing.pieces(spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string"), packing.public_vocabulary(), 3)
     assert sorted(tuple(r)[1:4] for r in one.drop("_piece").collect()) == [(0, 0, 3), (1, 3, 3)]
     assert {r.offset for r in packing.pack(one, 3).collect()} == {0}
