@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from helioledger.llm.bpe import op10_byte_level_bpe
+from helioledger.llm.centroids import OP12_SQL, op12_equal_average_clusters
 from helioledger.llm.langid import op1_evidence_fusion
 from helioledger.llm.mixing import op3_temperature_mixing
 from helioledger.llm.packing import op11_sum_of_squares_packing
@@ -26,6 +27,7 @@ _QUERIES = (
     op9_structural_confirmation,
     op10_byte_level_bpe,
     op11_sum_of_squares_packing,
+    op12_equal_average_clusters,
 )
 
 
@@ -34,4 +36,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op5_histogram_top_k.__name__: OP5_SQL, op6_prefix_partitioned_suffixes.__name__: OP6_SQL}
+    return {op5_histogram_top_k.__name__: OP5_SQL, op6_prefix_partitioned_suffixes.__name__: OP6_SQL, op12_equal_average_clusters.__name__: OP12_SQL}
