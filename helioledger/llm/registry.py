@@ -7,6 +7,7 @@ from helioledger.llm.centroids import OP12_SQL, op12_equal_average_clusters
 from helioledger.llm.langid import op1_evidence_fusion
 from helioledger.llm.mixing import op3_temperature_mixing
 from helioledger.llm.packing import op11_sum_of_squares_packing
+from helioledger.llm.phrases import OP13_SQL, op13_setm_collocations
 from helioledger.llm.quality import op2_distribution_divergence
 from helioledger.llm.secrets import op9_structural_confirmation
 from helioledger.llm.sharding import op4_rendezvous_sharding
@@ -28,6 +29,7 @@ _QUERIES = (
     op10_byte_level_bpe,
     op11_sum_of_squares_packing,
     op12_equal_average_clusters,
+    op13_setm_collocations,
 )
 
 
@@ -36,4 +38,9 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {op5_histogram_top_k.__name__: OP5_SQL, op6_prefix_partitioned_suffixes.__name__: OP6_SQL, op12_equal_average_clusters.__name__: OP12_SQL}
+    return {
+        op5_histogram_top_k.__name__: OP5_SQL,
+        op6_prefix_partitioned_suffixes.__name__: OP6_SQL,
+        op12_equal_average_clusters.__name__: OP12_SQL,
+        op13_setm_collocations.__name__: OP13_SQL,
+    }
