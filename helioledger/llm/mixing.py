@@ -88,21 +88,21 @@ def plan(rows: DataFrame, exponent: float, sources: DataFrame, budget: float | N
     return sources.select("_source", (power / everything).alias("weight"), passes.cast("int").alias("passes"), quota.alias("quota"), blocks.alias("blocks"))
 
 
-def realise(rows: DataFrame, planned: DataFrame, key: str) -> DataFrame:
-    """One row per record and pass: all columns of ``rows``, ``weight``, ``epoch``, ``block`` and ``position``.
+def realise(rows: DataFrame, planned: DataFrame) -> DataFrame:
+    """One row per record and pass, of rows of ``_source``, ``_n``, ``_key`` and ``_record``: the last, ``weight``, ``epoch``, ``block`` and ``position``.
 
     A record's block follows from its key.  The last pass ends before the record that would overrun the quota.  Records
     with equal keys share a block and a place in it, in any order among themselves.
     """
-    of = F.pmod(F.xxhash64(F.col(key), F.lit("block")), F.col("blocks")).alias("block")
+    of = F.pmod(F.xxhash64("_key", F.lit("block")), F.col("blocks")).alias("block")
     epochs = F.explode(F.sequence(F.lit(0), F.col("passes") - F.when(F.col("quota") > 0, 0).otherwise(1)))
     some = rows.join(planned, "_source").filter("passes > 0 OR quota > 0")
     passed = some.select(*rows.columns, "weight", "passes", "quota", of, epochs.alias("epoch"))
-    orders = {"_block_order": F.xxhash64("_source", "block", "epoch"), "_record_order": F.xxhash64(F.col(key), F.col("epoch"))}
-    order = ["_block_order", "block", "_record_order", key, "_n"]
-    placed = running(passed.withColumns(orders), ["_source", "epoch"], list(dict.fromkeys(order)), F.col("_n"))
+    orders = {"_block_order": F.xxhash64("_source", "block", "epoch"), "_record_order": F.xxhash64("_key", "epoch")}
+    order = ["_block_order", "block", "_record_order", "_key", "_n"]
+    placed = running(passed.withColumns(orders), ["_source", "epoch"], order, F.col("_n"))
     kept = placed.filter("epoch < passes OR _before + _n <= quota")
-    return kept.select(*rows.columns, "weight", "epoch", "block", F.col("_slot").alias("position"))
+    return kept.select("_record", "weight", "epoch", "block", F.col("_slot").alias("position"))
 
 
 def mixture(
@@ -116,10 +116,13 @@ def mixture(
     """
     added = ("weight", "epoch", "block", "position")
     named = F.when(F.col(source).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    clean = rows.select(*[c for c in rows.columns if c.lower() not in added], named.alias("_source"), F.greatest(F.coalesce(F.col(tokens), F.lit(0)), F.lit(0)).cast("long").alias("_n"))
+    counted = F.greatest(F.coalesce(F.col(tokens), F.lit(0)), F.lit(0)).cast("long")
+    kept = F.struct(*[c for c in rows.columns if c.lower() not in added])
+    # A record travels as one value, so that none of its names can meet those of the plan.
+    clean = rows.select(named.alias("_source"), counted.alias("_n"), F.col(key).alias("_key"), kept.alias("_record"))
     sources = source_totals(clean)
     exponent = exponent_for_repeats(sources, most_repeats) if entropy is None else exponent_for_entropy(sources, entropy)
-    return realise(clean, plan(clean, exponent, sources, budget), key).drop("_source", "_n")
+    return realise(clean, plan(clean, exponent, sources, budget)).select("_record.*", *added)
 
 
 def mixed_documents(docs: DataFrame, most_repeats: float = MOST_REPEATS) -> DataFrame:
@@ -127,11 +130,12 @@ def mixed_documents(docs: DataFrame, most_repeats: float = MOST_REPEATS) -> Data
 
     The plan is made from ids alone; texts move once, to meet the number of their passes.
     """
-    numbered = land(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
-    narrow = land(numbered.select("_row", "doc_id", "source", word_tokens(F.col("text")).alias("_words")), "words")
+    numbered = land(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_document")), "numbered-documents")
+    words = word_tokens(F.col("_document.text")).alias("_words")
+    narrow = land(numbered.select("_row", "_document.doc_id", "_document.source", words), "words")
     times = mixture(narrow, "doc_id", "source", "_words", most_repeats).groupBy("_row").agg(F.count("*").cast("int").alias("_times"))
     again = F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_time")
-    return numbered.join(times, "_row").select(*docs.columns, again).drop("_time")
+    return numbered.join(times, "_row").select("_document", again).select("_document.*")
 
 
 def op3_temperature_mixing(spark, sf_dir: str) -> DataFrame:

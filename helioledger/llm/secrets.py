@@ -35,14 +35,16 @@ PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----BEGIN )[\s
 #: A line end, also escaped, with what quotes, comments and string literals put around it.
 _ESCAPED = r"(?:(?:\\+r)?\\+n|\\+r)"
 _PREFIX = r"""(?:[\x20\t>#*;|]|//[\x20\t]|--[\x20\t])*["']?"""
-BREAK = re.compile(rf"""(?:{_ESCAPED})?(?:["'][\x20\t]*[+,]?)?[\x20\t]{{0,80}}\\?(?:\r?\n|\r){_PREFIX}|{_ESCAPED}""")
+_CLOSED = r"""["'][\x20\t]*+[+,]?"""
+#: Blanks are read from their first one only, so that long runs of them take no more than one look each.
+BREAK = re.compile(rf"""(?:{_ESCAPED}(?:{_CLOSED})?|{_CLOSED}|(?<![\x20\t]))[\x20\t]*+\\?(?:\r?\n|\r){_PREFIX}|{_ESCAPED}""")
 #: Where a run begins: not within another, but also after an escaped line end.
 _START = r"(?:(?<![A-Za-z0-9+/_\\-])|(?<=\\)(?![nr])|(?<=\\[nr]))"
 RUN = re.compile(_START + r"[A-Za-z0-9+/_-]{44,}={0,2}")
 HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*:\x20.*")
-#: Full lines of base64 and a last one, with the same put around each.  Shorter lines are tried by themselves.
+#: Lines of base64, from 16 letters in the first, with the same put around each.
 LINES = re.compile(
-    rf"{_START}[A-Za-z0-9+/_-]{{32,}}(?:(?:{BREAK.pattern})[A-Za-z0-9+/_-]+)+={{0,2}}"
+    rf"{_START}[A-Za-z0-9+/_-]{{16,}}(?:(?:{BREAK.pattern})[A-Za-z0-9+/_-]+)+={{0,2}}"
 )
 HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
@@ -177,20 +179,20 @@ def line_keys(text: str) -> list[Span]:
 
 def _key_lines(lines: list[str], begin: int, most: int) -> int:
     """How many of the lines make a key, 2 at least; 0 if none do.  A sequence says by its first bytes where it ends."""
-    head = unpack(lines[begin][:32]) or b""
-    if most < 2 or not head:
+    head = unpack("".join(lines[begin : begin + min(most, 32)])[:32]) or b""
+    if most < 2 or len(head) < 2:
         return 0
     if head[0] == SEQUENCE:
         wide = head[1] & 0x7F if head[1] & 0x80 else 0
-        if wide > 4 or head[2 + wide] not in (INTEGER, SEQUENCE):
+        if wide > 4 or head[2 + wide : 3 + wide] not in (b"\x02", b"\x30"):  # an integer or a sequence, if it is there at all
             return 0
         size = 2 + wide + (int.from_bytes(head[2 : 2 + wide], "big") if wide else head[1])
-        n = -(-(-(-size * 4 // 3)) // len(lines[begin]))
+        sizes = [-(-(-(-size * 4 // 3)) // len(lines[begin]))]
     elif head.startswith((b"openssh-key-v1\0", b"\0\0\0\x07ssh-")):
-        n = most
+        sizes = [most, most - 1]  # a shorter line after the last full one may be no part of it
     else:
         return 0
-    return n if 2 <= n <= most and is_key(unpack("".join(lines[begin : begin + n]))) else 0
+    return next((n for n in sizes if 2 <= n <= most and is_key(unpack("".join(lines[begin : begin + n])))), 0)
 
 
 def confirmed_spans(text: str) -> list[Span]:

@@ -37,10 +37,10 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > len(hashes)).view(">i8")[0])
 
 
-def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text") -> DataFrame:
     """All columns and ``_fingerprint``."""
     ship(docs.sparkSession)
-    at = docs.columns.index("text")
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,13 +134,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One document of each group, with all its columns: that of the smallest doc_id, of equal rows just one."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    printed = land(with_fingerprints(numbered, shingle), "fingerprints")
-    narrow = printed.select("_row", "_fingerprint", "doc_id")
-    rooted = narrow.join(groups(printed, radius), F.col("_fingerprint") == F.col("fp"))
-    kept = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("kept"))
-    return printed.join(kept.select(F.col("kept._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
+    """One document of each group, with all its columns: that of the smallest doc_id, of equal rows just one.
+
+    Columns of any name come back as they were.
+    """
+    # Columns go by place, so that none of their names can meet those added here.
+    places = [f"_{n}" for n in range(len(docs.columns))]
+    doc_id, text = (places[docs.columns.index(name)] for name in ("doc_id", "text"))
+    numbered = docs.toDF(*places).withColumn("_row", F.monotonically_increasing_id())
+    printed = land(with_fingerprints(numbered, shingle, text), "fingerprints")
+    first = F.min(F.struct(F.col(doc_id).isNull(), doc_id, "_row")).alias("_first")
+    copies = printed.groupBy("_fingerprint").agg(first)  # of copies one each, before groups meet
+    rooted = copies.join(groups(printed, radius), F.col("_fingerprint") == F.col("fp"))
+    kept = rooted.groupBy("root").agg(F.min("_first").alias("_kept"))
+    return printed.join(kept.select(F.col("_kept._row").alias("_row")), "_row", "left_semi").select(*places).toDF(*docs.columns)
 
 
 def op7_meet_in_the_middle_simhash(spark, sf_dir: str) -> DataFrame:

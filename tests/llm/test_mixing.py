@@ -4,8 +4,9 @@ import math
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from helioledger.llm import mixing
+from helioledger.llm import mixing, simhash
 from helioledger.llm.tables import land
 from tests.llm.data import frame, rows
 
@@ -83,3 +84,24 @@ def test_documents(spark):
     assert sum(got.values()) > len(rows())
     assert mixing.mixed_documents(frame(spark, [])).count() == 0
     assert mixing.mixed_documents(frame(spark, [(1, None)])).count() == 1
+
+
+CLASHING = ("_row", "_times", "_time", "_fingerprint", "_source", "_n", "_key", "_record", "_document", "_slot", "_0", "quota", "passes", "blocks", "weight_", "fp", "root")
+
+
+def test_clashing_names_keep_their_values(spark):
+    """Columns named as what is added on the way come back with their values."""
+    docs = frame(spark).drop("_row")
+    for n, name in enumerate(CLASHING):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{n}:"), F.coalesce(F.col("text"), F.lit("none")).substr(1, 5)))
+    asked = Counter(tuple(r) for r in docs.collect())
+    mixed = mixing.mixed_documents(docs, 2.0)
+    got = Counter(tuple(r) for r in mixed.collect())
+    assert mixed.columns == docs.columns and set(got) == set(asked) and all(asked[k] <= n <= 2 * asked[k] for k, n in got.items())
+    single = simhash.keep_one(docs)
+    kept = Counter(tuple(r) for r in single.collect())
+    assert single.columns == docs.columns and kept and all(n == 1 and k in asked for k, n in kept.items())
+    records = land(docs.withColumn("n", F.lit(3)), "records")
+    read = mixing.mixture(records, "doc_id", "source", "n", 2.0)
+    own = [c for c in records.columns if c != "epoch"]  # which is one of the added
+    assert {tuple(r) for r in read.select(*own).collect()} == {tuple(r) for r in records.select(*own).collect()}

@@ -45,7 +45,7 @@ def test_empty_pipeline(spark, tmp_path):
 
 def test_registered():
     names = registry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert {*names, "pipeline"} <= set(entry.queries()) and set(registry.oracle_sql()) <= set(names)
 
 

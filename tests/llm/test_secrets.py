@@ -3,7 +3,12 @@
 import base64
 import hashlib
 import json
+import random
 import re
+import string
+import time
+
+import pytest
 
 from helioledger.llm import secrets
 from tests.llm.data import frame, rows
@@ -123,3 +128,41 @@ def test_broken_lines_of_keys():
     assert keys(pem.replace("Proc-Type: 4,ENCRYPTED\n", "")) == [] == keys(pem.replace(secret[:8], "no words"))
     lines = [b64(b"x" * 200)[i : i + 64] for i in range(0, 256, 64)]
     assert keys("\n".join(lines)) == []
+
+
+def test_short_lines_after_long_ones():
+    for text in ("x" * 40 + "\nMAP\nMAP\n", "A" * 64 + "\nMIIE\nMIIE\n", "x" * 40 + "\nMAY\nMAY", "x" * 16 + "\nM\nM", "x" * 20 + "\nMI\nMI\nMI"):
+        assert not any(s[0] == "key" for s in secrets.spans(text))
+
+
+def test_lines_of_base64_letters_of_any_width():
+    """No text makes the scan fail; what it finds are keys."""
+    rng = random.Random(3)
+    heads = ["M", "MI", "MII", "MIIE", "MAP", "MAY", "MIGH", "MIIC", "b3Bl", "AAAA", ""]
+    letters = string.ascii_letters + string.digits + "+/_-="
+    for n in range(1500):
+        width = n % 80 + 1
+        lines = ["".join(rng.choices(letters, k=rng.choice([width, width, width, rng.randrange(1, 81)]))) for _ in range(rng.randrange(1, 8))]
+        lines = [(rng.choice(heads) + line)[: max(1, len(line))] for line in lines]
+        text = rng.choice(["", "x" * 40 + "\n", "# "]) + rng.choice(["\n", "\r\n", "\\n", '" +\n"', "  \n\t"]).join(lines)
+        for kind, start, end in secrets.confirmed_spans(text):
+            assert kind == "key" and start < end <= len(text)
+
+
+@pytest.mark.parametrize("width", [16, 17, 24, 28, 31, 32, 33, 64, 79])
+@pytest.mark.parametrize("data", [RSA, EC, WRAPPED, SSH], ids=["rsa", "ec", "wrapped", "ssh"])
+def test_keys_in_lines_of_any_width(data, width):
+    run = b64(data)
+    for between in ("\n", "\r\n", " " * 500 + "\n", "\t" * 81 + "\n"):
+        text = between.join(run[i : i + width] for i in range(0, len(run), width))
+        if len(run) > width:
+            ends = [end for kind, start, end in secrets.spans(f"key:\n{text}\nend") if (kind, start) == ("key", 5)]
+            least = len(text.rstrip("= \t\r\n"))  # padding may stand in a line of its own
+            assert ends and 5 + least <= ends[0] <= 5 + len(text), (width, between)
+
+
+def test_long_runs_of_blanks_are_read_once():
+    blanks = "-----BEGIN RSA PRIVATE KEY-----" + " " * 200_000 + "x" + "\t " * 100_000 + "\"" + " " * 200_000 + "-----END RSA PRIVATE KEY-----"
+    began = time.perf_counter()
+    assert secrets.confirmed_spans(blanks) == []
+    assert time.perf_counter() - began < 5
