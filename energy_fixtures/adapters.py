@@ -114,8 +114,13 @@ def _kept(frame: DataFrame, sf_dir: str, name: str) -> DataFrame:
     if not folder:
         return frame
     path = f"{folder}/{name}-{sf_dir.strip('/').replace('/', '-')}"
-    frame.write.mode("ignore").parquet(path)
-    return spark.read.parquet(path)
+    if path not in _KEPT:  # even a write that is ignored is planned
+        frame.write.mode("ignore").parquet(path)
+        _KEPT.add(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+_KEPT: set[str] = set()
 
 
 def area_readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -251,6 +251,23 @@ def oracle_sql() -> dict[str, str]:
     # The same results by another plan
     found["solar_cleaned_by_site_shuffled"] = found["solar_cleaned_by_site"]
     found["solar_cleaned_by_site_split"] = found["solar_cleaned_by_site"]
+    found["tariffs_in_force_by_day"] = """
+WITH days AS (SELECT CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS reading_datetime, count(*) AS lines FROM lineitem GROUP BY 1),
+many AS (SELECT CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_custkey % 540 AS INTEGER) AS e,
+  o_orderkey % 97 AS off_peak_rate, o_orderkey % 101 AS peak_rate, o_custkey % 103 AS export_rate FROM orders)
+SELECT reading_datetime, lines, count(*) AS tariffs, CAST(sum(off_peak_rate) AS BIGINT) AS off_peak_rate,
+  CAST(sum(peak_rate) AS BIGINT) AS peak_rate, CAST(sum(export_rate) AS BIGINT) AS export_rate
+FROM days JOIN many ON CAST(reading_datetime AS DATE) BETWEEN s AND e GROUP BY 1, 2"""
+    for suffix, k in (("", ""), ("_by_site", "site_id, ")):
+        levels = (("day", "daily", "reading_date", "NULL::TIMESTAMP"), ("month", "monthly", "NULL::TIMESTAMP", "reading_month"), ("total", "total", "NULL::TIMESTAMP", "NULL::TIMESTAMP"))
+        found[f"savings_by_level{suffix}"] = " UNION ALL ".join(
+            f"SELECT '{level}' AS level, {k}{date} AS reading_date, {month} AS reading_month, {', '.join(MEASURES)} FROM ({found[f'{mart}_savings{suffix}']})"
+            for level, mart, date, month in levels
+        ).replace("reading_date AS reading_date, NULL::TIMESTAMP", "reading_date, date_trunc('month', reading_date)")
+    found["raw_table_corrected_by_site"] = f"""WITH {AREA_RAW},
+parsed AS (SELECT site_id, {_PARSED} FROM raw),
+brought AS (SELECT * REPLACE (0.5::DOUBLE AS solar) FROM parsed WHERE site_id % 2 = 0 AND day(date) IN (7, 21) AND CAST(left(hour, 2) AS INTEGER) % 2 = 0)
+SELECT * FROM parsed p WHERE NOT EXISTS (SELECT 1 FROM brought b WHERE b.site_id = p.site_id AND b.date = p.date) UNION ALL SELECT * FROM brought"""
     found["payback_current_join"] = found["payback_forecast_current"]
     found["payback_current_join_by_site"] = found["payback_forecast_current_by_site"]
     found["monthly_from_daily_by_site"] = found["monthly_savings_by_site"]
@@ -322,6 +339,8 @@ UNION ALL SELECT site_id, {_PARSED.replace("CAST(solar AS DOUBLE)", "1.0::DOUBLE
     found["seed_tariffs_csv"] = FLEET.select("SELECT * FROM raw_tariffs")
     found["seed_exclusions_csv"] = FLEET.select("SELECT * FROM raw_exclusions")
     found["streamed_daily_savings"] = found["daily_savings"]
+    found["refreshed_forecast_development_by_site"] = found["served_payback_forecast_development"]
+    found["refreshed_monthly_savings_by_site"] = found["served_monthly_savings"]
     found["files_present"] = ONE.select("SELECT DISTINCT CAST(date AS DATE) AS date FROM raw")
 
     # Calendars

@@ -12,7 +12,7 @@ from energy_fixtures import adapters
 from energy_fixtures.adapters import SITE, Fleet, OneSite, parsed, table
 from helioledger.functions import labels, parsing
 from helioledger.operators import cleaning, coverage, finance, payback, quality, rollups
-from helioledger.plans import collection, models, warehouse
+from helioledger.plans import collection, models, refresh, warehouse
 from helioledger.schemas import PARSED_READINGS, READING_VALUES
 from helioledger.session import scratch_path
 from helioledger.sinks import readings as sinks
@@ -179,6 +179,22 @@ def raw_table_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def _odd_days(readings: DataFrame) -> DataFrame:
+    """What a correction brings: the 7th and 21st of each month, without their odd hours."""
+    return readings.filter(F.day("date").isin(7, 21) & (F.substring("hour", 1, 2).cast("int") % 2 == 0))
+
+
+def raw_table_corrected_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All days of all areas first; then two days a month of the even areas come again with other values and replace the stored ones."""
+    name, path = _raw_table(spark)
+    areas = parsed(adapters.area_readings(spark, sf_dir), SITE)
+    sinks.create_raw_table(areas, name, path, ["date"])
+    corrected = _odd_days(areas).filter("site_id % 2 = 0").withColumn("solar", F.lit(0.5))
+    for _ in range(2):
+        sinks.replace_days(corrected, name, SITE)
+    return spark.table(name).select(*SITE, "date", "hour", *READING_VALUES)
+
+
 def seed_tariffs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tariffs")
     raw = adapters.fleet_tariffs(spark, sf_dir)
@@ -293,6 +309,20 @@ def live_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("int_finance_cost_savings").drop("ingested_at")
 
 
+def refreshed_by_site(spark: SparkSession, sf_dir: str, mart) -> DataFrame:
+    """Build from all days but some in the middle, add those, and refresh what they change."""
+    name, path = _raw_table(spark)
+    fleet = Fleet(spark, sf_dir)
+    raw = fleet.raw.withColumn("date", F.col("date").cast("date"))
+    location, late = scratch_path(spark, "refreshed"), F.col("date").between(F.lit("1998-03-30").cast("date"), F.lit("1998-04-02").cast("date"))
+    sinks.create_raw_table(raw.filter(~late), name, path, ["date"])
+    for more in (None, raw.filter(late)):
+        if more is not None:
+            sinks.append_new_readings(more, name, SITE)
+        refresh.refresh(spark.table(name), fleet.raw_tariffs, fleet.raw_exclusions, location, SITE, exact=True)
+    return mart(spark, location, SITE)
+
+
 def dense_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All exclusions in one calendar, half an hour each, so that a month has very many."""
     fleet = Fleet(spark, sf_dir)
@@ -300,6 +330,23 @@ def dense_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.drop_excluded(fleet.readings, fleet.exclusions.withColumn("end_datetime", half), broadcast_bytes=0)
 
 
+def tariffs_in_force_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is a tariff of up to a year and a half in one calendar, so that thousands overlap in a month."""
+    day = F.to_date("o_orderdate")
+    rates = {"off_peak_rate": F.col("o_orderkey") % 97, "peak_rate": F.col("o_orderkey") % 101, "export_rate": F.col("o_custkey") % 103}
+    many = table(spark, sf_dir, "orders").select(
+        day.alias("start_date"),
+        F.date_add(day, (F.col("o_custkey") % 540).cast("int")).alias("end_date"),
+        F.lit(0).alias("off_peak_start_hour"),
+        F.lit(4).alias("off_peak_end_hour"),
+        *[value.cast("double").alias(name) for name, value in rates.items()],
+    )
+    days = table(spark, sf_dir, "lineitem").groupBy(F.to_timestamp_ntz(F.to_date("l_shipdate")).alias("reading_datetime")).agg(F.count("*").alias("lines"))
+    held = cleaning.attach_tariff(days, many)
+    sums = [F.sum(name).cast("long").alias(name) for name in rates]
+    return held.groupBy("reading_datetime", "lines").agg(F.count("*").alias("tariffs"), *sums)
+
+
 def _served(read) -> Query:
     return lambda spark, sf_dir: read(spark, built_warehouse(spark, sf_dir), SITE)
 
@@ -459,12 +506,16 @@ def queries() -> dict[str, Query]:
         "monthly_savings_default_by_site": lambda s, d: _rounded(rollups.monthly_savings(_costs(Fleet(s, d)), SITE)),
         "total_savings_default_by_site": lambda s, d: _rounded(rollups.total_savings(_costs(Fleet(s, d)), SITE)),
         "hourly_generation_by_month_default_by_site": lambda s, d: _rounded(rollups.hourly_generation_by_month(_cleaned(Fleet(s, d)), SITE)),
+        "savings_by_level_by_site": lambda s, d: rollups.savings_by_level(_costs(Fleet(s, d)), SITE, exact=True),
+        "savings_by_level": lambda s, d: rollups.savings_by_level(_costs(OneSite(s, d)), exact=True),
         "tariff_open_ended_by_site": lambda s, d: cleaning.attach_tariff(Fleet(s, d).readings, Fleet(s, d).tariffs, SITE, open_ended=True),
         "off_peak_wrapped_by_site": lambda s, d: _flag(_cleaned(Fleet(s, d), wrap_midnight=True)),
         "off_peak_end_exclusive_by_site": lambda s, d: _flag(_cleaned(Fleet(s, d), end_inclusive=False)),
         "payback_remaining_by_site": lambda s, d: payback.payback_forecast_current(_rollup(Fleet(s, d)), SITE, exact=True, basis="remaining"),
         "generation_per_day_by_site": lambda s, d: rollups.generation_from_daily(_rollup(Fleet(s, d)), SITE, exact=True, per_day=True),
         "served_daily_savings_in_order": lambda s, d: _in_order(marts.daily_savings(s, built_warehouse(s, d), SITE)),
+        "refreshed_forecast_development_by_site": lambda s, d: _epoch_day(refreshed_by_site(s, d, marts.payback_forecast_development)),
+        "refreshed_monthly_savings_by_site": lambda s, d: refreshed_by_site(s, d, marts.monthly_savings),
         "served_data_date": _served(marts.data_date),
         "served_daily_savings": _served(marts.daily_savings),
         "served_monthly_savings": _served(marts.monthly_savings),
@@ -474,8 +525,8 @@ def queries() -> dict[str, Query]:
     }
     for query in (
         json_roundtrip, json_roundtrip_small_arrays, json_roundtrip_by_site, strict_json_load_by_site, collected_days_by_site, live_views,
-        dense_exclusions, tolerant_json_load, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
-        raw_table_loaded_twice, raw_table_appended, seed_tariffs_csv, seed_exclusions_csv, streamed_readings,
+        dense_exclusions, tariffs_in_force_by_day, tolerant_json_load, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
+        raw_table_loaded_twice, raw_table_appended, raw_table_corrected_by_site, seed_tariffs_csv, seed_exclusions_csv, streamed_readings,
         streamed_daily_savings, readings_from_tooltips_by_site, collected_days, consolidated_csv, consolidated_table, missing_dates, missing_dates_by_site, hour_skeleton, hour_skeleton_by_site,
         dq_not_null, dq_unique, dq_unique_by_site, tolerant_float, tolerant_hour, iso_date, multi_format_date, label_tokens,
     ):

@@ -17,7 +17,7 @@ _OFF_PEAK_HOURS = ("off_peak_start_hour", "off_peak_end_hour")
 def _outages(exclusions: DataFrame, keys: Sequence[str]) -> tuple[str, Intervals]:
     """Of the exclusions that start together only the longest matters, so copies do not pile up in one task."""
     longest = exclusions.groupBy(*keys, "start_datetime").agg(F.max("end_datetime").alias("end_datetime"))
-    return "left_anti", Intervals(longest, "start_datetime", "end_datetime", source=exclusions)
+    return "left_anti", Intervals(longest, "start_datetime", "end_datetime", condensed=True)
 
 
 def _tariffs(tariffs: DataFrame, open_ended: bool = False) -> tuple[str, Intervals]:

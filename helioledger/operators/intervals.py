@@ -9,10 +9,12 @@ The interval side is broadcast only after it has been measured.  Beyond the limi
 both sides are shuffled on keys and slot.  Groups of facts above ``split_above``
 rows are then cut into slices, with the interval side repeated for each slice.
 
-Anti joins that are shuffled, or whose intervals are dense, compare no pairs: facts
-and intervals of a slot are read together in order of time, and a fact is covered if
-the latest end so far is not before it.  That takes as long for many intervals as
-for few.
+Where intervals are dense no pairs are compared.  Anti joins, also all that are
+shuffled, read facts and intervals of a slot together in order of time: a fact is
+covered if the latest end so far is not before it.  Inner joins number the different
+moments of a slot in order; reading moments and intervals together tells each interval
+the first and last number it holds, and it meets just these by equality.  Both take
+time in proportion to what goes in and comes out, however many intervals overlap.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helioledger.operators.hot_groups import SLICE, find_hot_groups, repeat_for_slices, slice_rows
+from helioledger.session import scratch_path
 
 SLOT = "_slot"
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -61,22 +64,30 @@ class Intervals:
     rows: int = 0
     size: int = 0
     longest: int = 0
-    # What ``frame`` was condensed from: never smaller, and cheaper to measure.
-    source: DataFrame | None = None
+    # Most intervals of one key that touch one slot.
+    together: int = 0
+    # Whether ``frame`` is costly enough to be written before it is measured and joined.
+    condensed: bool = False
 
     def measure(self, place: int) -> DataFrame:
-        """Rows, bytes and longest span in slots after spreading, as one row from one aggregate."""
-        source = self.frame if self.source is None else self.source
-        used = source.select(*self.keys, self.start, self.end, *self.payload)
-        span = F.when(self._valid(), self._last() - self._first() + 1).otherwise(F.lit(0))
+        """Rows, bytes, longest span in slots and most intervals of one key and slot after spreading, as one row.
+
+        A span beyond ``LONG_SPAN`` meets others only up to it, as such intervals are clipped before they are joined.
+        """
+        used = self.frame.select(*self.keys, self.start, self.end, *self.payload)
         text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in used.schema if f.dataType.typeName() == "string"]
         width = sum(text, F.lit(24 + 8 * (len(used.columns) + 1)))
-        return used.agg(
-            F.lit(place).alias("place"),
-            F.coalesce(F.sum(span.cast("long")), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(span.cast("long") * width), F.lit(0)).alias("size"),
-            F.coalesce(F.max(span), F.lit(0)).alias("longest"),
-        )
+        names = [f"_key_{key}" for key in self.keys]
+        keyed = [F.col(key).alias(name) for key, name in zip(self.keys, names)]
+        span = (self._last() - self._first() + 1).cast("long")
+        bounds = used.filter(self._valid()).select(*keyed, self._first().alias("_low"), self._last().alias("_high"), span.alias("_span"), width.alias("_width"))
+        slots = F.explode(F.sequence("_low", F.least(F.col("_high"), F.col("_low") + LONG_SPAN))).alias(SLOT)
+        own = F.when(F.col(SLOT) == F.col("_low"), F.col("_span")).otherwise(0)  # of an interval's rows the first stands for all
+        spread = bounds.select(*names, "_low", "_span", "_width", slots).withColumn("_rows", own)
+        sums = [F.sum("_rows").alias("_rows"), F.sum(F.col("_rows") * F.col("_width")).alias("_bytes")]
+        counted = spread.groupBy(*names, SLOT).agg(F.count("*").alias("_n"), F.max("_span").alias("_span"), *sums)
+        found = {"rows": F.sum("_rows"), "size": F.sum("_bytes"), "longest": F.max("_span"), "together": F.max("_n")}
+        return counted.agg(F.lit(place).alias("place"), *[F.coalesce(value, F.lit(0)).alias(name) for name, value in found.items()])
 
     def spread(self, first: int | Column | None = None, last: int | Column | None = None) -> DataFrame:
         """One row per interval and slot, within the given slots if any."""
@@ -90,12 +101,13 @@ class Intervals:
         columns += [F.col(name).alias(name) for name in self.payload]
         return self.frame.select(*columns, F.explode(F.when(valid, F.sequence(low, high))).alias(f"{SLOT}_side"))
 
-    def is_dense(self) -> bool:
-        """Whether some key and slot has more than ``DENSE`` intervals; counted only if there are so many at all."""
-        if self.rows <= DENSE or self.longest > LONG_SPAN:
-            return self.rows > DENSE
-        group = [*[f"_key_{key}" for key in self.keys], f"{SLOT}_side"]
-        return not self.spread().groupBy(*group).count().filter(F.col("count") > DENSE).isEmpty()
+    def written(self) -> Intervals:
+        """Condensed intervals from the shared folder, so that measuring and joining do not make them again."""
+        if not self.condensed:
+            return self
+        path = scratch_path(self.frame.sparkSession, "intervals")
+        self.frame.write.parquet(path)
+        return replace(self, frame=self.frame.sparkSession.read.schema(self.frame.schema).parquet(path), condensed=False)
 
     def _first(self) -> Column:
         return slot_of(F.col(self.start), self.grain)
@@ -173,6 +185,44 @@ class SlottedFacts:
         covered = F.coalesce(F.col("_covered") >= F.col("_at"), F.lit(False))
         return replace(self, frame=marked.filter((F.col("_kind") == 1) & ~covered).select(*names))
 
+    def meeting(self, side: Intervals, low: int | None, high: int | None, split_above: int | None) -> SlottedFacts:
+        """Facts with every interval that holds them, without comparing pairs.
+
+        Groups of more than ``split_above`` intervals are cut into slices, each with all moments of the group.
+        """
+        group = [*self.keys, SLOT]
+        moment, kind = F.col(self.moment), self.frame.schema[self.moment].dataType
+        if dict(side.frame.dtypes)[side.start] == "date":
+            moment, kind = F.to_date(moment), side.frame.schema[side.start].dataType
+        placed = [F.col(f"_key_{key}").alias(key) for key in self.keys] + [F.col(f"{SLOT}_side").alias(SLOT)]
+        bounds = [F.col(name).cast(kind).alias(name) for name in ("_from", "_to")]
+        handed = F.struct(F.lit(True).alias("_one"), *side.payload).alias("_payload")
+        spans = side.spread(low, high).select(*placed, *bounds, handed)
+        for key in self.keys:  # a missing key is no key
+            spans = spans.filter(F.col(key).isNotNull())
+        dated = self.frame.select(*group, moment.cast(kind).alias("_at"))
+        moments = dated.filter(F.col("_at").isNotNull()).distinct()
+        hot = find_hot_groups(spans, group, split_above) if split_above else None
+        if hot is None:
+            spans, moments = spans.withColumn(SLICE, F.lit(0)), moments.withColumn(SLICE, F.lit(0))
+        else:
+            spans, moments = slice_rows(spans, group, hot), repeat_for_slices(moments, {name: name for name in group}, hot, SLICE)
+        place = [*group, SLICE]
+        so_far = Window.partitionBy(*place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = _with_moments(spans, moments, "_from", 1).withColumn("_low", F.sum("_moment").over(so_far.orderBy("_when", "_turn")))
+        begun = before.filter("_moment = 0").select(*spans.columns, "_low")
+        until = _with_moments(begun, moments, "_to", -1).withColumn("_high", F.sum("_moment").over(so_far.orderBy("_when", "_turn")))
+        numbers = F.explode(F.sequence(F.col("_low") + 1, F.col("_high"))).alias("_number")
+        held = until.filter("_moment = 0 AND _high > _low").select(*place, "_payload", numbers)
+        numbered = moments.withColumn("_number", F.row_number().over(Window.partitionBy(*place).orderBy("_at")).cast("long"))
+        sides = {name: f"{name}_side" for name in group}
+        meets = held.join(numbered.hint("merge"), [*place, "_number"]).select(*[F.col(n).alias(m) for n, m in sides.items()], F.col("_at"), "_payload")
+        match = moment.cast(kind) == F.col("_at")
+        for name, other in sides.items():
+            match = match & (F.col(name) == F.col(other))
+        joined = self.frame.join(meets.hint("merge"), match)
+        return replace(self, frame=joined.select(*self.frame.columns, *[F.col(f"_payload.{name}").alias(name) for name in side.payload]))
+
     def untagged(self) -> DataFrame:
         return self.frame.drop(SLOT, SLICE)
 
@@ -204,8 +254,9 @@ def join_intervals(
             slotted = slotted.outside(side, low, high) if how == "left_anti" else slotted.join(side, how, low, high, False)
         return slotted.untagged()
 
+    sides = [side.written() for side in sides]
     found = reduce(DataFrame.union, [side.measure(place) for place, side in enumerate(sides)]).collect()
-    sides = [replace(sides[m["place"]], rows=m["rows"], size=m["size"], longest=m["longest"]) for m in found]
+    sides = [replace(sides[m["place"]], **{n: m[n] for n in ("rows", "size", "longest", "together")}) for m in found]
     low = high = None
     if any(side.longest > LONG_SPAN for side in sides):
         dated = slotted.frame.filter(F.col(SLOT) != NO_SLOT)
@@ -214,14 +265,30 @@ def join_intervals(
         sides = [_clipped(side, low, high) for side in sides]
 
     small = [side.size <= broadcast_bytes for side in sides]
-    paired = [how != "left_anti" or (fits and not side.is_dense()) for (how, _), side, fits in zip(steps, sides, small)]
+    dense = [side.together > DENSE for side in sides]
+    # Shuffled anti joins compare no pairs in any case.
+    paired = [not d and (how != "left_anti" or fits) for (how, _), d, fits in zip(steps, dense, small)]
     if not all(small) or not all(paired):
         slotted = slotted.split_hot(split_above)
     for (how, _), side, fits, pairs in zip(steps, sides, small, paired):
-        slotted = slotted.join(side, how, low, high, fits) if pairs else slotted.outside(side, low, high)
+        if pairs:
+            slotted = slotted.join(side, how, low, high, fits)
+        elif how == "left_anti":
+            slotted = slotted.outside(side, low, high)
+        else:
+            slotted = slotted.meeting(side, low, high, split_above)
     return slotted.untagged()
 
 
+def _with_moments(spans: DataFrame, moments: DataFrame, bound: str, turn: int) -> DataFrame:
+    """Spans and moments as rows of one order: a span at its bound, before (1) or after (-1) a moment at the same time."""
+    place = [name for name in moments.columns if name != "_at"]
+    marked = spans.select("*", F.col(bound).alias("_when"), F.lit(0).alias("_moment"), F.lit(-turn).alias("_turn"))
+    blank = [F.lit(None).cast(spans.schema[name].dataType).alias(name) for name in spans.columns if name not in place]
+    passing = moments.select(*place, *blank, F.col("_at").alias("_when"), F.lit(1).alias("_moment"), F.lit(0).alias("_turn"))
+    return marked.unionByName(passing)
+
+
 def _clipped(side: Intervals, low: int, high: int) -> Intervals:
     per_row = side.size / side.rows if side.rows else 0
     rows = side.spread(low, high).count()

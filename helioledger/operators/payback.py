@@ -41,9 +41,12 @@ def payback_forecast_development(
     exact: bool = False,
     ordered: bool | None = None,
     basis: str = "whole",
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Cumulative saving and forecast after each day with data.
 
+    ``before`` has the ``cumulative_saving`` and ``day_number`` (per key) that the rollup's first days go on from.
+
     The window sees one row per day and key, so a partition of it holds at most the
     days of the calendar, however many hours lie below.  Without keys the rows come
     in date order; with keys a global sort is done only on request.
@@ -53,12 +56,26 @@ def payback_forecast_development(
     if exact:
         running = F.sum(F.col("total_saving").cast("decimal(28,6)"))
     so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cumulative, number = running.over(so_far), F.row_number().over(window).cast("long")
+    if before is not None:
+        names = {"_saved": "cumulative_saving", "_days": "day_number"}
+        if keys:
+            carried = before.select(*[F.col(key).alias(f"_key_{key}") for key in keys], *[F.col(old).alias(new) for new, old in names.items()])
+            same = [F.col(key).eqNullSafe(F.col(f"_key_{key}")) for key in keys]
+            rollup = rollup.join(carried, same, "left")
+        else:  # one row
+            row = before.first()
+            rollup = rollup.withColumns({new: F.lit(row and row[old]).cast(before.schema[old].dataType) for new, old in names.items()})
+        saved_before = F.col("_saved").cast("decimal(28,6)") if exact else F.col("_saved")
+        # A sum over missing values alone stays missing.
+        cumulative = F.coalesce(cumulative + saved_before, cumulative, saved_before)
+        number = number + F.coalesce("_days", F.lit(0))
     saved = rollup.select(
         *keys,
         midnight(F.col("reading_date")).alias("reading_date"),
         "total_saving",
-        running.over(so_far).cast("double").alias("cumulative_saving"),
-        F.row_number().over(window).cast("long").alias("day_number"),
+        cumulative.cast("double").alias("cumulative_saving"),
+        number.alias("day_number"),
         F.lit(installation_cost).alias("installation_cost"),
     )
     result = _with_forecast(saved, "reading_date", basis).select(

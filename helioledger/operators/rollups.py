@@ -59,6 +59,30 @@ def total_from_daily(rollup: DataFrame, keys: Sequence[str] = (), exact: bool =
     return rollup.groupBy(*keys).agg(*_sums(exact, True))
 
 
+def savings_by_level(costs: DataFrame, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
+    """Daily, monthly and total sums from one pass over the hours and one shuffle, told apart by ``level``.
+
+    ``level`` is ``day``, ``month`` or ``total``; the date is NULL but for days, the month NULL for totals.  Sums
+    combine within the map tasks, so what is shuffled is a row per task and group.  Hours without a timestamp make a
+    day and a month of their own, as in the separate sums.  Exact sums hold two billion hours a group; a total of
+    more goes by way of the days.  Without keys and hours there is the total alone, a row of NULLs.
+    """
+    moment = F.col("reading_datetime")
+    dated = costs.withColumns({"reading_month": midnight(month_of(moment)), "reading_date": midnight(day_of(moment))})
+    day, month = F.grouping("reading_date"), F.grouping("reading_month")
+    sets = [[*keys, "reading_month", "reading_date"], [*keys, "reading_month"], [*keys]]
+    columns = [F.col(name) for name in (*keys, "reading_month", "reading_date")]
+    level = F.when(day == 0, F.lit("day")).when(month == 0, F.lit("month")).otherwise(F.lit("total"))
+    summed = dated.groupingSets([[F.col(name) for name in names] for names in sets], *columns).agg(level.alias("level"), *_sums(exact))
+    return summed.select("level", *keys, "reading_date", "reading_month", *MEASURES)
+
+
+def marts_by_level(levels: DataFrame, keys: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The three marts of written ``savings_by_level``."""
+    columns = {"daily_savings": ("day", ["reading_date"]), "monthly_savings": ("month", ["reading_month"]), "total_savings": ("total", [])}
+    return {name: levels.filter(F.col("level") == level).select(*keys, *dates, *MEASURES) for name, (level, dates) in columns.items()}
+
+
 def total_solar_generation(cleaned: DataFrame, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
     """Energy generated, and the same per reading: the average counts hours, also those without a value."""
     solar, readings = total(F.col("solar"), exact).alias("solar"), F.count(F.lit(1)).alias("readings")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -152,3 +153,51 @@ def append_new_readings(readings: DataFrame, table: str, keys: Sequence[str] = (
     single = readings.groupBy(*identity).agg(F.max(F.struct(*rest)).alias("_rest")).select(*identity, "_rest.*")
     fresh = single.join(known, same, "left_anti")
     fresh.select(*stored.columns).write.mode("append").insertInto(table)
+
+
+def replace_days(readings: DataFrame, table: str, keys: Sequence[str] = ()) -> list[dt.date | None]:
+    """Put the key's days that the readings bring in place of those stored; all other days keep their files.
+
+    The table must be partitioned by date.  A day is replaced whole, so hours that are not brought again go; other
+    keys' rows of the same dates are carried over.  A second run does the same again.  What comes to the driver is
+    the dates brought, which are returned.
+    """
+    spark = readings.sparkSession
+    stored = spark.table(table)
+    if "date" not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
+        raise ValueError(f"{table} must be partitioned by date")
+    identity = [*keys, "date", "hour"]
+    rest = [name for name in stored.columns if name not in identity]
+    # Of several rows for one hour the largest counts, column by column, as when they are appended.
+    single = readings.groupBy(*identity).agg(F.max(F.struct(*rest)).alias("_rest")).select(*identity, "_rest.*")
+    brought = _landed(single.select(*stored.columns), "days-brought")
+    dates = [row[0] for row in brought.select("date").distinct().collect()]
+    new = brought
+    if keys and dates:
+        touched = F.col("date").isin([day for day in dates if day is not None])
+        held = stored.filter(touched | F.col("date").isNull() if None in dates else touched)
+        known = brought.select(*[F.col(name).alias(f"_new_{name}") for name in (*keys, "date")]).distinct()
+        same = [F.col(name).eqNullSafe(F.col(f"_new_{name}")) for name in (*keys, "date")]
+        new = _landed(brought.unionByName(held.join(known, same, "left_anti")), "days-replaced")
+    if dates:
+        with _dynamic_overwrite(spark):
+            new.hint("rebalance", "date").select(*stored.columns).write.insertInto(table, overwrite=True)
+    return dates
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Within, overwriting a table replaces the partitions written; a table takes this from the session alone."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _landed(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

@@ -136,3 +136,28 @@ def test_dense_exclusions_compare_no_pairs(spark, monkeypatch):
     for how in ({}, {"broadcast_bytes": 0, "split_above": 50}, {"live": True}, {"broadcast_bytes": 0, "split_above": None}):
         found = cleaning.drop_excluded(readings, exclusions, ["site"], **how)
         assert rows(found) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("how", [{}, {"broadcast_bytes": 0, "split_above": 40}, {"broadcast_bytes": 0, "split_above": None}, {"grain": "day"}])
+@pytest.mark.parametrize("sites", [True, False])
+def test_many_overlapping_tariffs(spark, monkeypatch, how, sites):
+    """Each reading with every tariff that holds it, against a plain check; copies of tariffs and readings count each."""
+    monkeypatch.setattr(intervals, "DENSE", 3)
+    rng = random.Random(5)
+    first = dt.date(2026, 1, 20)
+    spans = [(s := first + dt.timedelta(days=rng.randrange(60)), s + dt.timedelta(days=rng.randrange(-2, 40))) for _ in range(150)]
+    tariffs = [(rng.choice([1, 1, 1, 2, None]), s, e, 1, 5, 0.1, 0.2, float(n)) for n, (s, e) in enumerate(spans)]
+    tariffs += [tariffs[0], (1, None, first, 1, 5, 0.1, 0.2, 900.0), (1, first, None, 1, 5, 0.1, 0.2, 901.0)]
+    start = dt.datetime(2026, 1, 15)
+    readings = [(rng.choice([1, 1, 2, 3, None]), start + dt.timedelta(hours=rng.randrange(2400)), float(n)) for n in range(300)]
+    readings += [readings[0], (1, None, 5.0)]
+    keys = ["site_id"] if sites else []
+    want = []
+    for site, when, value in readings:
+        for t in tariffs:
+            if when and t[1] and t[2] and t[1] <= when.date() <= t[2] and (not sites or site == t[0] is not None):
+                want.append((site, when, value, t[7]))
+    facts = spark.createDataFrame(readings, "site_id int, reading_datetime timestamp_ntz, _number double")
+    side = spark.createDataFrame(tariffs, TARIFF)
+    found = cleaning.attach_tariff(facts, side, keys, **how)
+    assert rows(found.select("site_id", "reading_datetime", "_number", "export_rate")) == sorted(want, key=repr)

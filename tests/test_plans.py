@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as entry
+from helioledger.operators import intervals
 from helioledger.session import scratch_path
 from helioledger.sources import daily_json
 
@@ -36,15 +37,15 @@ def test_scans_read_only_the_needed_columns(spark, small):
 def test_two_large_reference_tables_share_one_shuffle_of_the_readings(spark, small):
     text = plan(QUERIES["solar_cleaned_by_site_shuffled"](spark, small))
     assert text.count("SortMergeJoin") == 1 and text.count("Window [") == 1 and "BroadcastHashJoin" not in text
-    # One for the readings with the exclusions, one for tariffs, one for equal starts and one for the adapter's own hours.
-    assert text.count("Exchange hashpartitioning") == 4
+    # One for the readings with the exclusions, one for tariffs and one for the adapter's own hours.
+    assert text.count("Exchange hashpartitioning") == 3
 
 
 def test_small_reference_tables_leave_the_readings_in_place(spark, small):
     text = plan(QUERIES["solar_cleaned_by_site"](spark, small))
     assert text.count("BroadcastHashJoin") == 2
-    # The adapter's own hours, and exclusions of equal start.
-    assert text.count("Exchange hashpartitioning") == 2
+    # The adapter's own hours.
+    assert text.count("Exchange hashpartitioning") == 1
 
 
 def test_windows_are_split_by_site(spark, small):
@@ -79,3 +80,18 @@ def test_present_dates_do_not_open_files(spark, tmp_path):
     (tmp_path / "2026-01-17_data.json").write_text("x")
     text = plan(daily_json.present_dates(spark, str(tmp_path)))
     assert "ReadSchema: struct<path:string>" in text
+
+
+def test_many_overlapping_tariffs_meet_by_equality(spark, small, monkeypatch):
+    """Moments and tariffs are counted in windows by slot; every join is by a number or a moment, without a residual."""
+    monkeypatch.setattr(intervals, "DENSE", 10)
+    text = plan(QUERIES["tariffs_in_force_by_day"](spark, small))
+    assert "NestedLoop" not in text and "Window [" in text
+    joins = [line for line in text.splitlines() if "Join" in line]
+    assert joins and not any(">=" in line or "<=" in line for line in joins)
+
+
+def test_three_marts_from_one_pass(spark, small):
+    text = plan(QUERIES["savings_by_level_by_site"](spark, small))
+    # The adapter's own hours are the other exchange.
+    assert text.count("Expand [") == 1 and text.count("Exchange hashpartitioning") == 2

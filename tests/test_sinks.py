@@ -3,6 +3,8 @@
 import datetime as dt
 from pathlib import Path
 
+import pytest
+
 from helioledger.plans import warehouse
 from helioledger.schemas import PARSED_READINGS, RAW_EXCLUSIONS, RAW_READINGS, RAW_TARIFFS
 from helioledger.sinks import readings as sinks
@@ -105,3 +107,28 @@ def test_build_from_named_tables(spark, tmp_path):
     warehouse.build_from_tables(spark, location)
     for name in warehouse.MARTS:
         assert marts.open_relation(spark, name, location).count() == 1
+
+
+def _files(path):
+    return {(file.parent.name, file.name): file.stat().st_mtime_ns for file in Path(path).rglob("*.parquet")}
+
+
+def test_corrected_days_replace_whole_days_and_leave_other_files(spark, tmp_path):
+    schema = "site int, date date, hour string, grid double, solar double, battery double, home double"
+    days = [dt.date(2026, 5, d) for d in range(1, 6)]
+    table = [(s, d, f"{h:02}:00", 1.0, float(h), None, 2.0) for s in (1, 2) for d in days for h in range(4)] + [(None, days[1], "00:00", 9.0, 9.0, 9.0, 9.0)]
+    path = str(tmp_path / "raw")
+    sinks.create_raw_table(spark.createDataFrame(table, schema), "raw_to_correct", path, ["date"])
+    before = _files(path)
+    new = [(1, days[1], "02:00", 5.0, 5.0, 5.0, 5.0), (1, days[1], "02:00", 4.0, None, 5.0, 5.0), (None, days[3], "07:00", 1.0, 1.0, 1.0, 1.0), (3, dt.date(2026, 6, 1), "00:00", 1.0, 1.0, 1.0, 1.0)]
+    for _ in range(2):
+        dates = sinks.replace_days(spark.createDataFrame(new, schema), "raw_to_correct", ["site"])
+        assert sorted(dates) == [days[1], days[3], dt.date(2026, 6, 1)]
+        want = [r for r in table if (r[0], r[1]) != (1, days[1])] + [new[0][:4] + (5.0,) + new[0][5:], *new[2:]]
+        assert rows(spark.table("raw_to_correct").select(*[c.split()[0] for c in schema.split(", ")])) == sorted(want, key=repr)
+    touched = {f"date={d}" for d in dates}
+    assert {f: t for f, t in _files(path).items() if f[0] not in touched} == {f: t for f, t in before.items() if f[0] not in touched}
+    assert sinks.replace_days(spark.createDataFrame([], schema), "raw_to_correct", ["site"]) == []
+    sinks.create_raw_table(spark.createDataFrame(table, schema), "raw_unparted", str(tmp_path / "unparted"))
+    with pytest.raises(ValueError, match="partitioned by date"):
+        sinks.replace_days(spark.createDataFrame(new, schema), "raw_unparted", ["site"])
