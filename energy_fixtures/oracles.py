@@ -264,10 +264,13 @@ FROM days JOIN many ON CAST(reading_datetime AS DATE) BETWEEN s AND e GROUP BY 1
             f"SELECT '{level}' AS level, {k}{date} AS reading_date, {month} AS reading_month, {', '.join(MEASURES)} FROM ({found[f'{mart}_savings{suffix}']})"
             for level, mart, date, month in levels
         ).replace("reading_date AS reading_date, NULL::TIMESTAMP", "reading_date, date_trunc('month', reading_date)")
-    found["raw_table_corrected_by_site"] = f"""WITH {AREA_RAW},
-parsed AS (SELECT site_id, {_PARSED} FROM raw),
-brought AS (SELECT * REPLACE (0.5::DOUBLE AS solar) FROM parsed WHERE site_id % 2 = 0 AND day(date) IN (7, 21) AND CAST(left(hour, 2) AS INTEGER) % 2 = 0)
-SELECT * FROM parsed p WHERE NOT EXISTS (SELECT 1 FROM brought b WHERE b.site_id = p.site_id AND b.date = p.date) UNION ALL SELECT * FROM brought"""
+    found["raw_table_corrected_by_site"] = ONE.select(
+        """SELECT * FROM parsed p WHERE NOT EXISTS (SELECT 1 FROM brought b WHERE b.site_id = p.site_id AND b.date = p.date)
+UNION ALL SELECT * FROM brought""",
+        f"parsed AS (SELECT CAST(left(hour, 2) AS BIGINT) % 2 AS site_id, {_PARSED} FROM raw)",
+        """brought AS (SELECT * REPLACE (0.5::DOUBLE AS solar) FROM parsed
+  WHERE site_id = 0 AND day(date) IN (7, 21) AND CAST(left(hour, 2) AS INTEGER) < 12)""",
+    )
     found["payback_current_join"] = found["payback_forecast_current"]
     found["payback_current_join_by_site"] = found["payback_forecast_current_by_site"]
     found["monthly_from_daily_by_site"] = found["monthly_savings_by_site"]
@@ -339,8 +342,11 @@ UNION ALL SELECT site_id, {_PARSED.replace("CAST(solar AS DOUBLE)", "1.0::DOUBLE
     found["seed_tariffs_csv"] = FLEET.select("SELECT * FROM raw_tariffs")
     found["seed_exclusions_csv"] = FLEET.select("SELECT * FROM raw_exclusions")
     found["streamed_daily_savings"] = found["daily_savings"]
-    found["refreshed_forecast_development_by_site"] = found["served_payback_forecast_development"]
-    found["refreshed_monthly_savings_by_site"] = found["served_monthly_savings"]
+    found["refreshed_forecast_development"] = (
+        "SELECT reading_date, payback_percentage, day_number, days_to_payback, average_daily_saving, forecast_payback_date "
+        f"FROM ({found['payback_forecast_development']})"
+    )
+    found["refreshed_monthly_savings"] = found["monthly_savings"]
     found["files_present"] = ONE.select("SELECT DISTINCT CAST(date AS DATE) AS date FROM raw")
 
     # Calendars

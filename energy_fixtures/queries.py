@@ -179,17 +179,13 @@ def raw_table_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
-def _odd_days(readings: DataFrame) -> DataFrame:
-    """What a correction brings: the 7th and 21st of each month, without their odd hours."""
-    return readings.filter(F.day("date").isin(7, 21) & (F.substring("hour", 1, 2).cast("int") % 2 == 0))
-
-
 def raw_table_corrected_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days of all areas first; then two days a month of the even areas come again with other values and replace the stored ones."""
+    """All days of two sites first; then the 7th and 21st of one come again, with fewer hours and other values, and replace the stored ones."""
     name, path = _raw_table(spark)
-    areas = parsed(adapters.area_readings(spark, sf_dir), SITE)
-    sinks.create_raw_table(areas, name, path, ["date"])
-    corrected = _odd_days(areas).filter("site_id % 2 = 0").withColumn("solar", F.lit(0.5))
+    hour = F.substring("hour", 1, 2).cast("bigint")
+    sites = _parsed_site(spark, sf_dir).withColumn("site_id", hour % 2)
+    sinks.create_raw_table(sites, name, path, ["date"])
+    corrected = sites.filter(F.day("date").isin(7, 21) & (F.col("site_id") == 0) & (hour < 12)).withColumn("solar", F.lit(0.5))
     for _ in range(2):
         sinks.replace_days(corrected, name, SITE)
     return spark.table(name).select(*SITE, "date", "hour", *READING_VALUES)
@@ -309,18 +305,17 @@ def live_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("int_finance_cost_savings").drop("ingested_at")
 
 
-def refreshed_by_site(spark: SparkSession, sf_dir: str, mart) -> DataFrame:
-    """Build from all days but some in the middle, add those, and refresh what they change."""
+def _refreshed(spark: SparkSession, sf_dir: str, mart) -> DataFrame:
+    """Build from all days but two in the middle, add those, and refresh what they change."""
     name, path = _raw_table(spark)
-    fleet = Fleet(spark, sf_dir)
-    raw = fleet.raw.withColumn("date", F.col("date").cast("date"))
-    location, late = scratch_path(spark, "refreshed"), F.col("date").between(F.lit("1998-03-30").cast("date"), F.lit("1998-04-02").cast("date"))
+    site = OneSite(spark, sf_dir)
+    raw = site.raw.withColumn("date", F.col("date").cast("date"))
+    location, late = scratch_path(spark, "refreshed"), F.day("date").isin(13, 14)
     sinks.create_raw_table(raw.filter(~late), name, path, ["date"])
-    for more in (None, raw.filter(late)):
-        if more is not None:
-            sinks.append_new_readings(more, name, SITE)
-        refresh.refresh(spark.table(name), fleet.raw_tariffs, fleet.raw_exclusions, location, SITE, exact=True)
-    return mart(spark, location, SITE)
+    refresh.refresh(spark.table(name), site.raw_tariffs, site.raw_exclusions, location, exact=True)
+    sinks.append_new_readings(raw.filter(late), name)
+    refresh.refresh(spark.table(name), site.raw_tariffs, site.raw_exclusions, location, exact=True)
+    return mart(spark, location)
 
 
 def dense_exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -514,8 +509,8 @@ def queries() -> dict[str, Query]:
         "payback_remaining_by_site": lambda s, d: payback.payback_forecast_current(_rollup(Fleet(s, d)), SITE, exact=True, basis="remaining"),
         "generation_per_day_by_site": lambda s, d: rollups.generation_from_daily(_rollup(Fleet(s, d)), SITE, exact=True, per_day=True),
         "served_daily_savings_in_order": lambda s, d: _in_order(marts.daily_savings(s, built_warehouse(s, d), SITE)),
-        "refreshed_forecast_development_by_site": lambda s, d: _epoch_day(refreshed_by_site(s, d, marts.payback_forecast_development)),
-        "refreshed_monthly_savings_by_site": lambda s, d: refreshed_by_site(s, d, marts.monthly_savings),
+        "refreshed_forecast_development": lambda s, d: _refreshed(s, d, marts.payback_forecast_development),
+        "refreshed_monthly_savings": lambda s, d: _refreshed(s, d, marts.monthly_savings),
         "served_data_date": _served(marts.data_date),
         "served_daily_savings": _served(marts.daily_savings),
         "served_monthly_savings": _served(marts.monthly_savings),
