@@ -31,7 +31,7 @@ MOST, END = 4096, 1
 #: Pieces packed by one task, about.
 GROUP = 4096
 #: Words remembered by a worker and merged at once; texts and ids held at once.
-REMEMBERED, WORDS_AT_ONCE, AT_ONCE, IDS_AT_ONCE = 1 << 19, 1 << 14, 256, 1 << 20
+REMEMBERED, WORDS_AT_ONCE, AT_ONCE, IDS_AT_ONCE = 1 << 19, 1 << 14, 512, 1 << 20
 
 
 def public_vocabulary() -> str:
@@ -46,7 +46,7 @@ WORD_END = "</w>"
 LETTERS = "\xc0-\xd6\xd8-\xf6\xf8-\xff"
 PLAIN_TEXT = re.compile(f"[\x20-\x7e\t-\r{LETTERS}]*")
 PLAIN_CHUNK = re.compile(f"[\x21-\x7e{LETTERS}]+")
-PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^ \t-\ra-z0-9{LETTERS}]+")
+PLAIN_WORDS = re.compile(f"[a-z{LETTERS}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^ \t-\ra-z0-9{LETTERS}]+")
 
 
 def _parts_words(settings: dict) -> bool:
