@@ -325,14 +325,35 @@ FROM cleaned GROUP BY site_id""",
         f"SELECT CAST(row_number() OVER (ORDER BY reading_date DESC, site_id) AS INTEGER) AS place, site_id, reading_date FROM ({FLEET.daily})", *FLEET.cost_chain
     )
 
+    for suffix, chain in (("", ONE), ("_by_site", FLEET)):
+        found[f"payback_development_in_order{suffix}"] = chain.select(
+            f"SELECT CAST(row_number() OVER (ORDER BY reading_date{', site_id' if suffix else ''}) AS INTEGER) AS place, {chain.k}reading_date, day_number FROM development",
+            *chain.cost_chain, chain.payback,
+        )
+    found["readings_in_file_order"] = ONE.select(
+        "SELECT CAST(row_number() OVER (ORDER BY date, hour) AS INTEGER) AS place, CAST(date AS DATE) AS date, hour FROM raw"
+    )
+
     # Files, tables and streams: what was written must come back
-    for name in ("json_roundtrip", "json_roundtrip_small_arrays", "strict_json_load", "csv_roundtrip", "raw_table_loaded_twice", "raw_table_appended", "streamed_readings", "consolidated_csv", "consolidated_table"):
+    for name in ("json_roundtrip", "json_roundtrip_small_arrays", "strict_json_load", "csv_roundtrip", "raw_table_loaded_twice", "raw_table_appended", "streamed_readings", "streamed_first_deliveries", "consolidated_csv", "consolidated_table"):
         found[name] = ONE.select(f"SELECT {_PARSED} FROM raw")
     found["tolerant_json_load"] = FLEET.select(
         f"""SELECT site_id, {_PARSED} FROM raw WHERE site_id % 8 IN (0, 3, 5)
 UNION ALL SELECT site_id, {_PARSED.replace("hour,", "NULL AS hour,")} FROM raw WHERE site_id % 8 = 6
 UNION ALL SELECT site_id, {_PARSED.replace("CAST(solar AS DOUBLE)", "1.0::DOUBLE")} FROM raw WHERE site_id % 8 = 7"""
     )
+    found["loaded_beside_rejects"] = found["tolerant_json_load"]
+    found["rejected_entries"] = FLEET.select(
+        """SELECT reason, position, count(*) AS rejected FROM (
+  SELECT CASE WHEN site_id % 8 = 2 AND hours = 1 THEN 'not an array' ELSE 'malformed' END AS reason, NULL::INTEGER AS position
+  FROM days WHERE site_id % 8 IN (1, 2, 4)
+  UNION ALL SELECT 'not an object', CAST(p AS INTEGER) FROM days CROSS JOIN range(5) AS t(p) WHERE site_id % 8 = 3)
+GROUP BY 1, 2""",
+        "days AS (SELECT site_id, date, count(*) AS hours FROM raw GROUP BY 1, 2)",
+    )
+    found["ingest_stamps"] = ONE.select(
+        "SELECT CAST(date AS DATE) AS date, hour, CASE WHEN day(CAST(date AS DATE)) <= 15 THEN '1' ELSE '2' END AS load FROM raw"
+    )
     found["json_roundtrip_by_site"] = ONE.select(f"SELECT CAST(substr(hour, 1, 2) AS BIGINT) % 2 AS site_id, {_PARSED} FROM raw")
     found["strict_json_load_by_site"] = ONE.select(f"SELECT {_PARSED} FROM raw")
     found["csv_text_by_site"] = FLEET.select(f"SELECT site_id, {_PARSED} FROM raw")
@@ -351,10 +372,13 @@ UNION ALL SELECT site_id, {_PARSED.replace("CAST(solar AS DOUBLE)", "1.0::DOUBLE
 
     # Calendars
     found["missing_dates"] = """WITH present AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders),
-days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-12-25', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS date)
+days AS (SELECT CAST(unnest(generate_series(min(date) - INTERVAL 7 DAY, max(date) + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS DATE) AS date FROM present)
 SELECT date FROM days WHERE date NOT IN (SELECT date FROM present)"""
+    found["dates_to_collect"] = """WITH present AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders),
+days AS (SELECT CAST(unnest(generate_series(min(date)::TIMESTAMP, (current_date - 1)::TIMESTAMP, INTERVAL 1 DAY)) AS DATE) AS date FROM present)
+SELECT date, row_number() OVER (ORDER BY date DESC) AS place FROM days WHERE date NOT IN (SELECT date FROM present)"""
     by_site = """WITH present AS (SELECT DISTINCT l_suppkey AS site_id, CAST(l_shipdate AS DATE) AS date FROM lineitem),
-days AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS date),
+days AS (SELECT CAST(unnest(generate_series(min(date) - INTERVAL 7 DAY, max(date) + INTERVAL 30 DAY, INTERVAL 1 DAY)) AS DATE) AS date FROM present),
 sites AS (SELECT DISTINCT site_id FROM present),
 missing AS (SELECT site_id, date FROM sites CROSS JOIN days EXCEPT SELECT site_id, date FROM present)
 """

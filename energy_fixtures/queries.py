@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from energy_fixtures import adapters
 from energy_fixtures.adapters import SITE, Fleet, OneSite, parsed, table
 from helioledger.functions import labels, parsing
-from helioledger.operators import cleaning, coverage, finance, payback, quality, rollups
+from helioledger.operators import cleaning, coverage, finance, ordering, payback, quality, rollups
 from helioledger.plans import collection, models, refresh, warehouse
 from helioledger.schemas import PARSED_READINGS, READING_VALUES
 from helioledger.session import scratch_path
@@ -113,7 +113,7 @@ def strict_json_load_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed(daily_json.read_raw_json(spark, _saved_areas(spark, sf_dir)))
 
 
-def tolerant_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _odd_json(spark: SparkSession, sf_dir: str) -> str:
     """Days of all sites as lines, of which most sites' are broken or odd in one way."""
     path = scratch_path(spark, "odd-json")
     days = sinks.day_arrays(adapters.fleet_readings(spark, sf_dir).withColumn("date", F.col("date").cast("date")), SITE)
@@ -129,7 +129,22 @@ def tolerant_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         7: F.regexp_replace(text, r'"solar":[^,]*', '"solar":true'),
     })
     days.select(odd.alias("value")).write.text(path)
-    return daily_json.read_daily_json(spark, path, "part-*", "lines", {"site_id": "bigint"})
+    return path
+
+
+def tolerant_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_json.read_daily_json(spark, _odd_json(spark, sf_dir), "part-*", "lines", {"site_id": "bigint"})
+
+
+def loaded_beside_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept, _ = daily_json.read_with_rejects(spark, _odd_json(spark, sf_dir), "part-*", "lines", {"site_id": "bigint"})
+    return kept.drop("source_file", "array", "position")
+
+
+def rejected_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many texts and entries the tolerant load skips, by reason and place in the array."""
+    _, rejects = daily_json.read_with_rejects(spark, _odd_json(spark, sf_dir), "part-*", "lines", {"site_id": "bigint"})
+    return rejects.groupBy("reason", "position").agg(F.count("*").alias("rejected"))
 
 
 def strict_json_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +206,18 @@ def raw_table_corrected_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*SITE, "date", "hour", *READING_VALUES)
 
 
+def ingest_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half the days in one load and the rest in another; the stamps that the staging view shows, as numbers of loads."""
+    name, path = _raw_table(spark)
+    site = _parsed_site(spark, sf_dir)
+    sinks.create_raw_table(site.filter(F.day("date") <= 15), name, path, ["date"], stamp=True)
+    sinks.append_new_readings(site, name)
+    staged = models.stg_readings(spark.table(name))
+    stamps = sorted(row[0] for row in staged.select("ingested_at").distinct().collect())
+    load = _spelled(F.col("ingested_at"), {stamp: F.lit(str(number)) for number, stamp in enumerate(stamps, 1)})
+    return staged.select("date", "hour", load.alias("load"))
+
+
 def seed_tariffs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "tariffs")
     raw = adapters.fleet_tariffs(spark, sf_dir)
@@ -212,6 +239,17 @@ def streamed_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(PARSED_READINGS).parquet(target)
 
 
+def streamed_first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first twenty days, then all from the eleventh on in other files, in two runs of the stream."""
+    folder, target, state = (scratch_path(spark, label) for label in ("deliveries", "streamed-once", "stream-state"))
+    site = _parsed_site(spark, sf_dir)
+    for number, part in enumerate((site.filter(F.day("date") <= 20), site.filter(F.day("date") > 10))):
+        sinks.save_daily_json(part, f"{folder}/{number}")
+        stream = ingest.first_deliveries(ingest.stream_daily_json(spark, folder))
+        ingest.append_readings(stream, target, state).awaitTermination()
+    return spark.read.schema(PARSED_READINGS).parquet(target)
+
+
 def streamed_daily_savings(spark: SparkSession, sf_dir: str) -> DataFrame:
     tariffs, exclusions = adapters.one_tariff(spark), adapters.one_exclusion(spark)
     stream = ingest.stream_daily_json(spark, _saved_json(spark, sf_dir))
@@ -350,13 +388,23 @@ def _served(read) -> Query:
 
 
 def missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a week before the first order through a month after the last."""
     present = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
-    return coverage.missing_dates(present, dt.date(1994, 12, 25), dt.date(2001, 12, 31))
+    first, _, last = _bounds(present)
+    return coverage.missing_dates(present, first - dt.timedelta(7), last + dt.timedelta(30))
 
 
 def missing_dates_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From a week before the first delivery of any site through a month after the last."""
     present = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("site_id"), F.to_date("l_shipdate").alias("date"))
-    return coverage.missing_dates(present, dt.date(1995, 1, 1), dt.date(2001, 12, 31), SITE)
+    first, _, last = _bounds(present)
+    return coverage.missing_dates(present, first - dt.timedelta(7), last + dt.timedelta(30), SITE)
+
+
+def dates_to_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates without an order up to yesterday, the newest first."""
+    present = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
+    return ordering.numbered(coverage.newest_first(coverage.missing_dates(present, _bounds(present)[0])))
 
 
 def hour_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -474,9 +522,9 @@ def _flag(cleaned: DataFrame) -> DataFrame:
     return cleaned.select(*SITE, "reading_datetime", "is_off_peak")
 
 
-def _in_order(frame: DataFrame) -> DataFrame:
-    """Sorted rows of a mart with their place."""
-    return frame.withColumn("place", F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))).select("place", *SITE, "reading_date")
+def _in_order(frame: DataFrame, *columns: str) -> DataFrame:
+    """Sorted rows with their place."""
+    return ordering.numbered(frame).select(F.col("place").cast("int").alias("place"), *columns)
 
 
 def queries() -> dict[str, Query]:
@@ -508,7 +556,12 @@ def queries() -> dict[str, Query]:
         "off_peak_end_exclusive_by_site": lambda s, d: _flag(_cleaned(Fleet(s, d), end_inclusive=False)),
         "payback_remaining_by_site": lambda s, d: payback.payback_forecast_current(_rollup(Fleet(s, d)), SITE, exact=True, basis="remaining"),
         "generation_per_day_by_site": lambda s, d: rollups.generation_from_daily(_rollup(Fleet(s, d)), SITE, exact=True, per_day=True),
-        "served_daily_savings_in_order": lambda s, d: _in_order(marts.daily_savings(s, built_warehouse(s, d), SITE)),
+        "served_daily_savings_in_order": lambda s, d: _in_order(marts.daily_savings(s, built_warehouse(s, d), SITE), *SITE, "reading_date"),
+        "payback_development_in_order": lambda s, d: _in_order(payback.payback_forecast_development(_rollup(OneSite(s, d)), exact=True), "reading_date", "day_number"),
+        "payback_development_in_order_by_site": lambda s, d: _in_order(
+            payback.payback_forecast_development(_rollup(Fleet(s, d)), SITE, exact=True, ordered=True), *SITE, "reading_date", "day_number"
+        ),
+        "readings_in_file_order": lambda s, d: _in_order(collection.in_file_order(s, _saved_json(s, d)), "date", "hour"),
         "refreshed_forecast_development": lambda s, d: _refreshed(s, d, marts.payback_forecast_development),
         "refreshed_monthly_savings": lambda s, d: _refreshed(s, d, marts.monthly_savings),
         "served_data_date": _served(marts.data_date),
@@ -520,9 +573,9 @@ def queries() -> dict[str, Query]:
     }
     for query in (
         json_roundtrip, json_roundtrip_small_arrays, json_roundtrip_by_site, strict_json_load_by_site, collected_days_by_site, live_views,
-        dense_exclusions, tariffs_in_force_by_day, tolerant_json_load, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
-        raw_table_loaded_twice, raw_table_appended, raw_table_corrected_by_site, seed_tariffs_csv, seed_exclusions_csv, streamed_readings,
-        streamed_daily_savings, readings_from_tooltips_by_site, collected_days, consolidated_csv, consolidated_table, missing_dates, missing_dates_by_site, hour_skeleton, hour_skeleton_by_site,
+        dense_exclusions, tariffs_in_force_by_day, tolerant_json_load, loaded_beside_rejects, rejected_entries, strict_json_load, files_present, csv_roundtrip, csv_text_by_site, parquet_roundtrip_by_site,
+        raw_table_loaded_twice, raw_table_appended, raw_table_corrected_by_site, ingest_stamps, seed_tariffs_csv, seed_exclusions_csv, streamed_readings,
+        streamed_first_deliveries, streamed_daily_savings, readings_from_tooltips_by_site, collected_days, consolidated_csv, consolidated_table, missing_dates, missing_dates_by_site, dates_to_collect, hour_skeleton, hour_skeleton_by_site,
         dq_not_null, dq_unique, dq_unique_by_site, tolerant_float, tolerant_hour, iso_date, multi_format_date, label_tokens,
     ):
         found[query.__name__] = query

@@ -51,6 +51,12 @@ def collect(
     sinks.save_daily_json(readings_from_tooltips(wanted, keys, missing), folder, keys, existing="skip")
 
 
+def in_file_order(spark: SparkSession, folder: str, glob: str = daily_json.DAILY_FILES, layout: str = "auto") -> DataFrame:
+    """All readable readings below ``folder`` by path, array and place in it, which is a global sort."""
+    order = ["source_file", "array", "position"]
+    return daily_json.read_daily_json(spark, folder, glob, layout, with_origin=True).orderBy(*order).drop(*order)
+
+
 def consolidate_csv(
     spark: SparkSession,
     folder: str,
@@ -60,10 +66,8 @@ def consolidate_csv(
     ordered: bool = False,
 ) -> bool:
     """All readable readings below ``folder`` as CSV, on request in the order of the files, which is a global sort."""
-    found = daily_json.read_daily_json(spark, folder, glob, layout, with_origin=True)
-    if ordered:
-        found = found.orderBy("source_file", "array", "position")
-    return sinks.write_csv(found.drop("source_file", "array", "position"), path)
+    read = in_file_order if ordered else daily_json.read_daily_json
+    return sinks.write_csv(read(spark, folder, glob, layout), path)
 
 
 def consolidate_table(spark: SparkSession, folder: str, table: str, path: str | None = None, glob: str = daily_json.JSON_FILES) -> None:

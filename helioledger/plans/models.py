@@ -13,8 +13,9 @@ from helioledger.schemas import RATES, RAW_EXCLUSIONS, READING_VALUES
 
 
 def stg_readings(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """The raw columns and the time of the query."""
-    return raw.select(*keys, "date", "hour", *READING_VALUES, F.current_timestamp().alias("ingested_at"))
+    """The raw columns and the time of the load where the raw table keeps it, else the time of the query."""
+    stamp = F.col("ingested_at") if "ingested_at" in raw.columns else F.current_timestamp().alias("ingested_at")
+    return raw.select(*keys, "date", "hour", *READING_VALUES, stamp)
 
 
 def stg_tariffs(raw: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -124,13 +124,16 @@ def write_parquet(readings: DataFrame, path: str, keys: Sequence[str] = (), part
 
 
 def create_raw_table(
-    readings: DataFrame, table: str, path: str | None = None, partition_by: Sequence[str] = ()
+    readings: DataFrame, table: str, path: str | None = None, partition_by: Sequence[str] = (), stamp: bool = False
 ) -> None:
     """Create the raw table if there is none; a second run loads nothing.
 
     Partitioned by date, later filters on the date and ``append_new_readings`` open
-    only the days they need.
+    only the days they need.  With ``stamp`` the rows keep the time of their load in ``ingested_at``,
+    which later loads then fill, too, and the staging view passes on.
     """
+    if stamp:
+        readings = _stamped(readings)
     if partition_by:
         readings = readings.hint("rebalance", *partition_by)
     writer = readings.write.mode("ignore").format("parquet").partitionBy(*partition_by)
@@ -143,6 +146,7 @@ def append_new_readings(readings: DataFrame, table: str, keys: Sequence[str] = (
     Only the table's dates within the span of the new readings are compared.
     """
     identity = [*keys, "date", "hour"]
+    readings = _as_stored(readings, table)
     first, last = readings.agg(F.min("date"), F.max("date")).first()
     stored = readings.sparkSession.table(table)
     held = stored.filter(F.col("date").between(F.lit(first), F.lit(last)) | F.col("date").isNull())
@@ -167,6 +171,7 @@ def replace_days(readings: DataFrame, table: str, keys: Sequence[str] = ()) -> l
     if "date" not in [c.name for c in spark.catalog.listColumns(table) if c.isPartition]:
         raise ValueError(f"{table} must be partitioned by date")
     identity = [*keys, "date", "hour"]
+    readings = _as_stored(readings, table)
     rest = [name for name in stored.columns if name not in identity]
     # Of several rows for one hour the largest counts, column by column, as when they are appended.
     single = readings.groupBy(*identity).agg(F.max(F.struct(*rest)).alias("_rest")).select(*identity, "_rest.*")
@@ -185,6 +190,16 @@ def replace_days(readings: DataFrame, table: str, keys: Sequence[str] = ()) -> l
     return dates
 
 
+def _stamped(readings: DataFrame) -> DataFrame:
+    """With the time of the load: one for all rows of a job, also for tasks that run again."""
+    return readings.withColumn("ingested_at", F.current_timestamp())
+
+
+def _as_stored(readings: DataFrame, table: str) -> DataFrame:
+    """Stamped, if the table keeps stamps."""
+    return _stamped(readings) if "ingested_at" in readings.sparkSession.table(table).columns else readings
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Within, overwriting a table replaces the partitions written; a table takes this from the session alone."""

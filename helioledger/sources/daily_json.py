@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioledger.functions.parsing import clock_text, iso_date, tolerant_float
 from helioledger.schemas import RAW_READINGS, READING_VALUES
+from helioledger.session import scratch_path
 
 # Names of the daily files: as they are named by others, and as Spark names those of our own sink.
 DAILY_FILES = "{*_data.json,part-*}"
@@ -77,6 +79,15 @@ def flatten_arrays(
     A field that cannot be read is NULL and its row stays.
     """
     keys = keys or {}
+    rows, origin = _entry_rows(text, keys, with_origin, layout)
+    return _readings(rows.filter(F.col("entry").isNotNull()), keys, origin)
+
+
+def _entry_rows(text: DataFrame, keys: dict[str, str], with_origin: bool, layout: str, more: Sequence[Column] = ()) -> tuple[DataFrame, list[str]]:
+    """One row per entry, NULL for one that is no object or a text that is no array; and the names of its origin.
+
+    ``more`` are expressions over ``text``, ``seal`` and ``entries`` of the whole text, which its entries carry.
+    """
     origin = ["source_file", "array"] if with_origin else []
     if with_origin and layout == "lines":
         text = text.select(F.col("_metadata.file_path").alias("source_file"), F.monotonically_increasing_id().alias("array"), "value")
@@ -86,15 +97,21 @@ def flatten_arrays(
         text = text.select(*[c for c in text.columns if c != "value"], F.posexplode(_array_texts(F.col("value"))).alias("array", "value"))
     elif layout == "file" and with_origin:
         text = text.withColumn("array", F.lit(0))
-    found = origin
-    entries = text.select(*found, *_parsed(F.col("value"), keys)).select(*origin, _entries(keys).alias("entries"))
+    parsed = text.select(*origin, *_parsed(F.col("value"), keys))
+    if more:
+        parsed = parsed.select(*origin, "text", "seal", _entries(keys).alias("entries")).select(*origin, "entries", *more)
+    else:
+        parsed = parsed.select(*origin, _entries(keys).alias("entries"))
+    carried = [name for name in parsed.columns if name != "entries"]
     # The outer form keeps the optimizer from adding a null check that would parse twice.
     if with_origin:
-        rows = entries.select(*origin, F.posexplode_outer("entries").alias("position", "entry"))
-        origin = [*origin, "position"]
-    else:
-        rows = entries.select(F.explode_outer("entries").alias("entry"))
-    return rows.filter(F.col("entry").isNotNull()).select(
+        return parsed.select(*carried, F.posexplode_outer("entries").alias("position", "entry")), [*origin, "position"]
+    return parsed.select(*carried, F.explode_outer("entries").alias("entry")), origin
+
+
+def _readings(rows: DataFrame, keys: dict[str, str], origin: Sequence[str]) -> DataFrame:
+    """Typed columns of the objects."""
+    return rows.select(
         *origin,
         *[F.col(f"entry.{name}").alias(name) for name in keys],
         iso_date(F.col("entry.date")).alias("date"),
@@ -103,6 +120,31 @@ def flatten_arrays(
     )
 
 
+def read_with_rejects(
+    spark: SparkSession, path: str, glob: str = DAILY_FILES, layout: str = "auto", keys: dict[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The tolerant load and what it skips, as two tables from one parse, which is written once.
+
+    Both tell ``source_file``, ``array`` and ``position``.  A reject's ``reason`` is ``malformed`` (a text that is not one
+    JSON value; also a blank one) or ``not an array``, both without a position, or ``not an object`` for an entry of
+    an array.  An empty array gives neither readings nor rejects, nor does a file of no bytes, which Spark's readers
+    don't list.
+    """
+    keys = keys or {}
+    text, seal, entries = F.col("text"), F.col("seal"), F.col("entries")
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]")))
+    one_value = F.coalesce(F.try_variant_get(pair, "$[1]", "string") == seal, F.lit(False))
+    reason = F.when(entries.isNull(), F.when(one_value, "not an array").otherwise("malformed"))
+    source = text_reader(spark.read, glob, layout).load(path)
+    rows, origin = _entry_rows(source, keys, True, layout, [reason.alias("reason")])
+    landed = scratch_path(spark, "entries")
+    rows.write.parquet(landed)
+    rows = spark.read.schema(rows.schema).parquet(landed)
+    skipped = F.coalesce("reason", F.when(F.col("position").isNotNull(), "not an object"))
+    rejects = rows.filter("entry IS NULL").select(*origin, skipped.alias("reason")).filter("reason IS NOT NULL")
+    return _readings(rows.filter("entry IS NOT NULL"), keys, origin), rejects
+
+
 # Values whose type a text would hide: truth values, and numbers that look like a compact date.
 _TYPED_VALUES = r":\s*(?:true|false|[0-9]{8}\s*[,}])"
 

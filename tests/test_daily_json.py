@@ -35,6 +35,26 @@ def test_whole_files_are_skipped(spark, tmp_path):
     assert found == [(dt.date(2026, 1, 17), "14:00", 2.75, 0.5, -1.25, 4.5)]
 
 
+def test_what_is_skipped_is_told(spark, tmp_path):
+    good = json.dumps([reading()])
+    texts = {"malformed": ["[{", good + " x", good + "]", f"{good},{good}", " \n", good.replace('"', "'"), f'{good},"text":{good}'],
+             "not an array": ["null", json.dumps(reading()), '"text"', "12", ' {"a": [1]} '], None: [good, "[]", " [ ] "]}
+    number, want = 0, []
+    for reason, spelled in texts.items():
+        for text in spelled:
+            number += 1
+            place(tmp_path, f"2026-01-{number:02d}", text)
+            want += [(f"2026-01-{number:02d}", 0, None, reason)] if reason else []
+    place(tmp_path, "2026-02-01", json.dumps([1, reading(), None, "x", [reading()], reading(solar=True), {}]))
+    place(tmp_path, "2026-02-02", json.dumps([None, reading()]) + "\n" + json.dumps([reading(), 5]))
+    want += [("2026-02-01", 0, p, "not an object") for p in (0, 2, 3, 4)] + [("2026-02-02", 0, 0, "not an object"), ("2026-02-02", 1, 1, "not an object")]
+    kept, rejects = daily_json.read_with_rejects(spark, str(tmp_path))
+    named = rejects.select(F.regexp_extract("source_file", r"(\d+-\d+-\d+)_data", 1), "array", "position", "reason")
+    assert rows(named) == sorted(want, key=repr)
+    assert rows(kept.drop("source_file", "array", "position")) == rows(daily_json.read_daily_json(spark, str(tmp_path)))
+    assert kept.filter("source_file LIKE '%2026-02-01%'").count() == 3
+
+
 def test_entries_and_fields(spark, tmp_path):
     entries = [
         1, "text", None, [reading()], reading(),

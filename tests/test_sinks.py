@@ -5,14 +5,14 @@ from pathlib import Path
 
 import pytest
 
-from helioledger.plans import warehouse
+from helioledger.plans import models, warehouse
 from helioledger.schemas import PARSED_READINGS, RAW_EXCLUSIONS, RAW_READINGS, RAW_TARIFFS
 from helioledger.sinks import readings as sinks
 from helioledger.sources import marts, seeds
 from tests.conftest import rows
 
 READINGS = [
-    (dt.date(2026, 1, 17), "14:00", 0.54, None, -0.0005, 12345678.0),
+    (dt.date(2031, 8, 3), "19:00", 6.25, None, -0.0005, 12345678.0),
     (None, None, None, None, None, None),
 ]
 
@@ -21,7 +21,7 @@ def test_csv_text(spark, tmp_path):
     path = tmp_path / "csv"
     assert sinks.write_csv(spark.createDataFrame(READINGS, PARSED_READINGS).coalesce(1), str(path))
     text = "".join(part.read_text() for part in path.glob("part-*"))
-    assert text == "date,hour,grid,solar,battery,home\n2026-01-17,14:00,0.54,,-0.0005,12345678.0\n,,,,,\n"
+    assert text == "date,hour,grid,solar,battery,home\n2031-08-03,19:00,6.25,,-0.0005,12345678.0\n,,,,,\n"
 
 
 def test_csv_of_nothing_writes_nothing(spark, tmp_path):
@@ -35,14 +35,14 @@ def test_parquet_types(spark, tmp_path):
     sinks.write_parquet(spark.createDataFrame(READINGS, PARSED_READINGS), path)
     found = spark.read.parquet(path)
     assert [kind for _, kind in found.dtypes] == ["date", "timestamp_ntz", "double", "double", "double", "double"]
-    assert found.filter("date is not null").first()["hour"] == dt.datetime(1970, 1, 1, 14)
+    assert found.filter("date is not null").first()["hour"] == dt.datetime(1970, 1, 1, 19)
     assert any("snappy" in part.name for part in Path(path).glob("part-*"))
 
 
 def test_parquet_partitions(spark, tmp_path):
     path = str(tmp_path / "parquet")
     sinks.write_parquet(spark.createDataFrame(READINGS[:1], PARSED_READINGS), path, partition_by=["date"])
-    assert (Path(path) / "date=2026-01-17").exists()
+    assert (Path(path) / "date=2031-08-03").exists()
 
 
 def test_second_load_is_a_no_op_and_append_adds_only_new_rows(spark):
@@ -56,8 +56,8 @@ def test_second_load_is_a_no_op_and_append_adds_only_new_rows(spark):
     assert rows(spark.table("raw_once")) == rows(more)
 
 
-TARIFFS = "start_date,end_date,off_peak_start_hour,off_peak_end_hour,peak_rate,off_peak_rate,export_rate\n2026-01-01,2026-03-31,00:00,04:00,0.279,0.079,0.151\n2026-04-01,,00:00,04:00,0.2539,0.0439,0.151"
-EXCLUSIONS = "start_date,start_time,end_date,end_time,exclusion_reason\n2026-03-07,02:00:00,2026-03-07,10:00:00,no network"
+TARIFFS = "start_date,end_date,off_peak_start_hour,off_peak_end_hour,peak_rate,off_peak_rate,export_rate\n2031-05-10,2031-11-02,01:00,06:00,0.412,0.133,0.088\n2031-11-03,,22:00,23:00,0.365,0.121,0.094"
+EXCLUSIONS = "start_date,start_time,end_date,end_time,exclusion_reason\n2031-06-18,21:15:00,2031-06-20,03:45:30,meter swapped"
 
 
 def test_seed_files(spark, tmp_path):
@@ -67,7 +67,7 @@ def test_seed_files(spark, tmp_path):
     assert tariffs.schema == RAW_TARIFFS and tariffs.count() == 2
     assert tariffs.filter("end_date is null").count() == 1
     exclusions = seeds.read_exclusions(spark, str(tmp_path / "exclusions.csv"))
-    assert rows(exclusions) == [("2026-03-07", "02:00:00", "2026-03-07", "10:00:00", "no network")]
+    assert rows(exclusions) == [("2031-06-18", "21:15:00", "2031-06-20", "03:45:30", "meter swapped")]
 
 
 def test_build_writes_tables_and_views(spark):
@@ -132,3 +132,17 @@ def test_corrected_days_replace_whole_days_and_leave_other_files(spark, tmp_path
     sinks.create_raw_table(spark.createDataFrame(table, schema), "raw_unparted", str(tmp_path / "unparted"))
     with pytest.raises(ValueError, match="partitioned by date"):
         sinks.replace_days(spark.createDataFrame(new, schema), "raw_unparted", ["site"])
+
+
+def test_loads_keep_their_stamp(spark, tmp_path):
+    schema = "date date, hour string, grid double, solar double, battery double, home double"
+    hours = [(dt.date(2031, 8, d), "19:00", 1.0, 1.0, 1.0, 1.0) for d in (3, 4, 5)]
+    sinks.create_raw_table(spark.createDataFrame(hours[:1], schema), "raw_stamped", str(tmp_path / "raw"), ["date"], stamp=True)
+    sinks.append_new_readings(spark.createDataFrame(hours[:2], schema), "raw_stamped")
+    staged = models.stg_readings(spark.table("raw_stamped"))
+    first = {row["date"]: row["ingested_at"] for row in staged.collect()}
+    assert first == {row["date"]: row["ingested_at"] for row in staged.collect()}
+    assert first[hours[0][0]] < first[hours[1][0]]
+    sinks.replace_days(spark.createDataFrame([hours[0], hours[2]], schema), "raw_stamped")
+    second = {row["date"]: row["ingested_at"] for row in models.stg_readings(spark.table("raw_stamped")).collect()}
+    assert second[hours[1][0]] == first[hours[1][0]] < second[hours[0][0]] == second[hours[2][0]]

@@ -49,3 +49,20 @@ def test_late_hours_are_added_to_their_day(spark, tmp_path):
     run(late)
     whole = rollups.daily_rollup(value(readings(spark, 9, 10, 11)), exact=True)
     assert rows(rollup.rollup_from_partials(spark, target, exact=True).select(whole.columns)) == rows(whole)
+
+
+def test_hours_that_come_again_count_once(spark, tmp_path):
+    source, target, state = (str(tmp_path / name) for name in ("source", "target", "state"))
+
+    def run(name, arrived):
+        sinks.save_daily_json(arrived, f"{source}/{name}")
+        ingest.append_readings(ingest.first_deliveries(ingest.stream_daily_json(spark, source)), target, state).awaitTermination()
+        return spark.read.schema(PARSED_READINGS).parquet(target)
+
+    run("a", readings(spark, 5, 6).unionByName(readings(spark, 6, hours=CHART_HOURS[:3])))
+    # Days long before those that have come are not late, as the watermark follows the arrival.
+    assert rows(run("b", readings(spark, 1, 6, 7))) == rows(readings(spark, 1, 5, 6, 7))
+    again = readings(spark, 5).unionByName(spark.createDataFrame([(dt.date(2026, 1, 9), None, v, None, None, None) for v in (1.0, 2.0, 2.0)], PARSED_READINGS))
+    found = run("c", again)
+    assert rows(found.filter("hour IS NOT NULL")) == rows(readings(spark, 1, 5, 6, 7))
+    assert [row["grid"] for row in found.filter("hour IS NULL").orderBy("grid").collect()] == [1.0, 2.0]
