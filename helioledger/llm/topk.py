@@ -22,15 +22,21 @@ from pyspark.sql import functions as F
 from helioledger.llm.tables import land, read, ship
 
 BLOCK, QUERY_BLOCK, SLICE, BINS = 4096, 1024, 128, 2048
-#: Scores are held within this, and are exact up to it.
-LIMIT = 1 << 60
+#: Scores are exact within this; one beyond it is an error.  A double holds it exactly, and twice as much fits a long.
+LIMIT = (1 << 62) - 512
 NO_SCORE = -(1 << 62)
 
 
 def quantise(vector: list) -> np.ndarray | None:
-    """Each component x as floor(256 x); None if one is null or not finite."""
+    """Each component x as floor(256 x); None if one is null or not finite.  One too large for that is an error."""
     found = np.array(vector, np.float64)  # null becomes nan
-    return np.floor(found * 256) if np.isfinite(found).all() else None
+    if not np.isfinite(found).all():
+        return None
+    with np.errstate(over="ignore"):
+        scaled = np.floor(found * 256)
+    if not np.isfinite(scaled).all():
+        raise OverflowError("256 times a component is beyond a double")
+    return scaled
 
 
 def pack(vectors: DataFrame, size: int) -> DataFrame:
@@ -66,13 +72,20 @@ def pack(vectors: DataFrame, size: int) -> DataFrame:
     return land(dealt.mapInArrow(run, ddl), "blocks").withColumn("blocks", F.lit(parts))
 
 
-def _score(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Integer inner products: by doubles where those are exact, else by Python's integers."""
+def _score(queries: np.ndarray, candidates: np.ndarray, barred: np.ndarray) -> np.ndarray:
+    """Integer inner products, by doubles where those are exact, else by Python's integers; ``NO_SCORE`` for barred pairs."""
     bound = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * queries.shape[1]
     if bound < 1 << 53:
-        return (queries @ candidates.T).astype(np.int64)
-    exact = np.vectorize(int, otypes=[object])
-    return np.clip(exact(queries) @ exact(candidates).T, -LIMIT, LIMIT).astype(np.int64)
+        scores = (queries @ candidates.T).astype(np.int64)
+    else:
+        exact = np.vectorize(int, otypes=[object])
+        wide = exact(queries) @ exact(candidates).T
+        wide[barred] = 0
+        if (np.abs(wide) > LIMIT).any():
+            raise OverflowError("a score is beyond 62 bits")
+        scores = wide.astype(np.int64)
+    scores[barred] = NO_SCORE
+    return scores
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -85,8 +98,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple]:
         low, width = (np.array([s[k] for s in row["state"]], np.int64) for k in ("low", "width"))
         for at in range(0, len(queries), SLICE):
             part = slice(at, at + SLICE)
-            scores = _score(queries[part], candidates)
-            scores[(own[part, None] == ids[None]) & named[None]] = NO_SCORE
+            scores = _score(queries[part], candidates, (own[part, None] == ids[None]) & named[None])
             yield row, at, scores, low[part], width[part], ids, named
 
 
@@ -142,7 +154,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     Both tables have ``id`` and ``vector``.  Vectors that are null or hold null or non-finite components take no part;
     those of other lengths than the query's aren't its candidates, nor are rows with its id.  Candidates without an id
     take part and come last among ties; queries need one.  Repeated candidates count each, and each row of a repeated
-    query is asked.  Fewer than k candidates are all returned.
+    query is asked.  Fewer than k candidates are all returned.  A score beyond 62 bits is an error, never clipped.
     """
     if k < 1:
         raise ValueError("k must be 1 or more")
@@ -153,7 +165,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     key, place = ["q_block", "dim"], ["q_block", "dim", "pos"]
     spread = candidates.select("block", "dim", "ids", "named", "data", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("q_block"))
     asked = asked.select(F.col("block").alias("q_block"), "dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), "sums")
-    reach = F.least(F.col("sum") * F.lit(float(most)), F.lit(float(LIMIT))).cast("long")
+    reach = F.least(F.col("sum") * F.lit(float(most) * (1 + 1e-9)), F.lit(float(LIMIT))).cast("long")
     state = asked.select(*key, F.posexplode("sums").alias("pos", "sum")).select(*place, (-reach).alias("low"), (reach * 2 + 1).alias("range"))
     state = land(state.select(*place, "low", F.ceil(F.col("range") / BINS).cast("long").alias("width")), "bounds")
 

@@ -16,7 +16,7 @@ def plain(vectors, queries, k):
     for q, v in queries:
         if q is None or (v := clean(v)) is None:
             continue
-        scored = [(-max(-topk.LIMIT, min(topk.LIMIT, sum(a * b for a, b in zip(v, w, strict=True)))), i is None, i or 0) for i, x in vectors if i != q and (w := clean(x)) is not None and len(w) == len(v)]
+        scored = [(-sum(a * b for a, b in zip(v, w, strict=True)), i is None, i or 0) for i, x in vectors if i != q and (w := clean(x)) is not None and len(w) == len(v)]
         out += [(q, rank + 1, None if none else i, -s) for rank, (s, none, i) in enumerate(sorted(scored)[:k])]
     return sorted(out, key=repr)
 
@@ -37,9 +37,14 @@ def test_against_sorting(spark, monkeypatch, bins):
 
 
 def test_large_components_and_empty_tables(spark):
-    vectors = [(0, [1e6, -3e5]), (1, [1e10, 1.0]), (2, [5e5, 2.0]), (3, [1e300, 0.0]), (4, [-0.001, 0.001])]
+    # The product of the first with itself is beyond 62 bits, but no row is its own candidate; others come near that.
+    vectors = [(0, [6e9, -3.0]), (1, [1e4, 1.0]), (2, [9e3, 2.0]), (4, [-0.001, 0.0]), (5, [-1.1e4, 0.0])]
     table = spark.createDataFrame(vectors, "id long, vector array<double>")
     assert found(topk.top_k(table, table, 2)) == plain(vectors, vectors, 2)
     assert topk.top_k(table.limit(0), table, 2).collect() == [] == topk.top_k(table, table.limit(0), 2).collect()
+    assert max(r.score for r in topk.top_k(table, table, 2).collect()) > 1 << 61
+    for odd, message in (([1e300, 0.0], "beyond 62 bits"), ([1e307, 0.0], "beyond a double")):
+        with pytest.raises(Exception, match=message):
+            topk.top_k(spark.createDataFrame([*vectors, (9, odd)], table.schema), table, 2).collect()
     with pytest.raises(ValueError, match="k must"):
         topk.top_k(table, table, 0)
