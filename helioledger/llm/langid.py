@@ -33,7 +33,8 @@ EFFECTIVE = 60
 STRENGTH = 5.0
 
 _HIDDEN = re.compile(r"<(script|style|template|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]+)", re.I)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
+_DECLARED = re.compile(r"""<html(?=\s)(?:[^>"']|"[^"]*"|'[^']*')*?\slang\s*=\s*["']?\s*([A-Za-z]+)""", re.I)
 
 
 @cache
@@ -59,11 +60,18 @@ def visible(html: str | None) -> str:
 
 
 def declared(html: str | None) -> str | None:
-    """The primary language that the page's root element declares."""
-    found = _DECLARED.search(html or "")
+    """The primary language that the page's root element declares by its ``lang``; comments and other attributes don't count."""
+    found = _DECLARED.search(_COMMENT.sub(" ", html or ""))
     return found[1].lower() if found else None
 
 
+def domain_of(host: str) -> str:
+    """The last two labels of a host, three where the second is a short one below a country, as in ``co.uk``."""
+    labels = host.split(".")
+    short = len(labels) > 2 and len(labels[-1]) == 2 and len(labels[-2]) <= 3
+    return ".".join(labels[-3 if short else -2 :])
+
+
 def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages and the log probability of each bucket in each, from rows with ``text`` and ``lang``.
 
@@ -121,7 +129,7 @@ def _scored(items: DataFrame, keys: Sequence[str], langs: list[str], model: np.n
                 said = declared(html)
                 found = trigrams(text if text is not None else visible(html))
                 evidence = text_evidence(found, table).tolist()
-                out.append((host, ".".join(labels[-2:]), suffix, said if said in known or said is None else "other", len(found) > 0, evidence))
+                out.append((host, domain_of(host), suffix, said if said in known or said is None else "other", len(found) > 0, evidence))
             columns = list(zip(*out, strict=True)) or [()] * 6
             kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.bool_(), pa.list_(pa.float64())]
             new = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
@@ -166,7 +174,6 @@ def identify(items: DataFrame, keys: Sequence[str], langs: list[str], model: np.
     texts = scored.filter("has_text")
     hosts = land(texts.groupBy("host", "domain").agg(F.count("*").cast("double").alias("texts"), _sums(n).alias("sums")), "host-counts")
     every = hosts.agg(F.array(*[F.coalesce(F.sum(F.col("sums")[i]), F.lit(0.0)) for i in range(n)]).alias("sums")).first()[0]
-    base = (np.array(every) + 1) / (sum(every) + n)
 
     def reliability(column: str) -> DataFrame:
         """Log probability of each value given each language; at most a row per declaration or country."""
@@ -176,17 +183,25 @@ def identify(items: DataFrame, keys: Sequence[str], langs: list[str], model: np.
         rows = [(r[column], line) for r, line in zip(counts, table.tolist(), strict=True)]
         return items.sparkSession.createDataFrame(rows, f"{column} string, {column}_evidence array<double>")
 
-    def smoothed(upper: Column) -> Column:
-        return F.zip_with(F.col("sums"), upper, lambda x, y: (x + STRENGTH * y) / (F.col("texts") + STRENGTH))
-
-    whole = F.array(*[F.lit(float(x)) for x in base])
-    domains = hosts.groupBy("domain").agg(F.sum("texts").alias("texts"), F.array(*[F.sum(F.col("sums")[i]) for i in range(n)]).alias("sums"))
-    domains = domains.select("domain", smoothed(whole).alias("domain_prior"))
-    priors = hosts.join(domains, "domain").select("host", _log(smoothed(F.col("domain_prior"))).alias("prior"))
+    # An item's own text is in its likelihood, so its share comes out of the counts of its host, its domain and of all.
     zeros = F.array(*[F.lit(0.0)] * n)
+    own, mine = F.when(F.col("has_text"), F.col("share")).otherwise(zeros), F.col("has_text").cast("double")
+
+    def without_own(sums: Column) -> Column:
+        return F.zip_with(F.coalesce(sums, own), own, lambda x, y: F.greatest(x - y, F.lit(0.0)))
+
+    def smoothed(level: str, upper: Column) -> Column:
+        texts = F.coalesce(F.col(f"{level}_texts"), mine) - mine
+        return F.zip_with(without_own(F.col(f"{level}_sums")), upper, lambda x, y: (x + STRENGTH * y) / (texts + STRENGTH))
+
+    total = F.lit(float(sum(every))) - mine + n
+    whole = F.transform(without_own(F.array(*[F.lit(float(x)) for x in every])), lambda x: (x + 1) / total)
+    domains = hosts.groupBy("domain").agg(F.sum("texts").alias("domain_texts"), F.array(*[F.sum(F.col("sums")[i]) for i in range(n)]).alias("domain_sums"))
+    counts = hosts.join(domains, "domain").select("host", F.col("texts").alias("host_texts"), F.col("sums").alias("host_sums"), "domain_texts", "domain_sums")
     joined = scored.join(F.broadcast(reliability("said")), "said", "left").join(F.broadcast(reliability("suffix")), "suffix", "left")
-    joined = joined.join(priors, "host", "left")
-    total = _plus(F.col("evidence"), F.coalesce(F.col("prior"), _log(whole)))
+    joined = joined.join(counts, "host", "left").withColumn("whole", whole)
+    joined = joined.withColumn("prior", smoothed("domain", F.col("whole"))).withColumn("prior", smoothed("host", F.col("prior")))
+    total = _plus(F.col("evidence"), _log(F.col("prior")))
     for column in ("said_evidence", "suffix_evidence"):
         total = _plus(total, F.coalesce(F.col(column), zeros))
     fused = joined.withColumn("total", total).withColumn("fused", _softmax(F.col("total")))

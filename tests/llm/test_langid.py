@@ -1,5 +1,7 @@
 """Accuracy on held-out documents, and what each kind of evidence does."""
 
+import random
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -76,3 +78,54 @@ def test_no_language_is_lost(spark, monkeypatch):
     few = labelled.filter("doc_id >= 1990").select("doc_id", F.concat_ws(" ", "text", "text", "text").alias("text"), F.lit(None).cast("string").alias("html"), F.lit(None).cast("string").alias("address"), F.col("lang").alias("truth"))
     got = langid.identify(few.drop("truth"), ["doc_id"], langs, table).join(few.select("doc_id", "truth"), "doc_id").collect()
     assert len(got) == 81 and all(r.text_lang == r.truth for r in got)
+
+
+def test_declarations():
+    for html, want in (
+        ('<!--[if lt IE 9]><html lang="en"><![endif]--><html data-lang="fr" lang="de">', "de"), ("<html xml:lang=en>", None), ("<!-- <html lang=en>", None),
+        ("<html class='a>b' title=\"x lang='fr'\" LANG = 'ES-mx'>", "es"), ("<html>\n<p lang=de>", None), ("<htmlx lang=de>", None), ("<html\nlang=it", "it"), ("", None), (None, None),
+    ):
+        assert langid.declared(html) == want, html
+    assert langid.domain_of("a.shop.co.uk") == "shop.co.uk" and langid.domain_of("www.firm.de") == "firm.de" and langid.domain_of("x") == "x"
+
+
+def test_against_a_plain_fusion(spark):
+    rng, words = random.Random(7), {"de": "der die das und nicht ist ein".split(), "en": "the and not this is that with".split()}
+    langs, table = model()
+    items = []
+    for n in range(160):
+        lang = rng.choice(langs)
+        mixed = [rng.choice(words[lang if rng.random() < 0.7 else rng.choice(langs)]) for _ in range(rng.choice([0, 1, 2, 5, 30]))]
+        text = rng.choice([" ".join(mixed), " ".join(mixed), None])
+        host = rng.choice(["a.firm.de", "b.firm.de", "a.shop.co.uk", "b.shop.co.uk", "c.other.co.uk", "one", ""])
+        items.append((text, rng.choice([None, f"<html lang={lang}>", "<html lang=en>", "<html lang=xx>"]), f"http://{host}/{n}"))
+    got = identify(spark, items)
+
+    table = table.astype(np.float32)
+    seen = []
+    for text, html, address in items:
+        found = langid.trigrams(text if text is not None else langid.visible(html))
+        log = table[:, found].astype(float).mean(axis=1) * min(len(found), langid.EFFECTIVE) if len(found) else np.zeros(2)
+        share = np.exp(log - log.max()) / np.exp(log - log.max()).sum()
+        host, said = address[7:].split("/")[0], langid.declared(html)
+        ends = host.split(".")
+        seen.append((log, share if len(found) else None, host, langid.domain_of(host), "other" if said == "xx" else said, ends[-1] if len(ends) > 1 else None))
+    texts = [i for i, s in enumerate(seen) if s[1] is not None]
+
+    def trust(place, value):
+        values = {s[place] for i, s in enumerate(seen) if i in texts and s[place]}
+        if value not in values:
+            return np.zeros(2)
+        sums = {v: 0.5 + sum(seen[i][1] for i in texts if seen[i][place] == v) for v in values}
+        return np.log(sums[value] / (sum(sums.values()) + 0.5))
+
+    for n, (log, _, host, domain, said, suffix) in enumerate(seen):
+        others = [i for i in texts if i != n]
+        prior = (sum((seen[i][1] for i in others), np.zeros(2)) + 1) / (len(others) + 2)
+        for place, value in ((3, domain), (2, host)):
+            near = [seen[i][1] for i in others if seen[i][place] == value]
+            prior = (sum(near, np.zeros(2)) + langid.STRENGTH * prior) / (len(near) + langid.STRENGTH)
+        total = log + np.log(prior) + trust(4, said) + trust(5, suffix)
+        posterior = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        assert abs(got[n].posterior - posterior.max()) < 1e-4, n
+        assert abs(posterior[0] - posterior[1]) < 1e-6 or got[n].lang == langs[int(posterior.argmax())], n
