@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -32,8 +33,10 @@ ABOVE_SHARE = 0.25
 #: Trees with the same sections down to a depth are a cluster if so many different pages have them; pages of smaller ones are
 #: aligned with the largest cluster of their host, or all together if it has none.
 SECTIONS_DEPTH, CLUSTER_PAGES = 4, 5
-#: Elements deeper than this don't part the tree any further.
+#: Elements deeper than this don't part the tree any further; what they say of their blocks counts at any depth.
 MOST_DEPTH = 100
+#: Two lists of children with no more pairs than this are aligned by a table of all pairs, longer ones in linear space.
+TABLE_PAIRS = 10_000
 
 _words = lambda names: frozenset(names.split())
 BLOCKS = _words(
@@ -59,7 +62,8 @@ SCOPES = _words("ul ol dl table menu body html article main section div")
 
 
 class Block(NamedTuple):
-    path: tuple  # name and number of every element around it
+    path: tuple  # name and number of every element around it, down to ``MOST_DEPTH``
+    marks: tuple  # numbers of the articles and of the skipped and so named elements around it, all of them
     text: str
     linked: bool  # more than half of it is links
 
@@ -75,6 +79,7 @@ class Page(HTMLParser):
         self.articles: set[int] = set()
         self.skipped: set[int] = set()
         self.named: set[int] = set()
+        self.marks: list[tuple[int, int]] = []  # place among the open elements, and number
         self.count = self.linked = 0
         self.link = -1  # number of open elements around the open link
         self.feed(html)
@@ -86,11 +91,13 @@ class Page(HTMLParser):
         self.text, linked, self.linked = [], self.linked, 0
         if text and not (self.open and self.open[-1][2]):
             path = tuple((name, number) for _, name, _, _, number in self.open[:MOST_DEPTH])
-            self.blocks.append(Block(path, text, 2 * linked > len(text)))
+            self.blocks.append(Block(path, tuple(number for _, number in self.marks), text, 2 * linked > len(text)))
 
     def _pop(self, at: int) -> None:
         self._flush()
         del self.open[at:]
+        while self.marks and self.marks[-1][0] >= at:
+            self.marks.pop()
         if self.link > at:
             self.link = -1
 
@@ -116,6 +123,8 @@ class Page(HTMLParser):
         self.count += 1
         name = ".".join([tag, *first])
         article = tag in ("article", "main")
+        if article or skipped or so_named:
+            self.marks.append((len(self.open), self.count))
         self.open.append((tag, name, above_unseen or unseen, above_article or article, self.count))
         if article:
             self.articles.add(self.count)
@@ -168,8 +177,8 @@ class Page(HTMLParser):
 
 
 def _article_at(block: Block, page: Page, sizes: Counter[int], most: int) -> int | None:
-    """Where in the block's path the article with the most text is."""
-    return next((at for at, (_, number) in enumerate(block.path) if number in page.articles and sizes[number] == most), None)
+    """Where in the block's marks the article with the most text is."""
+    return next((at for at, number in enumerate(block.marks) if number in page.articles and sizes[number] == most), None)
 
 
 def hinted(page: Page) -> set[int]:
@@ -181,14 +190,14 @@ def hinted(page: Page) -> set[int]:
     """
     sizes: Counter[int] = Counter()
     for b in page.blocks:
-        for number in {number for _, number in b.path}:
+        for number in b.marks:
             sizes[number] += len(b.text)
     most = max((sizes[number] for number in page.articles), default=0)
-    held = {number for b in page.blocks if (at := _article_at(b, page, sizes, most)) is not None for _, number in b.path[:at]}
+    held = {number for b in page.blocks if (at := _article_at(b, page, sizes, most)) is not None for number in b.marks[:at]}
     total = sum(len(b.text) for b in page.blocks)
     out = page.skipped | {number for number in page.named - held if 2 * sizes[number] <= total}
-    gone = {i for i, b in enumerate(page.blocks) if any(number in out for _, number in b.path)}
-    rest = [(i, b, any(number in page.articles for _, number in b.path)) for i, b in enumerate(page.blocks) if i not in gone]
+    gone = {i for i, b in enumerate(page.blocks) if not out.isdisjoint(b.marks)}
+    rest = [(i, b, not page.articles.isdisjoint(b.marks)) for i, b in enumerate(page.blocks) if i not in gone]
     inside = sum(len(b.text) for _, b, article in rest if article)
     if 2 * inside > sum(len(b.text) for _, b, _ in rest):
         gone.update(i for i, b, article in rest if b.linked and not article)
@@ -232,13 +241,17 @@ def tree(blocks: list[tuple[tuple, str]]) -> Node:
 def match(a: Node, b: Node) -> tuple[int, list[tuple[int, int]]]:
     """Simple tree matching: the weight of the best alignment, and the numbers of aligned blocks with the same text.
 
-    Nodes with different names don't match; a block with the same text weighs more than one with another.
+    Nodes with different names don't match; a block with the same text weighs more than one with another.  Of
+    alignments that weigh the same, long lists may have another than short ones.
     """
     if a[0] != b[0]:
         return 0, []
     if a[1] >= 0:
         return (3, [(a[1], b[1])]) if a[2] == b[2] else (1, [])
     left, right = a[3], b[3]
+    if len(left) * len(right) > TABLE_PAIRS:
+        weight, steps = _align_long(left, right)
+        return weight + 1, [pair for i, j in steps for pair in match(left[i], right[j])[1]]
     best = [[(0, 0)] * (len(right) + 1) for _ in range(len(left) + 1)]  # weight, step
     found = {}
     for i, x in enumerate(left):
@@ -255,6 +268,80 @@ def match(a: Node, b: Node) -> tuple[int, list[tuple[int, int]]]:
     return best[-1][-1][0] + 1, pairs
 
 
+def _single(node: Node) -> tuple[tuple, str] | None:
+    """Names down to the only block of a node, and the digest of its text; None if it holds several or none."""
+    names = []
+    while node[1] < 0:
+        if len(node[3]) != 1:
+            return None
+        names.append(node[0])
+        node = node[3][0]
+    return (*names, node[0]), node[2]
+
+
+def _common(x: tuple, y: tuple) -> int:
+    return next((k for k, (p, q) in enumerate(zip(x, y, strict=False)) if p != q), min(len(x), len(y)))
+
+
+def _align_long(left: list, right: list) -> tuple[int, list[tuple[int, int]]]:
+    """The best pairing in order of two long lists of children: its weight, and the pairs that weigh anything.
+
+    Halves of the left list are weighed against all ends of the right one, which tells where the right one parts (after
+    Hirschberg), so memory is linear in the lists.  Children with one block each, as nearly all of long lists are, are
+    weighed a row at a time; pairs of others are matched and their weights remembered, in four bytes a pair.
+    """
+    ones, others = [_single(x) for x in left], [_single(y) for y in right]
+    shapes = sorted({one[0] for one in (*ones, *others) if one})
+    numbers = {shape: i for i, shape in enumerate(shapes)}
+    digests = {one[1]: i for i, one in enumerate(one for one in others if one)}
+    shape = np.array([numbers[one[0]] if one else -1 for one in others], np.int32)
+    digest = np.array([digests[one[1]] if one else -1 for one in others], np.int32)
+    rest = np.flatnonzero(shape < 0)
+    # A shape shared by no pair of lists costs a line of numbers each; lists have few shapes.
+    depth = {x: np.array([_common(x, y) for y in shapes] or [0], np.int32) for x in {one[0] for one in ones if one}}
+    kept: dict[int, np.ndarray] = {}
+
+    def weights(i: int, start: int, stop: int) -> np.ndarray:
+        one = ones[i]
+        columns = rest if one else np.arange(len(right))
+        if len(columns) and i not in kept:
+            kept[i] = np.array([match(left[i], right[j])[0] for j in columns], np.int32)
+        if not one:
+            return kept[i][start:stop]
+        row = depth[one[0]][shape[start:stop]]
+        row[(digest[start:stop] == digests.get(one[1], -2)) & (shape[start:stop] == numbers[one[0]])] += 2
+        if len(rest):
+            first, end = np.searchsorted(rest, (start, stop))
+            row[rest[first:end] - start] = kept[i][first:end]
+        return row
+
+    def last(rows: range, start: int, stop: int, step: int) -> np.ndarray:
+        """Weights of the rows against every beginning of the right children from start to stop, or ending if step is -1."""
+        line = np.zeros(stop - start + 1, np.int32)
+        for i in rows:
+            paired = line[:-1] + weights(i, start, stop)[::step]
+            np.maximum.accumulate(np.maximum(line[1:], paired, out=paired), out=line[1:])
+        return line
+
+    total, pairs, todo = 0, [], [(0, len(left), 0, len(right))]
+    while todo:
+        top, bottom, start, stop = todo.pop()
+        if top == bottom or start == stop:
+            continue
+        if bottom - top == 1:
+            row = weights(top, start, stop)
+            at = int(row.argmax())
+            if row[at]:
+                total += int(row[at])
+                pairs.append((top, start + at))
+            continue
+        middle = (top + bottom) // 2
+        upper, lower = last(range(top, middle), start, stop, 1), last(range(bottom - 1, middle - 1, -1), start, stop, -1)
+        cut = start + int((upper + lower[::-1]).argmax())
+        todo += [(middle, bottom, cut, stop), (top, middle, start, cut)]
+    return total, pairs
+
+
 def host_of(url: str | None) -> str:
     """The host in lower case without user and port; pages without one share the empty host."""
     found = re.match(r"[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")

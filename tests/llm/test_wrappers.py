@@ -1,6 +1,10 @@
 """Main texts: what is left out, how blocks are read, what a host's pages have in common."""
 
 import random
+import tracemalloc
+from functools import cache
+
+import pytest
 
 from helioledger.llm import wrappers
 
@@ -111,3 +115,65 @@ def test_names_of_layouts_lose_nothing():
     for named in ("class=ad", "class='x site-footer'", "id=ad_3", "class=sidebar-left", "role=search", "class='comments-area'"):
         assert texts(f"<p>The long story of it all</p><div {named}>no</div>") == ["The long story of it all"]
     assert texts("<article>The story</article><section class=comments><article>no</article></section>") == ["The story"]
+
+
+def plain_match(a, b):
+    """The weight of the best alignment, tried in all ways: a child is left out on either side, or the two first are paired."""
+    if a[0] != b[0]:
+        return 0
+    if a[1] >= 0:
+        return 3 if a[2] == b[2] else 1
+
+    @cache
+    def best(i, j):
+        if i == len(a[3]) or j == len(b[3]):
+            return 0
+        return max(best(i + 1, j), best(i, j + 1), plain_match(a[3][i], b[3][j]) + best(i + 1, j + 1))
+
+    return 1 + best(0, 0)
+
+
+def random_tree(rng, depth, counter):
+    if depth == 0 or rng.random() < 0.3:
+        counter[0] += 1
+        return ("#", counter[0] - 1, rng.choice("xyz"), [])
+    return (rng.choice("pq"), -1, "", [random_tree(rng, depth - 1, counter) for _ in range(rng.randrange(0, 5))])
+
+
+def leaves(node):
+    return {node[1]: node[2]} if node[1] >= 0 else {k: v for child in node[3] for k, v in leaves(child).items()}
+
+
+@pytest.mark.parametrize("table", [0, 5, 10_000])
+def test_matching_of_random_trees(monkeypatch, table):
+    monkeypatch.setattr(wrappers, "TABLE_PAIRS", table)
+    rng = random.Random(table)
+    for _ in range(400):
+        a, b = (("", -1, "", [random_tree(rng, 3, counter) for _ in range(rng.randrange(0, 6))]) for counter in ([0], [0]))
+        weight, pairs = wrappers.match(a, b)
+        assert weight == plain_match(a, b)
+        mine, other = leaves(a), leaves(b)
+        assert all(mine[i] == other[j] for i, j in pairs)
+        pairs.sort()
+        assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+
+
+def test_pages_of_very_many_blocks_need_little_memory():
+    def page_of(n, seed):
+        rng = random.Random(seed)
+        items = "".join(f"<p>{rng.random()}</p>" if i % 100 else f"<p>rule {i}</p>" for i in range(n))
+        return wrappers.tree(wrappers.main_blocks(f"<article><p>Welcome</p>{items}<p>The end</p></article>"))
+
+    a, b = page_of(20_000, 1), page_of(20_000, 2)
+    tracemalloc.start()
+    weight, pairs = wrappers.match(a, b)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert weight == 2 + 20_002 * 2 + 202 * 2 and len(pairs) == 202 and most < 50 << 20
+
+
+def test_hints_count_at_any_depth():
+    for depth in (10, 120, 3000):
+        html = "<div>" * depth + "<nav><p>menu</p></nav><p>The story</p><div class=ad>no</div><footer>no</footer>" + "</div>" * depth
+        assert texts(html) == ["The story"], depth
+        assert texts("<div>" * depth + "<article><p>The long story</p></article><p><a href=/>Next</a></p>") == ["The long story"], depth
