@@ -277,6 +277,9 @@ UNION ALL SELECT * FROM brought""",
     found["total_from_daily_by_site"] = found["total_savings_by_site"]
     found["generation_from_daily_by_site"] = found["total_solar_generation_by_site"]
 
+    found["bucketed_generation_by_site"] = found["total_solar_generation_by_site"]
+    found["bucketed_daily_savings_by_site"] = found["daily_savings_by_site"]
+
     # Serving reads of marts built and stored by site
     for name in ("data_date", "daily_savings", "monthly_savings", "total_savings"):
         found[f"served_{name}"] = found[f"{name}_by_site"]

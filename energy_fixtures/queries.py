@@ -206,6 +206,15 @@ def raw_table_corrected_by_site(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name).select(*SITE, "date", "hour", *READING_VALUES)
 
 
+def _bucketed(spark: SparkSession, sf_dir: str, mart: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A mart of the fleet from a raw table that is stored in buckets by site."""
+    name, path = _raw_table(spark)
+    fleet = Fleet(spark, sf_dir)
+    sinks.create_raw_table(fleet.raw, name, path, bucket_by=SITE, buckets=8)
+    readings = models.typed_readings(spark.table(name), SITE)
+    return mart(cleaning.solar_cleaned(readings, fleet.tariffs, fleet.exclusions, SITE))
+
+
 def ingest_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half the days in one load and the rest in another; the stamps that the staging view shows, as numbers of loads."""
     name, path = _raw_table(spark)
@@ -564,6 +573,10 @@ def queries() -> dict[str, Query]:
         "readings_in_file_order": lambda s, d: _in_order(collection.in_file_order(s, _saved_json(s, d)), "date", "hour"),
         "refreshed_forecast_development": lambda s, d: _refreshed(s, d, marts.payback_forecast_development),
         "refreshed_monthly_savings": lambda s, d: _refreshed(s, d, marts.monthly_savings),
+        "bucketed_generation_by_site": lambda s, d: _bucketed(s, d, lambda cleaned: rollups.total_solar_generation(cleaned, SITE, exact=True)),
+        "bucketed_daily_savings_by_site": lambda s, d: _bucketed(
+            s, d, lambda cleaned: rollups.daily_savings(rollups.daily_rollup(finance.cost_savings(cleaned, SITE), SITE, exact=True), SITE)
+        ),
         "served_data_date": _served(marts.data_date),
         "served_daily_savings": _served(marts.daily_savings),
         "served_monthly_savings": _served(marts.monthly_savings),

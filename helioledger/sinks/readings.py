@@ -124,19 +124,29 @@ def write_parquet(readings: DataFrame, path: str, keys: Sequence[str] = (), part
 
 
 def create_raw_table(
-    readings: DataFrame, table: str, path: str | None = None, partition_by: Sequence[str] = (), stamp: bool = False
+    readings: DataFrame, table: str, path: str | None = None, partition_by: Sequence[str] = (), stamp: bool = False,
+    bucket_by: Sequence[str] = (), buckets: int = 0,
 ) -> None:
     """Create the raw table if there is none; a second run loads nothing.
 
     Partitioned by date, later filters on the date and ``append_new_readings`` open
     only the days they need.  With ``stamp`` the rows keep the time of their load in ``ingested_at``,
-    which later loads then fill, too, and the staging view passes on.
+    which later loads then fill, too, and the staging view passes on.  Dealt into so many ``buckets`` by the keys of
+    its sites, sums by site and joins with small tables of tariffs and exclusions move no readings.  A bucket is one
+    task of such a sum, so a site with far more readings than a bucket should hold is better left unbucketed.
     """
+    if bool(bucket_by) != (buckets > 0):
+        raise ValueError("bucket_by and buckets go together")
     if stamp:
         readings = _stamped(readings)
-    if partition_by:
+    if bucket_by:
+        # One file a bucket: every task writes whole buckets.
+        readings = readings.repartition(buckets, *bucket_by)
+    elif partition_by:
         readings = readings.hint("rebalance", *partition_by)
     writer = readings.write.mode("ignore").format("parquet").partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     (writer.option("path", path) if path else writer).saveAsTable(table)
 
 

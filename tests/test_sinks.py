@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from energy_fixtures.queries import queries
 from helioledger.plans import models, warehouse
 from helioledger.schemas import PARSED_READINGS, RAW_EXCLUSIONS, RAW_READINGS, RAW_TARIFFS
 from helioledger.sinks import readings as sinks
@@ -146,3 +147,13 @@ def test_loads_keep_their_stamp(spark, tmp_path):
     sinks.replace_days(spark.createDataFrame([hours[0], hours[2]], schema), "raw_stamped")
     second = {row["date"]: row["ingested_at"] for row in models.stg_readings(spark.table("raw_stamped")).collect()}
     assert second[hours[1][0]] == first[hours[1][0]] < second[hours[0][0]] == second[hours[2][0]]
+
+
+def test_sums_by_site_move_no_bucketed_readings(spark, small):
+    frame = queries()["bucketed_daily_savings_by_site"](spark, small)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert not [line for line in moved if "site_id" in line and "REPARTITION" not in line and "BroadcastExchange" not in line], plan
+    assert "Bucketed: true" in plan and "BroadcastHashJoin" in plan
+    with pytest.raises(ValueError, match="go together"):
+        sinks.create_raw_table(frame, "raw_odd_buckets", bucket_by=["site_id"])
