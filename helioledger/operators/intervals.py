@@ -41,6 +41,8 @@ NO_SLOT = -(2**31)
 # An interval over more slots than this is first clipped to the span of the facts,
 # which takes a pass over their moments.
 LONG_SPAN = 2_400
+# Intervals that make so many times their rows are dealt over tasks of about so many rows before they are spread.
+DEAL_TIMES, DEAL_ROWS = 16, 200_000
 
 
 def slot_of(moment: Column, grain: str) -> Column:
@@ -61,6 +63,7 @@ class Intervals:
     payload: tuple[str, ...] = ()
     grain: str = "month"
     keys: tuple[str, ...] = ()
+    intervals: int = 0
     rows: int = 0
     size: int = 0
     longest: int = 0
@@ -69,37 +72,48 @@ class Intervals:
     # Whether ``frame`` is costly enough to be written before it is measured and joined.
     condensed: bool = False
 
-    def measure(self, place: int) -> DataFrame:
-        """Rows, bytes, longest span in slots and most intervals of one key and slot after spreading, as one row.
+    def measure(self, place: int, first: int | None = None, last: int | None = None) -> DataFrame:
+        """Intervals, rows and bytes after spreading (within the given slots, if any) and the longest span in slots, as one row.
 
-        A span beyond ``LONG_SPAN`` meets others only up to it, as such intervals are clipped before they are joined.
+        Nothing is spread for it and nothing shuffled but a row per task.
         """
-        used = self.frame.select(*self.keys, self.start, self.end, *self.payload)
-        text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in used.schema if f.dataType.typeName() == "string"]
-        width = sum(text, F.lit(24 + 8 * (len(used.columns) + 1)))
+        text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in self._used().schema if f.dataType.typeName() == "string"]
+        width = sum(text, F.lit(24 + 8 * (len(self._used().columns) + 1)))
+        low, high = self._within(first, last)
+        span = (high - low + 1).cast("long")
+        bounds = self._used().filter(self._valid()).select(span.alias("_span"), width.alias("_width")).filter("_span > 0")
+        found = {"intervals": F.count("*"), "rows": F.sum("_span"), "size": F.sum(F.col("_span") * F.col("_width")), "longest": F.max("_span")}
+        return bounds.agg(F.lit(place).alias("place"), *[F.coalesce(value, F.lit(0)).alias(name) for name, value in found.items()])
+
+    def densest(self, place: int, first: int | None = None, last: int | None = None) -> DataFrame:
+        """Most intervals of one key that touch one slot, as one row: counted where intervals begin and end, without spreading them."""
         names = [f"_key_{key}" for key in self.keys]
-        keyed = [F.col(key).alias(name) for key, name in zip(self.keys, names)]
-        span = (self._last() - self._first() + 1).cast("long")
-        bounds = used.filter(self._valid()).select(*keyed, self._first().alias("_low"), self._last().alias("_high"), span.alias("_span"), width.alias("_width"))
-        slots = F.explode(F.sequence("_low", F.least(F.col("_high"), F.col("_low") + LONG_SPAN))).alias(SLOT)
-        own = F.when(F.col(SLOT) == F.col("_low"), F.col("_span")).otherwise(0)  # of an interval's rows the first stands for all
-        spread = bounds.select(*names, "_low", "_span", "_width", slots).withColumn("_rows", own)
-        sums = [F.sum("_rows").alias("_rows"), F.sum(F.col("_rows") * F.col("_width")).alias("_bytes")]
-        counted = spread.groupBy(*names, SLOT).agg(F.count("*").alias("_n"), F.max("_span").alias("_span"), *sums)
-        found = {"rows": F.sum("_rows"), "size": F.sum("_bytes"), "longest": F.max("_span"), "together": F.max("_n")}
-        return counted.agg(F.lit(place).alias("place"), *[F.coalesce(value, F.lit(0)).alias(name) for name, value in found.items()])
+        low, high = self._within(first, last)
+        bounds = self._used().filter(self._valid()).select(*[F.col(key).alias(name) for key, name in zip(self.keys, names)], low.alias("_low"), high.alias("_high"))
+        ends = [F.struct(F.col("_low").alias(SLOT), F.lit(1).alias("_step")), F.struct((F.col("_high") + 1).alias(SLOT), F.lit(-1).alias("_step"))]
+        steps = bounds.filter("_low <= _high").select(*names, F.inline(F.array(*ends)))
+        changes = steps.groupBy(*names, SLOT).agg(F.sum("_step").alias("_step"))
+        so_far = Window.partitionBy(*(names or [F.lit(0)])).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = changes.select(F.sum("_step").over(so_far).alias("_n"))
+        return running.agg(F.lit(place).alias("place"), F.coalesce(F.max("_n"), F.lit(0)).alias("together"))
 
     def spread(self, first: int | Column | None = None, last: int | Column | None = None) -> DataFrame:
         """One row per interval and slot, within the given slots if any."""
-        valid, low, high = self._valid(), self._first(), self._last()
+        valid, (low, high) = self._valid(), self._within(first, last)
         if first is not None:
-            first, last = (bound if isinstance(bound, Column) else F.lit(bound) for bound in (first, last))
-            low, high = F.greatest(low, first), F.least(high, last)
             valid = valid & (low <= high)
         columns = [F.col(key).alias(f"_key_{key}") for key in self.keys]
         columns += [F.col(self.start).alias("_from"), F.col(self.end).alias("_to")]
         columns += [F.col(name).alias(name) for name in self.payload]
-        return self.frame.select(*columns, F.explode(F.when(valid, F.sequence(low, high))).alias(f"{SLOT}_side"))
+        return self._dealt().select(*columns, F.explode(F.when(valid, F.sequence(low, high))).alias(f"{SLOT}_side"))
+
+    def _dealt(self) -> DataFrame:
+        """The intervals, dealt over more tasks if few of them make many rows, as a small table may be a single file."""
+        if self.rows < DEAL_TIMES * self.intervals:
+            return self.frame
+        most = int(self.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        parts = min(most, self.rows // DEAL_ROWS)
+        return self.frame.repartition(parts, *self.keys, self.start, self.end) if parts > 1 else self.frame
 
     def written(self) -> Intervals:
         """Condensed intervals from the shared folder, so that measuring and joining do not make them again."""
@@ -109,6 +123,16 @@ class Intervals:
         self.frame.write.parquet(path)
         return replace(self, frame=self.frame.sparkSession.read.schema(self.frame.schema).parquet(path), condensed=False)
 
+    def _used(self) -> DataFrame:
+        return self.frame.select(*self.keys, self.start, self.end, *self.payload)
+
+    def _within(self, first: int | Column | None, last: int | Column | None) -> tuple[Column, Column]:
+        """First and last slot, clipped to those given."""
+        if first is None:
+            return self._first(), self._last()
+        first, last = (bound if isinstance(bound, Column) else F.lit(bound) for bound in (first, last))
+        return F.greatest(self._first(), first), F.least(self._last(), last)
+
     def _first(self) -> Column:
         return slot_of(F.col(self.start), self.grain)
 
@@ -254,17 +278,20 @@ def join_intervals(
             slotted = slotted.outside(side, low, high) if how == "left_anti" else slotted.join(side, how, low, high, False)
         return slotted.untagged()
 
-    sides = [side.written() for side in sides]
-    found = reduce(DataFrame.union, [side.measure(place) for place, side in enumerate(sides)]).collect()
-    sides = [replace(sides[m["place"]], **{n: m[n] for n in ("rows", "size", "longest", "together")}) for m in found]
+    sides = _measured([side.written() for side in sides])
     low = high = None
     if any(side.longest > LONG_SPAN for side in sides):
         dated = slotted.frame.filter(F.col(SLOT) != NO_SLOT)
         low, high = dated.agg(F.coalesce(F.min(SLOT), F.lit(1)), F.coalesce(F.max(SLOT), F.lit(0))).first()
         # What clipping leaves of each side is counted again.
-        sides = [_clipped(side, low, high) for side in sides]
+        sides = _measured(sides, low, high)
 
     small = [side.size <= broadcast_bytes for side in sides]
+    # Whether pairs are compared depends on it in inner joins and in anti joins that could be broadcast.
+    asked = [place for place, (how, _) in enumerate(steps) if sides[place].rows > DENSE and (how != "left_anti" or small[place])]
+    if asked:
+        for m in reduce(DataFrame.union, [sides[place].densest(place, low, high) for place in asked]).collect():
+            sides[m["place"]] = replace(sides[m["place"]], together=m["together"])
     dense = [side.together > DENSE for side in sides]
     # Shuffled anti joins compare no pairs in any case.
     paired = [not d and (how != "left_anti" or fits) for (how, _), d, fits in zip(steps, dense, small)]
@@ -289,7 +316,7 @@ def _with_moments(spans: DataFrame, moments: DataFrame, bound: str, turn: int) -
     return marked.unionByName(passing)
 
 
-def _clipped(side: Intervals, low: int, high: int) -> Intervals:
-    per_row = side.size / side.rows if side.rows else 0
-    rows = side.spread(low, high).count()
-    return replace(side, rows=rows, size=int(rows * per_row))
+def _measured(sides: list[Intervals], low: int | None = None, high: int | None = None) -> list[Intervals]:
+    """The sides with their sizes, from one job."""
+    found = reduce(DataFrame.union, [side.measure(place, low, high) for place, side in enumerate(sides)]).collect()
+    return [replace(sides[m["place"]], **{n: m[n] for n in ("intervals", "rows", "size", "longest")}) for m in sorted(found, key=lambda m: m["place"])]

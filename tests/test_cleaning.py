@@ -161,3 +161,29 @@ def test_many_overlapping_tariffs(spark, monkeypatch, how, sites):
     side = spark.createDataFrame(tariffs, TARIFF)
     found = cleaning.attach_tariff(facts, side, keys, **how)
     assert rows(found.select("site_id", "reading_datetime", "_number", "export_rate")) == sorted(want, key=repr)
+
+
+def test_measuring_spreads_nothing(spark):
+    """An endless tariff is measured without a row per month, and the densest month is that of the spread intervals, clipped or not."""
+    rng = random.Random(9)
+    spans = [(rng.choice([1, 2, None]), s := dt.date(2026, 1, 1) + dt.timedelta(rng.randrange(400)), s + dt.timedelta(rng.randrange(-5, 200))) for _ in range(80)]
+    spans += [(1, dt.date(2026, 3, 1), dt.date.max), (2, None, dt.date.max), (2, dt.date(2026, 3, 1), None)]
+    frame = spark.createDataFrame(spans, "site_id int, start_date date, end_date date")
+    for keys in ((), ("site_id",)):
+        side = intervals.Intervals(frame, "start_date", "end_date", keys=keys)
+        for bounds in ((), (2026 * 12 + 3, 2026 * 12 + 9)):
+            slots = side.spread(*bounds)
+            names = [f"_key_{key}" for key in keys]
+            most = max(row["count"] for row in slots.groupBy(*names, "_slot_side").count().collect())
+            assert side.densest(0, *bounds).first()["together"] == most
+            assert side.measure(0, *bounds).first()["rows"] == slots.count()
+        assert "Generate" not in side.measure(0)._jdf.queryExecution().toString()
+        assert "sequence" not in side.densest(0)._jdf.queryExecution().toString()
+
+
+def test_few_intervals_of_many_rows_are_spread_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "DEAL_ROWS", 1_000)
+    frame = spark.createDataFrame([(n, dt.date(2026, 1, 1), dt.date(2026, 12, 31)) for n in range(50)], "site_id int, start_date date, end_date date").coalesce(1)
+    [side] = intervals._measured([intervals.Intervals(frame, "start_date", "end_date", grain="day", keys=("site_id",))])
+    assert (side.rows, side.intervals) == (50 * 365, 50)
+    assert side.spread().rdd.getNumPartitions() == 4
