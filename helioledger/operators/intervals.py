@@ -12,9 +12,9 @@ rows are then cut into slices, with the interval side repeated for each slice.
 Where intervals are dense no pairs are compared.  Anti joins, also all that are
 shuffled, read facts and intervals of a slot together in order of time: a fact is
 covered if the latest end so far is not before it.  Inner joins number the different
-moments of a slot in order; reading moments and intervals together tells each interval
-the first and last number it holds, and it meets just these by equality.  Both take
-time in proportion to what goes in and comes out, however many intervals overlap.
+moments of a slot in order, so that an interval is a run of numbers, and meet facts by
+equality on blocks of numbers.  Both take time in proportion to what goes in and comes
+out, however many intervals overlap, and only what goes in is moved.
 """
 
 from __future__ import annotations
@@ -41,8 +41,14 @@ NO_SLOT = -(2**31)
 # An interval over more slots than this is first clipped to the span of the facts,
 # which takes a pass over their moments.
 LONG_SPAN = 2_400
+# Blocks that make up the numbers above ``_low`` through ``_high``: at most two of each size.
+_BLOCKS = """flatten(transform(sequence(0, length(bin(_high)) - 1), l -> filter(array(
+  struct(l AS _level, shiftright(_low + shiftleft(1L, l) - 1, l) AS _block),
+  struct(l AS _level, shiftright(_high, l) - 1 AS _block)),
+  (b, i) -> shiftright(_low + shiftleft(1L, l) - 1, l) < shiftright(_high, l)
+    AND CASE WHEN i = 0 THEN b._block % 2 = 1 ELSE b._block % 2 = 0 END)))"""
 # Intervals that make so many times their rows are dealt over tasks of about so many rows before they are spread.
-DEAL_TIMES, DEAL_ROWS = 16, 200_000
+DEAL_TIMES, DEAL_ROWS = 4, 200_000
 
 
 def slot_of(moment: Column, grain: str) -> Column:
@@ -209,10 +215,13 @@ class SlottedFacts:
         covered = F.coalesce(F.col("_covered") >= F.col("_at"), F.lit(False))
         return replace(self, frame=marked.filter((F.col("_kind") == 1) & ~covered).select(*names))
 
-    def meeting(self, side: Intervals, low: int | None, high: int | None, split_above: int | None) -> SlottedFacts:
-        """Facts with every interval that holds them, without comparing pairs.
+    def meeting(self, side: Intervals, low: int | None, high: int | None, split_above: int | None, broadcast_bytes: int) -> SlottedFacts:
+        """Facts with every interval that holds them, without comparing pairs and without moving the pairs.
 
-        Groups of more than ``split_above`` intervals are cut into slices, each with all moments of the group.
+        The moments of a slot are numbered; an interval holds a run of numbers, and is cut into blocks of 1, 2, 4, …
+        numbers that begin at a multiple of their size.  A fact is in one block of each size, so both meet by equality.
+        If the facts with their blocks are small they are sent to the intervals, which then stay where they are.
+        Otherwise groups of more than ``split_above`` intervals are cut into slices, each with all facts of the group.
         """
         group = [*self.keys, SLOT]
         moment, kind = F.col(self.moment), self.frame.schema[self.moment].dataType
@@ -224,27 +233,53 @@ class SlottedFacts:
         spans = side.spread(low, high).select(*placed, *bounds, handed)
         for key in self.keys:  # a missing key is no key
             spans = spans.filter(F.col(key).isNotNull())
-        dated = self.frame.select(*group, moment.cast(kind).alias("_at"))
-        moments = dated.filter(F.col("_at").isNotNull()).distinct()
-        hot = find_hot_groups(spans, group, split_above) if split_above else None
-        if hot is None:
-            spans, moments = spans.withColumn(SLICE, F.lit(0)), moments.withColumn(SLICE, F.lit(0))
-        else:
-            spans, moments = slice_rows(spans, group, hot), repeat_for_slices(moments, {name: name for name in group}, hot, SLICE)
-        place = [*group, SLICE]
-        so_far = Window.partitionBy(*place).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        before = _with_moments(spans, moments, "_from", 1).withColumn("_low", F.sum("_moment").over(so_far.orderBy("_when", "_turn")))
-        begun = before.filter("_moment = 0").select(*spans.columns, "_low")
-        until = _with_moments(begun, moments, "_to", -1).withColumn("_high", F.sum("_moment").over(so_far.orderBy("_when", "_turn")))
-        numbers = F.explode(F.sequence(F.col("_low") + 1, F.col("_high"))).alias("_number")
-        held = until.filter("_moment = 0 AND _high > _low").select(*place, "_payload", numbers)
-        numbered = moments.withColumn("_number", F.row_number().over(Window.partitionBy(*place).orderBy("_at")).cast("long"))
-        sides = {name: f"{name}_side" for name in group}
-        meets = held.join(numbered.hint("merge"), [*place, "_number"]).select(*[F.col(n).alias(m) for n, m in sides.items()], F.col("_at"), "_payload")
-        match = moment.cast(kind) == F.col("_at")
-        for name, other in sides.items():
-            match = match & (F.col(name) == F.col(other))
-        joined = self.frame.join(meets.hint("merge"), match)
+
+        # How many moments come before each different beginning, and up to each different end.
+        moments = self.frame.select(*group, moment.cast(kind).alias("_at")).filter(F.col("_at").isNotNull()).distinct()
+        ends = [F.struct(F.col(name).alias("_at"), F.lit(turn).alias("_turn")) for name, turn in (("_from", 0), ("_to", 2))]
+        marks = spans.select(*group, F.inline(F.array(*ends))).distinct().unionByName(moments.withColumn("_turn", F.lit(1)))
+        so_far = Window.partitionBy(*group).orderBy("_at", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        passed = F.sum(F.when(F.col("_turn") == 1, 1).otherwise(0)).over(so_far).alias("_passed")
+        path = scratch_path(self.frame.sparkSession, "moments")
+        marks.select(*group, "_at", "_turn", passed).write.parquet(path)
+        counted = self.frame.sparkSession.read.parquet(path)
+        width = 24 + 8 * (len(group) + 2)
+        few = counted.count() * width <= broadcast_bytes
+
+        def looked_up(rows: DataFrame, bound: str, turn: int, **found: Column) -> DataFrame:
+            sides = {column: f"{column}_mark" for column in group}
+            renamed = [F.col(n).alias(m) for n, m in sides.items()]
+            numbers = counted.filter(F.col("_turn") == turn).select(*renamed, F.col("_at").alias("_mark"), *[value.alias(name) for name, value in found.items()])
+            match = F.col(bound) == F.col("_mark")
+            for column, other in sides.items():
+                match = match & (F.col(column) == F.col(other))
+            return rows.join(F.broadcast(numbers) if few else numbers.hint("merge"), match).select(*rows.columns, *found)
+
+        held = looked_up(looked_up(spans, "_from", 0, _low=F.col("_passed")), "_to", 2, _high=F.col("_passed")).filter("_low < _high")
+        blocks = held.select(*group, "_payload", F.inline(F.expr(_BLOCKS)))
+        dated = self.frame.withColumn("_moment", moment.cast(kind))
+        # The largest block of a slot has no more numbers than the slot.
+        most = F.max("_passed").over(Window.partitionBy(*group))
+        sized = looked_up(dated, "_moment", 1, _nth=F.col("_passed"), _most=most)
+        levels = F.sequence(F.lit(0), F.length(F.bin("_most")) - 1)
+        inside = sized.select(*self.frame.columns, "_nth", F.explode(levels).alias("_level"))
+        inside = inside.select(*self.frame.columns, "_level", F.expr("shiftright(_nth - 1, _level)").alias("_block"))
+        text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in inside.schema if f.dataType.typeName() == "string"]
+        weight = sum(text, F.lit(24 + 8 * len(inside.columns)))
+        small = few and (inside.agg(F.sum(weight)).first()[0] or 0) <= broadcast_bytes
+
+        place = [*group, "_level", "_block"]
+        hot = None if small or not split_above else find_hot_groups(blocks, place, split_above)
+        if hot is not None:
+            cut = f"{SLICE}_block"
+            blocks = slice_rows(blocks, place, hot).withColumnRenamed(SLICE, cut)
+            inside = repeat_for_slices(inside, {name: name for name in place}, hot, cut)
+            place = [*place, cut]
+        sides = [F.col(name).alias(f"{name}_side") for name in place]
+        blocks = blocks.select(*sides, "_payload")
+        match = reduce(Column.__and__, [F.col(name) == F.col(f"{name}_side") for name in place])
+        # The many are read once, the facts of a block are kept at hand.
+        joined = blocks.join(F.broadcast(inside) if small else inside.hint("merge"), match)
         return replace(self, frame=joined.select(*self.frame.columns, *[F.col(f"_payload.{name}").alias(name) for name in side.payload]))
 
     def untagged(self) -> DataFrame:
@@ -303,19 +338,10 @@ def join_intervals(
         elif how == "left_anti":
             slotted = slotted.outside(side, low, high)
         else:
-            slotted = slotted.meeting(side, low, high, split_above)
+            slotted = slotted.meeting(side, low, high, split_above, broadcast_bytes)
     return slotted.untagged()
 
 
-def _with_moments(spans: DataFrame, moments: DataFrame, bound: str, turn: int) -> DataFrame:
-    """Spans and moments as rows of one order: a span at its bound, before (1) or after (-1) a moment at the same time."""
-    place = [name for name in moments.columns if name != "_at"]
-    marked = spans.select("*", F.col(bound).alias("_when"), F.lit(0).alias("_moment"), F.lit(-turn).alias("_turn"))
-    blank = [F.lit(None).cast(spans.schema[name].dataType).alias(name) for name in spans.columns if name not in place]
-    passing = moments.select(*place, *blank, F.col("_at").alias("_when"), F.lit(1).alias("_moment"), F.lit(0).alias("_turn"))
-    return marked.unionByName(passing)
-
-
 def _measured(sides: list[Intervals], low: int | None = None, high: int | None = None) -> list[Intervals]:
     """The sides with their sizes, from one job."""
     found = reduce(DataFrame.union, [side.measure(place, low, high) for place, side in enumerate(sides)]).collect()

@@ -95,3 +95,10 @@ def test_three_marts_from_one_pass(spark, small):
     text = plan(QUERIES["savings_by_level_by_site"](spark, small))
     # The adapter's own hours are the other exchange.
     assert text.count("Expand [") == 1 and text.count("Exchange hashpartitioning") == 2
+
+
+def test_pairs_with_overlapping_tariffs_are_not_moved(spark, small, monkeypatch):
+    """Few days go to the many tariffs; no pair of both is shuffled before it is counted."""
+    monkeypatch.setattr(intervals, "DENSE", 10)
+    text = plan(QUERIES["tariffs_in_force_by_day"](spark, small))
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 3
