@@ -31,7 +31,7 @@ def _costs(site: OneSite, **how) -> DataFrame:
 
 
 def _rollup(site: OneSite) -> DataFrame:
-    return rollups.daily_rollup(_costs(site), site.keys, exact=True)
+    return rollups.daily_rollup(_costs(site, slotted_rows=True), site.keys, exact=True)
 
 
 def _epoch_day(forecast: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helioledger.operators.intervals import Intervals, join_intervals
+from helioledger.operators.intervals import SLOT, Intervals, join_intervals
 from helioledger.schemas import RATES, READING_VALUES
 
 _OFF_PEAK_HOURS = ("off_peak_start_hour", "off_peak_end_hour")
@@ -74,11 +74,12 @@ def solar_cleaned(
     """Typed readings without excluded times, with rates and the off-peak flag.
 
     If both reference tables are too large to broadcast, the two joins share one
-    shuffle of the readings.
+    shuffle of the readings.  ``slotted_rows`` keeps the slot by which that dealt them.
     """
     steps = [_outages(exclusions, keys), _tariffs(tariffs, open_ended)]
     joined = join_intervals(readings, "reading_datetime", steps, keys, **how)
     stamp = [name for name in ("ingested_at",) if name in readings.columns]
+    stamp += [SLOT] if how.get("slotted_rows") else []
     return joined.select(
         *keys, "reading_datetime", *READING_VALUES, *stamp, *RATES, off_peak(wrap_midnight, end_inclusive).alias("is_off_peak")
     )

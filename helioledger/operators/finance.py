@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helioledger.operators.intervals import SLOT
 from helioledger.schemas import RATES, READING_VALUES
 
 
@@ -35,8 +36,10 @@ def cost_savings(cleaned: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
             "charge_cost": battery_charge_cost(),
         }
     )
+    slot = [SLOT] if SLOT in cleaned.columns else []
     return valued.select(
         *keys,
+        *slot,
         "reading_datetime",
         *READING_VALUES,
         *RATES,

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from helioledger.session import scratch_path
@@ -18,14 +18,19 @@ from helioledger.session import scratch_path
 SLICE = "_slice"
 
 
-def find_hot_groups(rows: DataFrame, group: Sequence[str], split_above: int) -> DataFrame | None:
-    """Hot groups with their number of slices, or None.  Counting combines within the map tasks."""
+def find_hot_groups(rows: DataFrame, group: Sequence[str], split_above: int, seen: Observation | None = None) -> DataFrame | None:
+    """Hot groups with their number of slices, or None.  Counting combines within the map tasks.
+
+    ``seen`` is told the number of all ``rows`` on the way.
+    """
     spark = rows.sparkSession
     path = scratch_path(spark, "hot-groups")
     renamed = [F.col(name).alias(f"_hot_{name}") for name in group]
     slices = F.ceil(F.col("count") / split_above).cast("int").alias("_slices")
-    counts = rows.groupBy(*group).count().filter(F.col("count") > split_above)
-    counts.select(*renamed, slices).write.parquet(path)
+    counts = rows.groupBy(*group).count()
+    if seen is not None:
+        counts = counts.observe(seen, F.coalesce(F.sum("count"), F.lit(0)).alias("rows"))
+    counts.filter(F.col("count") > split_above).select(*renamed, slices).write.parquet(path)
     hot = spark.read.parquet(path)
     return None if hot.isEmpty() else hot
 

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from helioledger.operators.hot_groups import SLICE, find_hot_groups, repeat_for_slices, slice_rows
@@ -47,6 +47,8 @@ _BLOCKS = """flatten(transform(sequence(0, length(bin(_high)) - 1), l -> filter(
   struct(l AS _level, shiftright(_high, l) - 1 AS _block)),
   (b, i) -> shiftright(_low + shiftleft(1L, l) - 1, l) < shiftright(_high, l)
     AND CASE WHEN i = 0 THEN b._block % 2 = 1 ELSE b._block % 2 = 0 END)))"""
+# Facts and intervals that are read together in one task.
+TASK_ROWS = 400_000
 # Intervals that make so many times their rows are dealt over tasks of about so many rows before they are spread.
 DEAL_TIMES, DEAL_ROWS = 4, 200_000
 
@@ -159,6 +161,8 @@ class SlottedFacts:
     keys: tuple[str, ...]
     grain: str
     hot: DataFrame | None = None
+    # How many, where they have been counted.
+    rows: int = 0
 
     @classmethod
     def tag(cls, facts: DataFrame, moment: str, keys: Sequence[str] = (), grain: str = "month") -> SlottedFacts:
@@ -168,8 +172,12 @@ class SlottedFacts:
     def split_hot(self, split_above: int | None) -> SlottedFacts:
         """Cut groups of more than ``split_above`` facts of one key and slot into slices."""
         group = [*self.keys, SLOT]
-        hot = find_hot_groups(self.frame, group, split_above) if split_above else None
-        return self if hot is None else replace(self, frame=slice_rows(self.frame, group, hot), hot=hot)
+        if not split_above:
+            return self
+        seen = Observation()
+        hot = find_hot_groups(self.frame, group, split_above, seen)
+        counted = replace(self, rows=seen.get["rows"])
+        return counted if hot is None else replace(counted, frame=slice_rows(self.frame, group, hot), hot=hot)
 
     def join(self, side: Intervals, how: str, low: int | None, high: int | None, broadcast: bool) -> SlottedFacts:
         spread = side.spread(low, high)
@@ -211,7 +219,11 @@ class SlottedFacts:
         facts = self.frame.select("*", F.col(self.moment).cast(kind).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(kind).alias("_until"))
         spans = spread.select(*blank, F.col("_from").cast(kind).alias("_at"), F.lit(0).alias("_kind"), F.col("_to").cast(kind).alias("_until"))
         so_far = Window.partitionBy(*place).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        marked = facts.unionByName(spans).withColumn("_covered", F.max("_until").over(so_far))
+        both = facts.unionByName(spans)
+        # Tasks of a size that fits memory, however well their rows compress.
+        parts = -(-(self.rows + side.rows) // TASK_ROWS)
+        both = both.repartition(parts, *place) if self.rows and parts > 1 else both
+        marked = both.withColumn("_covered", F.max("_until").over(so_far))
         covered = F.coalesce(F.col("_covered") >= F.col("_at"), F.lit(False))
         return replace(self, frame=marked.filter((F.col("_kind") == 1) & ~covered).select(*names))
 
@@ -282,8 +294,8 @@ class SlottedFacts:
         joined = blocks.join(F.broadcast(inside) if small else inside.hint("merge"), match)
         return replace(self, frame=joined.select(*self.frame.columns, *[F.col(f"_payload.{name}").alias(name) for name in side.payload]))
 
-    def untagged(self) -> DataFrame:
-        return self.frame.drop(SLOT, SLICE)
+    def untagged(self, slotted: bool = False) -> DataFrame:
+        return self.frame.drop(SLICE) if slotted else self.frame.drop(SLOT, SLICE)
 
 
 def join_intervals(
@@ -295,12 +307,14 @@ def join_intervals(
     broadcast_bytes: int = BROADCAST_BYTES,
     split_above: int | None = SPLIT_ABOVE,
     live: bool = False,
+    slotted_rows: bool = False,
 ) -> DataFrame:
     """Apply interval joins (``"inner"`` or ``"left_anti"``) to the facts, in order.
 
     ``live`` makes a plan that holds no number found in today's tables, for views: the
     span of the facts is asked for whenever the view is read, and nothing is broadcast
-    or split by a size measured before.
+    or split by a size measured before.  With ``slotted_rows`` they keep their slot, by which a shuffled plan has
+    dealt them, so that sums by key, slot and day need no shuffle of their own.
     """
     keys = tuple(keys)
     sides = [replace(side, grain=grain, keys=keys) for _, side in steps]
@@ -311,7 +325,7 @@ def join_intervals(
         high = dated.agg(F.coalesce(F.max(SLOT), F.lit(0))).scalar()
         for (how, _), side in zip(steps, sides):
             slotted = slotted.outside(side, low, high) if how == "left_anti" else slotted.join(side, how, low, high, False)
-        return slotted.untagged()
+        return slotted.untagged(slotted_rows)
 
     sides = _measured([side.written() for side in sides])
     low = high = None
@@ -339,7 +353,7 @@ def join_intervals(
             slotted = slotted.outside(side, low, high)
         else:
             slotted = slotted.meeting(side, low, high, split_above, broadcast_bytes)
-    return slotted.untagged()
+    return slotted.untagged(slotted_rows)
 
 
 def _measured(sides: list[Intervals], low: int | None = None, high: int | None = None) -> list[Intervals]:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from helioledger.functions.numbers import ratio, total, total_of_totals
 from helioledger.functions.timestamps import day_of, midnight, month_of
+from helioledger.operators.intervals import SLOT
 from helioledger.schemas import MEASURES
 
 
@@ -24,10 +25,15 @@ def _sums(exact: bool, again: bool = False) -> list:
 
 
 def daily_rollup(costs: DataFrame, keys: Sequence[str] = (), exact: bool = False) -> DataFrame:
-    """The nine sums and the number of readings per day, with the day as DATE."""
-    return costs.groupBy(*keys, day_of(F.col("reading_datetime")).alias("reading_date")).agg(
+    """The nine sums and the number of readings per day, with the day as DATE.
+
+    Hours that tell their slot are summed where it has put them.
+    """
+    slot = [SLOT] if SLOT in costs.columns else []
+    summed = costs.groupBy(*keys, *slot, day_of(F.col("reading_datetime")).alias("reading_date")).agg(
         *_sums(exact), F.count(F.lit(1)).alias("readings")
     )
+    return summed.drop(*slot)
 
 
 def daily_savings(rollup: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

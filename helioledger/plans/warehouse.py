@@ -62,7 +62,7 @@ def build(
     exclusions = models.stg_exclusions(raw_exclusions, keys)
     typed_tariffs = models.int_tariffs(tariffs, keys)
     typed_exclusions = models.int_exclusions(exclusions, keys)
-    cleaned = cleaning.solar_cleaned(models.typed_readings(readings, keys), typed_tariffs, typed_exclusions, keys, **how)
+    cleaned = cleaning.solar_cleaned(models.typed_readings(readings, keys), typed_tariffs, typed_exclusions, keys, slotted_rows=True, **how)
     costs = finance.cost_savings(cleaned, keys)
     # The views outlive today's tables, so their plan holds nothing measured in them.
     options = {name: value for name, value in how.items() if name not in ("broadcast_bytes", "split_above")}

@@ -6,9 +6,11 @@ from types import SimpleNamespace
 import pytest
 
 import __spark_entry__ as entry
-from helioledger.operators import intervals
+from energy_fixtures import queries
+from helioledger.operators import intervals, rollups
 from helioledger.session import scratch_path
 from helioledger.sources import daily_json
+from tests.conftest import rows
 
 QUERIES = entry.queries()
 CORE = [
@@ -102,3 +104,16 @@ def test_pairs_with_overlapping_tariffs_are_not_moved(spark, small, monkeypatch)
     monkeypatch.setattr(intervals, "DENSE", 10)
     text = plan(QUERIES["tariffs_in_force_by_day"](spark, small))
     assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 3
+
+
+def test_days_are_summed_where_the_join_dealt_their_hours(spark, small, monkeypatch):
+    """Both joins, days and months take one shuffle of the hours; what is summed once is not dealt again by day."""
+    monkeypatch.setattr(intervals, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(intervals, "TASK_ROWS", 1_000)
+    fleet = queries.Fleet(spark, small)
+    rollup = rollups.daily_rollup(queries._costs(fleet, slotted_rows=True, broadcast_bytes=0), fleet.keys, exact=True)
+    text = plan(rollup)
+    assert "_slot" not in rollup.columns and "REPARTITION_BY_NUM" in text
+    assert not [line for line in text.splitlines() if "Exchange" in line and "reading_date#" in line]
+    whole = rollups.daily_rollup(queries._costs(fleet, broadcast_bytes=0, split_above=None), fleet.keys, exact=True)
+    assert rows(rollup) == rows(whole)
