@@ -86,7 +86,7 @@ def flatten_arrays(
 def _entry_rows(text: DataFrame, keys: dict[str, str], with_origin: bool, layout: str, more: Sequence[Column] = ()) -> tuple[DataFrame, list[str]]:
     """One row per entry, NULL for one that is no object or a text that is no array; and the names of its origin.
 
-    ``more`` are expressions over ``text``, ``seal`` and ``entries`` of the whole text, which its entries carry.
+    ``more`` are expressions over ``seal``, ``pair`` and ``entries`` of the whole text, which its entries carry.
     """
     origin = ["source_file", "array"] if with_origin else []
     if with_origin and layout == "lines":
@@ -97,9 +97,10 @@ def _entry_rows(text: DataFrame, keys: dict[str, str], with_origin: bool, layout
         text = text.select(*[c for c in text.columns if c != "value"], F.posexplode(_array_texts(F.col("value"))).alias("array", "value"))
     elif layout == "file" and with_origin:
         text = text.withColumn("array", F.lit(0))
-    parsed = text.select(*origin, *_parsed(F.col("value"), keys))
+    # Each parse is a column of its own, so that whatever asks for it again does not parse again.
+    parsed = text.select(*origin, *_parsed(F.col("value"), keys)).select("*", _pair(always=bool(more)).alias("pair"))
     if more:
-        parsed = parsed.select(*origin, "text", "seal", _entries(keys).alias("entries")).select(*origin, "entries", *more)
+        parsed = parsed.select(*origin, "seal", "pair", _entries(keys).alias("entries")).select(*origin, "entries", *more)
     else:
         parsed = parsed.select(*origin, _entries(keys).alias("entries"))
     carried = [name for name in parsed.columns if name != "entries"]
@@ -131,10 +132,8 @@ def read_with_rejects(
     don't list.
     """
     keys = keys or {}
-    text, seal, entries = F.col("text"), F.col("seal"), F.col("entries")
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(","), seal, F.lit("]")))
-    one_value = F.coalesce(F.try_variant_get(pair, "$[1]", "string") == seal, F.lit(False))
-    reason = F.when(entries.isNull(), F.when(one_value, "not an array").otherwise("malformed"))
+    one_value = F.coalesce(F.try_variant_get(F.col("pair"), "$[1]", "string") == F.col("seal"), F.lit(False))
+    reason = F.when(F.col("entries").isNull(), F.when(one_value, "not an array").otherwise("malformed"))
     source = text_reader(spark.read, glob, layout).load(path)
     rows, origin = _entry_rows(source, keys, True, layout, [reason.alias("reason")])
     landed = scratch_path(spark, "entries")
@@ -159,7 +158,16 @@ def _parsed(text: Column, keys: dict[str, str]) -> list[Column]:
     shape = ", ".join(f"{name}: {kind}" for name, kind in fields.items())
     seal, sealed = _sealed(text)
     flat = F.from_json(sealed, f"map<string, array<struct<{shape}>>>", {"allowSingleQuotes": "false"})
-    return [text.alias("text"), seal.alias("seal"), flat.alias("flat")]
+    # A failed parse costs many times one that succeeds, so what can be no array by its ends is not parsed.
+    return [text.alias("text"), seal.alias("seal"), F.when(_begins(text) & _ends(text), flat).alias("flat")]
+
+
+def _begins(text: Column) -> Column:
+    return F.startswith(F.ltrim(text, F.lit(_BLANK)), F.lit("["))
+
+
+def _ends(text: Column) -> Column:
+    return F.endswith(F.rtrim(text, F.lit(_BLANK)), F.lit("]"))
 
 
 def _sealed(text: Column) -> tuple[Column, Column]:
@@ -167,20 +175,36 @@ def _sealed(text: Column) -> tuple[Column, Column]:
     return seal, F.concat(F.lit('{"text":'), text, F.lit(',"'), seal, F.lit('":[]}'))
 
 
-def _entries(keys: dict[str, str]) -> Column:
-    """Objects of exactly one JSON array as structs of text; NULL for other text."""
+def _shape() -> tuple[Column, Column, Column]:
+    """Whether a text is an array by its ends, whether that needs the careful parse, and whether the plain one took all of it."""
     text, flat = F.col("text"), F.col("flat")
+    is_array = _begins(text) & _ends(text)
     careful = flat.isNull() | text.rlike(_TYPED_VALUES)
-    whole = (F.size(flat) == 2) & F.map_contains_key(flat, F.col("seal"))
-    is_array = F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("["))
-    return F.when(is_array & careful, _mixed_entries(keys)).when(is_array & whole, F.try_element_at(flat, F.lit("text")))
+    return is_array, careful, (F.size(flat) == 2) & F.map_contains_key(flat, F.col("seal"))
+
+
+def _pair(always: bool) -> Column:
+    """The text and its seal as one variant, where the careful parse is needed, or ``always`` where the plain one gives no entries.
+
+    What begins as an array and does not end as one is broken without a parse.
+    """
+    is_array, careful, whole = _shape()
+    asked = is_array & careful
+    if always:
+        asked = asked | (is_array & ~F.coalesce(whole, F.lit(False))) | ~_begins(F.col("text"))
+    return F.when(asked, F.try_parse_json(F.concat(F.lit("["), F.col("text"), F.lit(","), F.col("seal"), F.lit("]"))))
+
+
+def _entries(keys: dict[str, str]) -> Column:
+    """Objects of exactly one JSON array as structs of text; NULL for other text."""
+    is_array, careful, whole = _shape()
+    return F.when(is_array & careful, _mixed_entries(keys)).when(is_array & whole, F.try_element_at("flat", F.lit("text")))
 
 
 def _mixed_entries(keys: dict[str, str]) -> Column:
     """The same for arrays with other entries among the objects, and for typed values."""
-    seal = F.col("seal")
-    pair = F.try_parse_json(F.concat(F.lit("["), F.col("text"), F.lit(","), seal, F.lit("]")))
-    array = F.when(F.try_variant_get(pair, "$[1]", "string") == seal, F.try_variant_get(pair, "$[0]", "array<variant>"))
+    pair = F.col("pair")
+    array = F.when(F.try_variant_get(pair, "$[1]", "string") == F.col("seal"), F.try_variant_get(pair, "$[0]", "array<variant>"))
 
     def flat(entry: Column) -> Column:
         fields = [F.try_variant_get(entry, f"$.{name}", kind).alias(name) for name, kind in keys.items()]

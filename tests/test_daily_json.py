@@ -1,6 +1,7 @@
 """Reading files: what is skipped, what is kept, what is written."""
 
 import datetime as dt
+import re
 import json
 from pathlib import Path
 
@@ -182,3 +183,21 @@ def test_sites_share_a_folder(spark, tmp_path):
     sinks.save_daily_json(fleet, path, ["site_id"])
     found = daily_json.read_daily_json(spark, path, "part-*", "lines", {"site_id": "bigint"})
     assert rows(found.select(fleet.columns)) == rows(fleet)
+
+
+def test_no_text_is_parsed_twice_the_same_way(spark, tmp_path):
+    """One plain parse and one careful one in the plan, whatever else asks for what they found."""
+    (tmp_path / "2026-01-17_data.json").write_text('[{"date": "2026-01-17", "hour": "00:00", "solar": true}, 5]')
+    text = daily_json.read_daily_json(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"parseJson|parse_json", text)) <= 1 and len(re.findall(r"from_json", text)) <= 1
+
+
+def test_what_is_no_array_by_its_ends_is_still_told_apart(spark, tmp_path):
+    lines = ['[{"hour": "00:00"}', '[1],2', '{"hour": "00:00"}', '"x]"', '[{"hour": "01:00"}] x', ' [{"hour": "02:00"}, 7]\t', '[', ']', '[1] ]', '[]', '7']
+    (tmp_path / "2026-01-17_data.json").write_text("\n".join(lines))
+    kept, rejects = daily_json.read_with_rejects(spark, str(tmp_path), layout="lines")
+    assert [row["hour"] for row in kept.collect()] == ["02:00"]
+    reasons = sorted(row["reason"] for row in rejects.collect())
+    assert reasons == ["malformed"] * 6 + ["not an array"] * 3 + ["not an object"]
+    text = daily_json.read_daily_json(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "THEN from_json" in text
